@@ -142,8 +142,8 @@ def in_range(df: DataFrame, start: date | str | None = None, end: date | str | N
 def clean_bars(bars: DataFrame) -> DataFrame:
     """Bars with NaN read as NULL, whoever wrote them."""
     doubles = {f.name for f in BARS if f.dataType.typeName() == "double"}
-    return bars.select(
-        *[nan_to_null(F.col(c)).alias(c) if c in doubles else F.col(c) for c in BARS.names]
+    return bars.selectExpr(
+        *[f"nanvl({c}, CAST(NULL AS DOUBLE)) AS {c}" if c in doubles else c for c in BARS.names]
     )
 
 

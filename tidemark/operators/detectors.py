@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio_change, zscore
@@ -65,65 +65,58 @@ def mark_volume(bars: DataFrame, t: Thresholds, series: Sequence[str] = ("ticker
     )
 
 
-def is_drawdown(t: Thresholds) -> Column:
-    return F.col("drawdown_pct") <= -t.drawdown_threshold_pct
-
-
-def is_gap(t: Thresholds) -> Column:
-    return F.abs("gap_pct") >= t.gap_threshold_pct
-
-
-def is_volume_spike(t: Thresholds) -> Column:
-    return F.col("volume_zscore") >= t.volume_spike_zscore
+def event_tests(t: Thresholds) -> dict[str, str]:
+    """Per event type, the SQL test a marked bar must pass; NULL does not."""
+    return {
+        "drawdowns": f"drawdown_pct <= -{t.drawdown_threshold_pct}D",
+        "gaps": f"abs(gap_pct) >= {t.gap_threshold_pct}D",
+        "volume_spikes": f"volume_zscore >= {t.volume_spike_zscore}D",
+    }
 
 
-def _event_values(event_type: str, t: Thresholds, run_date: date) -> dict[str, Column]:
-    """Columns of one event type that do not come from the marked bars."""
-    values = {
-        "event_type": F.lit(event_type),
-        "source": F.lit(SOURCE_DERIVED),
-        "created_at": F.lit(run_date),
+def _event_columns(event_type: str, t: Thresholds, run_date: date, columns: Sequence[str]) -> list[str]:
+    """SQL for the columns of an event, from a marked bar; foreign ones are NULL."""
+    given = {
+        "event_type": f"'{event_type}'",
+        "source": f"'{SOURCE_DERIVED}'",
+        "created_at": f"DATE'{run_date}'",
+        "zscore_threshold": f"{t.volume_spike_zscore}D",
     }
     if event_type == "drawdowns":
-        values["window_days"] = F.lit(t.drawdown_window_days)
-        values["threshold_pct"] = F.lit(t.drawdown_threshold_pct)
+        given |= {"window_days": f"{t.drawdown_window_days}", "threshold_pct": f"{t.drawdown_threshold_pct}D"}
     elif event_type == "gaps":
-        values["threshold_pct"] = F.lit(t.gap_threshold_pct)
+        given |= {"threshold_pct": f"{t.gap_threshold_pct}D"}
     else:
-        values["window_days"] = F.lit(t.volume_spike_window_days)
-        values["zscore_threshold"] = F.lit(t.volume_spike_zscore)
-    return values
-
-
-def _project(event_type: str, t: Thresholds, run_date: date, columns: Sequence[str]) -> list[Column]:
+        given |= {"window_days": f"{t.volume_spike_window_days}"}
     own = EVENT_COLUMNS[event_type]
-    values = _event_values(event_type, t, run_date)
     out = []
     for name in columns:
-        value = values.get(name, F.col(name)) if name in own else F.lit(None)
-        out.append(value.cast(EVENTS[name].dataType).alias(name))
+        value = given.get(name, name) if name in own else "NULL"
+        out.append(f"CAST({value} AS {EVENTS[name].dataType.simpleString()}) AS {name}")
     return out
 
 
+def _events(marked: DataFrame, event_type: str, t: Thresholds, run_date: date) -> DataFrame:
+    hits = _own_rows(marked).filter(event_tests(t)[event_type])
+    return hits.selectExpr(*_event_columns(event_type, t, run_date, EVENT_COLUMNS[event_type]))
+
+
 def drawdowns(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every day at or below the drawdown threshold."""
     cut, series = _series(bars.select("ticker", "date", "adj_close"), t.drawdown_window_days - 1, split_rows)
-    hits = _own_rows(mark_drawdowns(cut, t, series)).filter(is_drawdown(t))
-    return hits.select(*_project("drawdowns", t, run_date, EVENT_COLUMNS["drawdowns"]))
+    return _events(mark_drawdowns(cut, t, series), "drawdowns", t, run_date)
 
 
 def gaps(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every open that is far from the previous close."""
     cut, series = _series(bars.select("ticker", "date", "open", "close"), 1, split_rows)
-    hits = _own_rows(mark_gaps(cut, series)).filter(is_gap(t))
-    return hits.select(*_project("gaps", t, run_date, EVENT_COLUMNS["gaps"]))
+    return _events(mark_gaps(cut, series), "gaps", t, run_date)
 
 
 def volume_spikes(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every volume far above its trailing mean."""
     cut, series = _series(bars.select("ticker", "date", "volume"), t.volume_spike_window_days, split_rows)
-    hits = _own_rows(mark_volume(cut, t, series)).filter(is_volume_spike(t))
-    return hits.select(*_project("volume_spikes", t, run_date, EVENT_COLUMNS["volume_spikes"]))
+    return _events(mark_volume(cut, t, series), "volume_spikes", t, run_date)
 
 
 def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
@@ -134,16 +127,11 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close")
     cut, series = _series(needed, lookback_rows(t), split_rows)
     marked = _own_rows(mark_volume(mark_gaps(mark_drawdowns(cut, t, series), series), t, series))
-    hits = [
-        F.when(test, F.struct(*_project(event_type, t, run_date, EVENTS.names)))
-        for event_type, test in (
-            ("drawdowns", is_drawdown(t)),
-            ("gaps", is_gap(t)),
-            ("volume_spikes", is_volume_spike(t)),
-        )
-    ]
-    found = F.filter(F.array(*hits), lambda hit: hit.isNotNull())
-    return marked.select(F.inline(found))
+    hits = []
+    for event_type, test in event_tests(t).items():
+        columns = ", ".join(_event_columns(event_type, t, run_date, EVENTS.names))
+        hits.append(f"CASE WHEN {test} THEN struct({columns}) END")
+    return marked.selectExpr(f"inline(filter(array({', '.join(hits)}), hit -> hit IS NOT NULL))")
 
 
 def _series(bars: DataFrame, lookback: int, split_rows: int | None) -> tuple[DataFrame, list[str]]:

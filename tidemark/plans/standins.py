@@ -5,42 +5,51 @@ These views adapt the given tables to the operators; they are not operators.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-# Digits the packed payload of a trade takes: price cents, quantity, discount.
+# One more than the largest payload of a trade.
 PAYLOAD = 10**15
 
+_schemas: dict[str, StructType] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is inferred once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _trades(
     spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None
 ) -> DataFrame:
-    """Line items as trades; the date bounds reach the scan."""
+    """Line items as trades; the date bounds reach the scan.
+
+    Order key and payload (price cents, quantity, discount) go into one
+    decimal: its min and max are the first and last trade of a day, found by
+    hash aggregation, where a struct would need a sort.
+    """
     lines = table(spark, sf_dir, "lineitem")
     if start is not None:
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(str(start)).cast("timestamp_ntz"))
+        lines = lines.filter(f"l_shipdate >= TIMESTAMP_NTZ'{start}'")
     if end is not None:
-        lines = lines.filter(F.col("l_shipdate") < F.date_add(F.lit(end), 1).cast("timestamp_ntz"))
-    cents = (F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
-    discount = (F.col("l_discount") * 100 + 0.5).cast("bigint")
-    payload = cents * 100_000 + F.col("l_quantity").cast("bigint") * 100 + discount
-    order = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    # Order key and payload in one decimal: its min and max are the first and
-    # last trade, by hash aggregation, where a struct would need a sort.
-    packed = order.cast("decimal(20,0)") * F.lit(PAYLOAD).cast("decimal(16,0)") + payload
-    return lines.select(
+        lines = lines.filter(f"l_shipdate < TIMESTAMP_NTZ'{end + timedelta(days=1)}'")
+    payload = (
+        "CAST(l_extendedprice * 100 + 0.5D AS BIGINT) * 100000"
+        " + CAST(l_quantity AS BIGINT) * 100 + CAST(l_discount * 100 + 0.5D AS BIGINT)"
+    )
+    return lines.selectExpr(
         "l_partkey",
         "l_suppkey",
-        F.to_date("l_shipdate").alias("date"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.col("l_quantity").alias("quantity"),
-        packed.cast("decimal(38,0)").alias("packed"),
+        "CAST(l_shipdate AS DATE) AS date",
+        "l_extendedprice / l_quantity AS price",
+        "l_quantity AS quantity",
+        f"CAST(l_orderkey * 8 + l_linenumber AS DECIMAL(20, 0)) * {PAYLOAD} + ({payload}) AS packed",
     )
 
 
@@ -50,24 +59,23 @@ def _to_bars(trades: DataFrame, *keys: str) -> DataFrame:
         F.max("packed").alias("last"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.sum("quantity").cast("bigint").alias("volume"),
+        F.sum("quantity").alias("volume"),
     )
-
-    def payload(c: str) -> Column:
-        return (F.col(c) % F.lit(PAYLOAD).cast("decimal(16,0)")).cast("bigint")
-
-    unpacked = daily.withColumn("first", payload("first")).withColumn("last", payload("last"))
-    opened = F.expr("(first div 100000) / 100.0D / (first div 100 % 1000)")
-    closed = F.expr("(last div 100000) / 100.0D / (last div 100 % 1000)")
-    return unpacked.select(
+    unpacked = daily.selectExpr(
+        "*",
+        f"CAST(first % {PAYLOAD} AS BIGINT) AS opening",
+        f"CAST(last % {PAYLOAD} AS BIGINT) AS closing",
+    )
+    closed = "closing div 100000 / 100.0D / (closing div 100 % 1000)"
+    return unpacked.selectExpr(
         *keys,
         "date",
-        opened.alias("open"),
+        "opening div 100000 / 100.0D / (opening div 100 % 1000) AS open",
         "high",
         "low",
-        closed.alias("close"),
-        "volume",
-        (closed * (1 - F.expr("(last % 100) / 100.0D"))).alias("adj_close"),
+        f"{closed} AS close",
+        "CAST(volume AS BIGINT) AS volume",
+        f"{closed} * (1 - closing % 100 / 100.0D) AS adj_close",
     )
 
 
@@ -75,10 +83,8 @@ def bars(
     spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None
 ) -> DataFrame:
     """Daily bars per brand."""
-    brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
-    trades = _trades(spark, sf_dir, start, end)
-    joined = trades.join(brands, trades.l_partkey == brands.p_partkey)
-    return _to_bars(joined, "ticker")
+    brands = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_brand AS ticker")
+    return _to_bars(_trades(spark, sf_dir, start, end).join(brands, "l_partkey"), "ticker")
 
 
 def etf_bars(
@@ -86,84 +92,76 @@ def etf_bars(
 ) -> DataFrame:
     """Daily bars per supplier; trades are rolled up before they meet the names."""
     daily = _to_bars(_trades(spark, sf_dir, start, end), "l_suppkey")
-    names = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("ticker"))
-    return daily.join(names, daily.l_suppkey == names.s_suppkey).drop("l_suppkey", "s_suppkey")
+    names = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_name AS ticker")
+    return daily.join(names, "l_suppkey").drop("l_suppkey")
 
 
 def etf_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = table(spark, sf_dir, "supplier")
-    nations = table(spark, sf_dir, "nation")
-    return suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).select(
-        F.col("s_name").alias("ticker"),
-        F.concat(F.lit("Fund "), F.col("s_suppkey").cast("string")).alias("name"),
-        F.col("n_name").alias("category"),
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
+    return table(spark, sf_dir, "supplier").join(nations, "s_nationkey").selectExpr(
+        "s_name AS ticker", "concat('Fund ', s_suppkey) AS name", "n_name AS category"
     )
 
 
 def raw_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A region's nations, held by their share of the customers' balance."""
-    customers = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation")
-    regions = table(spark, sf_dir, "region")
-    cents = F.sum(F.round(F.col("c_acctbal") * 100).cast("bigint"))
-    by_nation = customers.groupBy("c_nationkey").agg(cents.alias("cents"))
-    held = (
-        by_nation.join(nations, by_nation.c_nationkey == nations.n_nationkey)
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("r_name", "n_nationkey", "n_name", "n_regionkey", "cents")
-    )
-    totals = held.groupBy(F.col("n_regionkey").alias("regionkey")).agg(F.sum("cents").alias("total"))
-    return held.join(totals, held.n_regionkey == totals.regionkey).select(
-        F.col("r_name").alias("etf"),
-        F.col("n_nationkey").cast("bigint").alias("position"),
-        F.col("n_name").alias("Symbol"),
-        F.concat(F.lit("Holding of "), F.col("n_name")).alias("Name"),
-        (F.col("cents") / F.col("total")).alias("Holding Percent"),
+    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    regions = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    balance = F.expr("sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS cents")
+    by_nation = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(balance)
+    held = by_nation.join(nations, "c_nationkey").join(regions, "n_regionkey")
+    totals = held.groupBy("n_regionkey").agg(F.sum("cents").alias("total"))
+    return held.join(totals, "n_regionkey").selectExpr(
+        "r_name AS etf",
+        "CAST(c_nationkey AS BIGINT) AS position",
+        "n_name AS Symbol",
+        "concat('Holding of ', n_name) AS Name",
+        "cents / total AS `Holding Percent`",
     )
 
 
 def raw_earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signups as earnings, their time given as local time at UTC-5."""
-    signups = table(spark, sf_dir, "events").filter("event_type = 'signup'")
-    return signups.select(
-        F.col("user_id").cast("string").alias("ticker"),
-        F.col("event_id").alias("position"),
-        F.concat(F.col("ts").cast("string"), F.lit("-05:00")).alias("Earnings Date"),
-        F.when(F.col("value") >= 50, "amc").otherwise("bmo").alias("Event Time"),
+    return (
+        table(spark, sf_dir, "events")
+        .filter("event_type = 'signup'")
+        .selectExpr(
+            "CAST(user_id AS STRING) AS ticker",
+            "event_id AS position",
+            "concat(ts, '-05:00') AS `Earnings Date`",
+            "if(value >= 50, 'amc', 'bmo') AS `Event Time`",
+        )
     )
 
 
 def raw_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Info documents per user, made from the props of their events."""
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    document = F.to_json(
-        F.struct(
-            F.when(k % 3 != 0, F.col("event_type")).alias("sector"),
-            F.when(k % 4 != 0, F.concat(F.lit("Industry "), k.cast("string"))).alias("industry"),
-            F.when(k % 2 == 0, "ETF").otherwise("EQUITY").alias("quoteType"),
-            F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("Long "), k.cast("string"))).alias("longName"),
-            F.when(k % 7 != 0, F.concat(F.lit("Short "), k.cast("string"))).alias("shortName"),
-            (k * 86400).alias("fundInceptionDate"),
-            F.col("event_id").alias("firstTradeDateEpochUtc"),
-        )
+    events = table(spark, sf_dir, "events").selectExpr(
+        "*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
     )
-    return events.select(
-        F.col("user_id").cast("string").alias("ticker"),
-        document.alias("info_json"),
-        F.col("event_id").alias("position"),
+    fields = [
+        "if(k % 3 != 0, event_type, NULL) AS sector",
+        "if(k % 4 != 0, concat('Industry ', k), NULL) AS industry",
+        "if(k % 2 = 0, 'ETF', 'EQUITY') AS quoteType",
+        "if(k % 5 = 0, '', concat('Long ', k)) AS longName",
+        "if(k % 7 != 0, concat('Short ', k), NULL) AS shortName",
+        "k * 86400 AS fundInceptionDate",
+        "event_id AS firstTradeDateEpochUtc",
+    ]
+    return events.selectExpr(
+        "CAST(user_id AS STRING) AS ticker",
+        f"to_json(struct({', '.join(fields)})) AS info_json",
+        "event_id AS position",
     )
 
 
 def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as holdings records whose tickers need cleaning."""
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey"),
-        F.concat(F.lower(F.substring("p_type", 1, 4)), F.lit("."), F.col("p_size").cast("string")).alias(
-            "raw_ticker"
-        ),
-        F.col("p_name").alias("name"),
-        F.col("p_brand").alias("sector"),
-        F.when(F.col("p_partkey") % 4 == 0, "Cash").otherwise("Equity").alias("asset_class"),
-        F.col("p_retailprice").alias("weight_pct"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey",
+        "concat(lower(substr(p_type, 1, 4)), '.', p_size) AS raw_ticker",
+        "p_name AS name",
+        "p_brand AS sector",
+        "if(p_partkey % 4 = 0, 'Cash', 'Equity') AS asset_class",
+        "p_retailprice AS weight_pct",
     )
