@@ -71,13 +71,10 @@ def wide_to_long(
         if not set(names.values()) <= set(wide.columns):
             names = {f: f"{f}{sep}{ticker}" for f in PRICE_FIELDS}
         require_columns(wide.columns, names.values(), ticker)
-        rows.append(
-            F.struct(
-                F.lit(ticker).alias("ticker"),
-                *[F.col(f"`{n}`").cast("double").alias(f) for f, n in names.items()],
-            )
-        )
-    long = wide.select(F.col(date_column).alias("Date"), F.inline(F.array(*rows)))
+        label = ticker.replace("'", r"\'")
+        fields = [f"CAST(`{n}` AS DOUBLE) AS `{f}`" for f, n in names.items()]
+        rows.append(f"struct('{label}' AS ticker, {', '.join(fields)})")
+    long = wide.selectExpr(f"`{date_column}` AS Date", f"inline(array({', '.join(rows)}))")
     return normalise_bars(long).drop("position")
 
 

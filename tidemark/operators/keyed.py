@@ -42,6 +42,11 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank")
 
 
+def without(existing: DataFrame, refreshed: DataFrame, column: str = "ticker") -> DataFrame:
+    """Existing rows whose value is not being refreshed."""
+    return existing.join(refreshed.select(column), column, "left_anti").select(existing.columns)
+
+
 def merge_snapshot(
     existing: DataFrame,
     new: DataFrame,
@@ -57,7 +62,7 @@ def merge_snapshot(
     """
     base = existing
     if refreshed is not None:
-        base = existing.join(refreshed.select(refreshed_column), refreshed_column, "left_anti")
+        base = without(existing, refreshed, refreshed_column)
     position = F.col("position") if "position" in new.columns else F.lit(0)
     both = base.select(*columns, F.lit(0).alias("_new"), F.lit(0).cast("bigint").alias("_position")).unionByName(
         new.select(*columns, F.lit(1).alias("_new"), position.cast("bigint").alias("_position"))

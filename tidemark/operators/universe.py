@@ -56,14 +56,15 @@ def holdings_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     line = F.regexp_replace("line", "^\uFEFF", "")
     lines = lines.select("path", "place", line.alias("line"))
-    is_header = F.col("line").startswith("Ticker,")
-    headers = lines.groupBy("path").agg(
-        F.min(F.when(is_header, F.struct("place", "line"))).alias("header")
+    starting = lines.filter(F.col("line").startswith("Ticker,"))
+    headers = starting.groupBy("path").agg(F.min(F.struct("place", "line")).alias("header"))
+    no_table = (
+        lines.select("path")
+        .distinct()
+        .join(headers, "path", "left_anti")
+        .select("path", F.lit("'Ticker,' header row not found").alias("reason"))
     )
-    no_table = headers.filter("header is null").select(
-        "path", F.lit("'Ticker,' header row not found").alias("reason")
-    )
-    with_header = headers.filter("header is not null").select(
+    with_header = headers.select(
         "path",
         F.col("header.place").alias("header_place"),
         _fields(F.col("header.line")).alias("names"),

@@ -20,6 +20,7 @@ from tidemark.operators import bars as B
 from tidemark.operators import detectors, events, keyed, reference, universe
 from tidemark.schemas import (
     BARS,
+    CONTENT,
     DEFAULT_START,
     DERIVED_TYPES,
     EARNINGS,
@@ -341,55 +342,63 @@ def ingest_derived_events(
     *,
     force: bool = False,
     config: Config,
-    ignore: Sequence[str] = (),
+    ignore_created_at: bool = False,
 ) -> DerivedEvents:
     """Detect drawdowns, gaps and volume spikes in the stored bars.
 
     All events of the requested tickers are replaced, unless none of them has
     bars. The result is published only if its content differs from the
-    current one in a column that is not in ``ignore``; the event types that
-    differ are returned, with the tickers that have no bars.
+    current one, by default also if it differs in created_at alone. Returns
+    the event types that differ, and the tickers that have no bars.
     """
     store = _store(config)
     requested = _requested(config, tickers)
-    bars, missing = B.load_bars(store.read("prices", BARS), requested, adjusted=False)
+    lasts = stored_last_dates(store)
+    missing = keyed.missing_from_snapshot(requested, lasts)
     existing = store.read("derived_events", EVENTS)
-    if bars.isEmpty():
+    wanted = lasts.join(requested.select("ticker"), "ticker", "left_semi")
+    longest = wanted.agg(F.max("bars")).first()[0]
+    if longest is None:
         if force or not store.exists("derived_events"):
-            layout = {"sort": ["event_type", "ticker", "date"], "partition_by": ["event_type"]}
-            store.replace("derived_events", existing, **layout)
+            _write_events(store, existing, [])
         return DerivedEvents([], missing)
 
     # Series are cut only where one is too long for a task.
-    longest = stored_last_dates(store).agg(F.max("bars")).first()[0] or 0
     split_rows = WHOLE_SERIES_ROWS if longest > WHOLE_SERIES_ROWS else None
+    bars, _ = B.load_bars(store.read("prices", BARS), requested, adjusted=False)
     found = detectors.detect_events(bars, config.events, _run_date(config), split_rows)
-    merged = keyed.merge_snapshot(
-        existing, found, EVENTS.names, ["event_type", "ticker", "date"], requested
-    )
+    # Bars are unique, and so are their events: nothing to de-duplicate.
+    rows = keyed.without(existing, requested).unionByName(found)
+    return DerivedEvents(_write_events(store, rows, DERIVED_TYPES, ignore_created_at), missing)
+
+
+def _write_events(
+    store: TableStore, rows: DataFrame, types: Sequence[str], ignore_created_at: bool = False
+) -> list[str]:
+    """Write the derived events; returns which of the types have changed.
+
+    Nothing is published if none has, and the table exists. The hashes that
+    tell are kept beside each batch, so the old events are not read for it.
+    """
     batch = store.new_batch("derived_events", replace=True)
-    written = store.write(
-        merged, batch, sort=["event_type", "ticker", "date"], partition_by=["event_type"]
+    order = ["event_type", "ticker", "date"]
+    written = store.write(rows, batch, sort=order, partition_by=["event_type"], spread=False)
+    undated = keyed.fingerprint(written, ["event_type"], ignore=["created_at"])
+    content = keyed.fingerprint(written, ["event_type"]).join(
+        undated.select("event_type", F.col("content_hash").alias("undated_hash")), "event_type"
     )
-    changed = _changed_types(existing, written, ignore)
+    hashes = store.write(content.select(*CONTENT.names).coalesce(1), batch, part="content")
+    compared = ["event_type", "n_rows", "undated_hash" if ignore_created_at else "content_hash"]
+    before = store.read("derived_events", CONTENT, part="content").select(*compared)
+    differing = keyed.table_diff(before, hashes.select(*compared)).select("event_type").distinct()
+    # At most as many rows as there are event types.
+    found = {row.event_type for row in differing.collect()}
+    changed = [t for t in types if t in found]
     if changed or not store.exists("derived_events"):
         store.publish(batch)
     else:
         store.discard(batch)
-    return DerivedEvents(changed, missing)
-
-
-def _changed_types(old: DataFrame, new: DataFrame, ignore: Sequence[str]) -> list[str]:
-    """Event types whose content differs; at most as many rows as there are types."""
-    totals = [
-        keyed.fingerprint(t, by=["event_type"], ignore=ignore).select(
-            "event_type", "n_rows", "content_hash"
-        )
-        for t in (old, new)
-    ]
-    differing = keyed.table_diff(*totals).select("event_type").distinct().collect()
-    found = {row.event_type for row in differing}
-    return [t for t in DERIVED_TYPES if t in found]
+    return changed
 
 
 def ingest_events(

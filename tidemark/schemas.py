@@ -74,6 +74,15 @@ EVENTS = _schema(
     "zscore_threshold double, volume_zscore double, volume bigint, "
     "trailing_mean double, trailing_std double"
 )
+# Row count and content hashes per event type, kept beside a batch of events.
+CONTENT = T.StructType(
+    [
+        T.StructField("event_type", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("content_hash", T.DecimalType(38, 0)),
+        T.StructField("undated_hash", T.DecimalType(38, 0)),
+    ]
+)
 EARNINGS = T.StructType([EVENTS[c] for c in EVENT_COLUMNS["earnings"]])
 
 STATUS = _schema("dataset string, ticker string, status string, reason string")

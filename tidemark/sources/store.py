@@ -72,14 +72,19 @@ class TableStore:
         part: str = "rows",
         sort: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        spread: bool = True,
     ) -> DataFrame:
         """Write one part of an unpublished batch and read it back.
 
         Rows are range partitioned on the sort columns, which spreads a hot
         key over files and gives every file narrow statistics to prune by.
+        Finding the ranges takes a second run of the last stage; ``spread``
+        off leaves rows in the partitions they were computed in.
         """
+        if sort and spread:
+            df = df.repartitionByRange(*sort)
         if sort:
-            df = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+            df = df.sortWithinPartitions(*sort)
         path = f"{batch}/{part}"
         writer = df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         if partition_by:
