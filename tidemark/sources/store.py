@@ -4,8 +4,9 @@ A table is a folder of generations, each a folder of batches. Replacing a
 table starts a generation; adding rows adds a batch. A batch counts once it
 holds a marker file, written last, so readers never see half a write and a
 job that dies leaves nothing but an unmarked folder. Published files are
-never changed: a job may read a table and publish its successor, and frames
-read earlier stay valid.
+never changed: a job may read a table and publish its successor. Frames read
+earlier stay valid until their table has been replaced twice; then their
+generation is deleted.
 
 One writer per table at a time is assumed.
 """
@@ -22,6 +23,7 @@ from tidemark.sources import files
 
 MARKER = "_PUBLISHED"
 MAX_RECORDS_PER_FILE = 20_000_000
+KEPT_GENERATIONS = 2
 
 
 @dataclass(frozen=True)
@@ -93,7 +95,12 @@ class TableStore:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, batch: str) -> None:
+        """Make a batch count, and delete generations that nobody should read."""
         files.create_empty(self.spark, f"{batch}/{MARKER}")
+        table, newest, _ = batch.rsplit("/", 2)
+        older = [g for g in files.children(self.spark, table) if g < newest]
+        for generation in older[: 1 - KEPT_GENERATIONS]:
+            files.remove(self.spark, f"{table}/{generation}")
 
     def discard(self, batch: str) -> None:
         files.remove(self.spark, batch)
