@@ -185,3 +185,4 @@ def test_one_exchange_serves_all_detectors(make_bars):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+    assert plan.count("Window [") == 1

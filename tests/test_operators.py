@@ -122,6 +122,32 @@ def test_a_ticker_filter_and_date_bounds_reach_the_scan(spark, make_bars, tmp_pa
     assert "GreaterThanOrEqual(date,2024-01-01)" in pushed and "ticker" in pushed
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_price_increment_takes_each_ticker_from_its_own_day(spark, few):
+    day = lambda d: date(2024, 1, d)
+    data = [(t, day(d), *[float(10 * v + d)] * 4, 1, 1.0, v) for t in "ABC" for d in range(1, 7) for v in (0, 1)]
+    raw = spark.createDataFrame(
+        data,
+        "ticker string, date date, open double, high double, low double, close double, "
+        "volume bigint, adj_close double, position int",
+    )
+    last = spark.createDataFrame([("A", day(3)), ("C", day(9))], "ticker string, last_date date")
+    asked = keyed.request_list(spark, ["A", "B", "C", "D"])
+    windows = B.fetch_windows(asked, last, day(2), day(5))
+    new = B.price_increment(raw, windows, few)
+    assert rows(new, "ticker", "date", "close") == [
+        *[("A", day(d), 10.0 + d) for d in (4, 5)],
+        *[("B", day(d), 10.0 + d) for d in (2, 3, 4, 5)],
+    ]
+    status = B.price_status(windows, new.select("ticker").distinct())
+    assert rows(status, "ticker", "status") == [
+        ("A", "updated"),
+        ("B", "updated"),
+        ("C", "already_current"),
+        ("D", "skipped"),
+    ]
+
+
 # --- keyed tables -----------------------------------------------------------
 
 

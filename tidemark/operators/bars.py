@@ -103,12 +103,21 @@ def fetch_windows(
     )
 
 
-def price_increment(raw_bars: DataFrame, windows: DataFrame) -> DataFrame:
-    """Delivered bars inside their ticker's window, one per (ticker, date)."""
-    wanted = raw_bars.join(windows.select("ticker", "fetch_from", "fetch_to"), "ticker").filter(
-        F.col("date").between(F.col("fetch_from"), F.col("fetch_to"))
-    )
-    return keep_last(wanted, ["ticker", "date"], ["position"]).select(*BARS.names)
+def price_increment(raw_bars: DataFrame, windows: DataFrame, few: bool = False) -> DataFrame:
+    """Delivered bars inside their ticker's window, one per (ticker, date).
+
+    With ``few`` windows, known to fit in memory, bars are filtered where they
+    are read. Otherwise copies are dropped first: what then meets the windows
+    is at most a bar per day of any ticker, however often it was delivered.
+    """
+    spans = windows.select("ticker", "fetch_from", "fetch_to")
+    inside = F.col("date").between(F.col("fetch_from"), F.col("fetch_to"))
+    keys, order = ["ticker", "date"], ["position"]
+    if few:
+        wanted = keep_last(raw_bars.join(F.broadcast(spans), "ticker").filter(inside), keys, order)
+    else:
+        wanted = keep_last(raw_bars, keys, order).join(spans, "ticker").filter(inside)
+    return wanted.select(*BARS.names)
 
 
 def price_status(windows: DataFrame, taken: DataFrame, force: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio_change, zscore
 from tidemark.operators.series import SERIES, split_series
-from tidemark.schemas import EVENT_COLUMNS, EVENTS, SOURCE_DERIVED, Thresholds
+from tidemark.schemas import DERIVED_TYPES, EVENT_COLUMNS, EVENTS, SOURCE_DERIVED, Thresholds
 
 
 def lookback_rows(t: Thresholds) -> int:
@@ -24,45 +24,43 @@ def lookback_rows(t: Thresholds) -> int:
     return max(t.drawdown_window_days - 1, t.volume_spike_window_days, 1)
 
 
-def mark_drawdowns(bars: DataFrame, t: Thresholds, series: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Add the rolling peak of adj_close, its date, and the fall from it.
-
-    One maximum gives peak and date together: the struct ranks by price, then
-    by the earlier date. NULL prices rank lowest, so they are never a peak.
-    """
-    frame = Window.partitionBy(*series).orderBy("date").rowsBetween(1 - t.drawdown_window_days, 0)
-    ranked = F.struct(
-        F.col("adj_close").alias("price"), (-F.unix_date("date")).alias("earliness")
-    )
-    marked = bars.withColumn("_peak", F.max(ranked).over(frame))
-    return marked.select(
-        *bars.columns,
-        F.date_from_unix_date(-F.col("_peak.earliness")).alias("peak_date"),
-        ratio_change(F.col("adj_close"), F.col("_peak.price")).alias("drawdown_pct"),
-    )
-
-
-def mark_gaps(bars: DataFrame, series: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Add the previous row's close and the open relative to it."""
-    in_order = Window.partitionBy(*series).orderBy("date")
-    return bars.withColumn("prior_close", F.lag("close").over(in_order)).withColumn(
-        "gap_pct", ratio_change(F.col("open"), F.col("prior_close"))
-    )
+def mark_bars(
+    bars: DataFrame, types: Sequence[str], t: Thresholds, series: Sequence[str] = ("ticker",)
+) -> DataFrame:
+    """Add what the detectors of the given event types look at.
 
+    - drawdowns: the rolling peak's date, and the fall of adj_close from it
+    - gaps: the previous row's close, and the open relative to it
+    - volume_spikes: mean and sample deviation of volume over the rows before,
+      and the z-score; NULL unless the full number of volumes is there
 
-def mark_volume(bars: DataFrame, t: Thresholds, series: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Add mean, sample deviation and z-score of volume over the rows before.
-
-    All are NULL unless the full number of earlier volumes is there.
+    All frames are taken in one step, over one sort of each series.
     """
-    n = t.volume_spike_window_days
-    before = Window.partitionBy(*series).orderBy("date").rowsBetween(-n, -1)
-    full = F.count("volume").over(before) == n
-    return (
-        bars.withColumn("trailing_mean", F.when(full, F.avg("volume").over(before)))
-        .withColumn("trailing_std", F.when(full, F.stddev_samp("volume").over(before)))
-        .withColumn("volume_zscore", zscore(F.col("volume"), F.col("trailing_mean"), F.col("trailing_std")))
-    )
+    in_order = Window.partitionBy(*series).orderBy("date")
+    frames, marks = [], []
+    if "drawdowns" in types:
+        # One maximum gives peak and date together: it ranks by price, then by
+        # the earlier date. NULL prices rank lowest, so they are never a peak.
+        ranked = F.struct(F.col("adj_close").alias("price"), F.expr("-unix_date(date)").alias("earliness"))
+        frames.append(F.max(ranked).over(in_order.rowsBetween(1 - t.drawdown_window_days, 0)).alias("_peak"))
+        marks.append(F.expr("date_from_unix_date(-_peak.earliness)").alias("peak_date"))
+        marks.append(ratio_change(F.col("adj_close"), F.col("_peak.price")).alias("drawdown_pct"))
+    if "gaps" in types:
+        frames.append(F.lag("close").over(in_order).alias("prior_close"))
+        marks.append(F.col("prior_close"))
+        marks.append(ratio_change(F.col("open"), F.col("prior_close")).alias("gap_pct"))
+    if "volume_spikes" in types:
+        before = in_order.rowsBetween(-t.volume_spike_window_days, -1)
+        frames.append(F.count("volume").over(before).alias("_volumes"))
+        frames.append(F.avg("volume").over(before).alias("_mean"))
+        frames.append(F.stddev_samp("volume").over(before).alias("_std"))
+        full = f"_volumes = {t.volume_spike_window_days}"
+        marks.append(F.expr(f"if({full}, _mean, NULL)").alias("trailing_mean"))
+        marks.append(F.expr(f"if({full}, _std, NULL)").alias("trailing_std"))
+        marks.append(
+            F.when(F.expr(full), zscore(F.col("volume"), F.col("_mean"), F.col("_std"))).alias("volume_zscore")
+        )
+    return bars.select("*", *frames).select(*bars.columns, *marks)
 
 
 def event_tests(t: Thresholds) -> dict[str, str]:
@@ -96,27 +94,25 @@ def _event_columns(event_type: str, t: Thresholds, run_date: date, columns: Sequ
     return out
 
 
-def _events(marked: DataFrame, event_type: str, t: Thresholds, run_date: date) -> DataFrame:
-    hits = _own_rows(marked).filter(event_tests(t)[event_type])
+def _detect(event_type, inputs, lookback, bars, t, run_date, split_rows) -> DataFrame:
+    cut, series = _series(bars.select("ticker", "date", *inputs), lookback, split_rows)
+    hits = _own_rows(mark_bars(cut, [event_type], t, series)).filter(event_tests(t)[event_type])
     return hits.selectExpr(*_event_columns(event_type, t, run_date, EVENT_COLUMNS[event_type]))
 
 
 def drawdowns(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every day at or below the drawdown threshold."""
-    cut, series = _series(bars.select("ticker", "date", "adj_close"), t.drawdown_window_days - 1, split_rows)
-    return _events(mark_drawdowns(cut, t, series), "drawdowns", t, run_date)
+    return _detect("drawdowns", ["adj_close"], t.drawdown_window_days - 1, bars, t, run_date, split_rows)
 
 
 def gaps(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every open that is far from the previous close."""
-    cut, series = _series(bars.select("ticker", "date", "open", "close"), 1, split_rows)
-    return _events(mark_gaps(cut, series), "gaps", t, run_date)
+    return _detect("gaps", ["open", "close"], 1, bars, t, run_date, split_rows)
 
 
 def volume_spikes(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
     """A row for every volume far above its trailing mean."""
-    cut, series = _series(bars.select("ticker", "date", "volume"), t.volume_spike_window_days, split_rows)
-    return _events(mark_volume(cut, t, series), "volume_spikes", t, run_date)
+    return _detect("volume_spikes", ["volume"], t.volume_spike_window_days, bars, t, run_date, split_rows)
 
 
 def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: int | None = None) -> DataFrame:
@@ -126,7 +122,7 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     """
     needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close")
     cut, series = _series(needed, lookback_rows(t), split_rows)
-    marked = _own_rows(mark_volume(mark_gaps(mark_drawdowns(cut, t, series), series), t, series))
+    marked = _own_rows(mark_bars(cut, DERIVED_TYPES, t, series))
     hits = []
     for event_type, test in event_tests(t).items():
         columns = ", ".join(_event_columns(event_type, t, run_date, EVENTS.names))

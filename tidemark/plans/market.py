@@ -45,6 +45,8 @@ Tickers = str | Sequence[str] | DataFrame | None
 
 # Longest series whose windows are left to one task.
 WHOLE_SERIES_ROWS = 1_000_000
+# Longest list of tickers that is sent to every executor: some 10 MB.
+BROADCAST_TICKERS = 200_000
 
 
 class LoadedPrices(NamedTuple):
@@ -88,11 +90,30 @@ def _requested(config: Config, tickers: Tickers, kind: str = "all") -> DataFrame
     return keyed.unique_ordered(keyed.request_list(_spark(), asked))
 
 
+def _are_few(tickers: DataFrame) -> bool:
+    return tickers.limit(BROADCAST_TICKERS + 1).count() <= BROADCAST_TICKERS
+
+
 def _landed_for(config: Config, name: str, requested: DataFrame, key: str = "ticker") -> DataFrame:
+    """Landed rows of the requested tickers, found without a shuffle if they are few."""
     wanted = requested.select(F.col("ticker").alias(key))
+    if _are_few(requested):
+        wanted = F.broadcast(wanted)
     return read_landing(_spark(), config.landing_dir, name).join(wanted, key, "left_semi")
 
 
+def _landed_info(config: Config, requested: DataFrame) -> DataFrame:
+    """The newest landed info of the requested tickers.
+
+    If they are many, older copies are dropped before the join, as a ticker's
+    copies would all meet in one task of it.
+    """
+    if _are_few(requested):
+        return reference.parse_info(_landed_for(config, "raw_info", requested))
+    newest = reference.parse_info(read_landing(_spark(), config.landing_dir, "raw_info"))
+    return newest.join(requested.select("ticker"), "ticker", "left_semi")
+
+
 def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFrame, reason) -> DataFrame:
     """Not pending is current; pending and done is updated; else it is skipped."""
     marked = (
@@ -139,10 +160,9 @@ def ingest_prices(
     stored_last = stored_last_dates(store)
     windows = B.fetch_windows(requested, stored_last, start, end, force)
     # The earliest day any ticker still needs, so that the scan can skip older ones.
-    earliest = windows.agg(F.min("fetch_from")).first()[0]
-    if earliest is not None:
-        usable = B.in_range(usable, earliest, end)
-    new = B.price_increment(usable, windows)
+    earliest, asked = windows.agg(F.min("fetch_from"), F.count(F.lit(1))).first()
+    usable = B.in_range(usable, earliest, end)
+    new = B.price_increment(usable, windows, few=asked <= BROADCAST_TICKERS)
 
     if force:
         taken = new.select("ticker").distinct()
@@ -212,7 +232,7 @@ def ingest_sectors(tickers: Tickers = None, *, force: bool = False, config: Conf
     requested = _requested(config, tickers)
     existing = store.read("sectors", SECTORS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
-    info = reference.parse_info(_landed_for(config, "raw_info", pending))
+    info = _landed_info(config, pending)
     new = reference.sector_rows(info, _run_date(config))
     if not new.isEmpty():
         refreshed = requested if force else None
@@ -231,7 +251,7 @@ def ingest_etf_metadata(etfs: Tickers = None, *, force: bool = False, config: Co
     requested = _requested(config, etfs, "etfs")
     existing = store.read("etf_metadata", ETF_METADATA)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
-    info = reference.parse_info(_landed_for(config, "raw_info", pending))
+    info = _landed_info(config, pending)
     try:
         listed = files.read_etfs(store.spark, config.universe_dir)
     except files.UniverseSnapshotMissing:
