@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
 from conftest import SMALL, RUN_DATE, rows
 
 import tidemark as tm
-from tidemark.plans import market
+from tidemark.plans import derived, market
 from tidemark.schemas import RAW_EARNINGS, RAW_HOLDINGS, RAW_INFO, RAW_PRICES
 from tidemark.sources import files
 
@@ -29,29 +31,26 @@ def land(spark, config, name, data, schema):
     spark.createDataFrame(list(data), schema).write.mode("append").parquet(f"{config.landing_dir}/{name}")
 
 
-@pytest.fixture
-def config(spark, tmp_path):
-    config = tm.Config(
-        data_dir=str(tmp_path / "store"),
-        landing_dir=str(tmp_path / "landing"),
-        universe_dir=str(tmp_path / "universe"),
-        events=SMALL,
-        run_date=RUN_DATE,
-    )
-    (tmp_path / "universe").mkdir()
-    (tmp_path / "universe" / "sp500.csv").write_text(
+def make_config(path):
+    (path / "universe").mkdir()
+    (path / "universe" / "sp500.csv").write_text(
         "ticker,name,sector,weight_pct,source,retrieved_at\n"
         "AAPL,Apple,Tech,7.0,test,2024-01-01\nMSFT,Microsoft,Tech,6.0,test,2024-01-01\n"
     )
-    (tmp_path / "universe" / "etfs.csv").write_text(
+    (path / "universe" / "etfs.csv").write_text(
         "ticker,name,category,avg_dollar_volume,rank,source,retrieved_at\n"
         'SPY,"Trust, the",broad,1.5,1,test,2024-01-01\n'
     )
-    return config
+    return tm.Config(
+        data_dir=str(path / "store"),
+        landing_dir=str(path / "landing"),
+        universe_dir=str(path / "universe"),
+        events=SMALL,
+        run_date=RUN_DATE,
+    )
 
 
-@pytest.fixture
-def landed(spark, config):
+def land_all(spark, config):
     land(spark, config, "raw_prices", (r for t, b in BASES.items() for r in raw_rows(t, b)), RAW_PRICES)
     info = {
         "AAPL": {"sector": "Technology", "industry": "Phones", "quoteType": "EQUITY"},
@@ -59,17 +58,30 @@ def landed(spark, config):
         "SPY": {"quoteType": "ETF", "longName": "SPDR", "fundInceptionDate": 727660800},
     }
     land(spark, config, "raw_info", ((t, json.dumps(i), 0) for t, i in info.items()), RAW_INFO)
-    land(
-        spark,
-        config,
-        "raw_holdings",
-        [("SPY", 0, "AAPL", "Apple", "0.07"), ("SPY", 1, "MSFT", "Microsoft", "0.05")],
-        RAW_HOLDINGS,
-    )
+    holdings = [("SPY", 0, "AAPL", "Apple", "0.07"), ("SPY", 1, "MSFT", "Microsoft", "0.05")]
+    land(spark, config, "raw_holdings", holdings, RAW_HOLDINGS)
     land(spark, config, "raw_earnings", ((t, 0, "2024-01-25", "amc") for t in BASES), RAW_EARNINGS)
+
+
+@pytest.fixture
+def config(tmp_path):
+    return make_config(tmp_path)
+
+
+@pytest.fixture
+def landed(spark, config):
+    land_all(spark, config)
     return config
 
 
+@pytest.fixture(scope="module")
+def ingested(spark, tmp_path_factory):
+    """A full store with its outcome, for tests that publish nothing."""
+    config = make_config(tmp_path_factory.mktemp("market"))
+    land_all(spark, config)
+    return config, ingest(config)
+
+
 def outcome(status):
     return rows(status, "dataset", "ticker", "status")
 
@@ -78,8 +90,8 @@ def ingest(config, **kwargs):
     return tm.ingest_all(start_date=START, end_date=END, config=config, **kwargs)
 
 
-def test_full_ingest_gives_loadable_tables(landed):
-    done = ingest(landed)
+def test_full_ingest_gives_loadable_tables(ingested):
+    landed, done = ingested
     assert outcome(done.prices.status) == [("prices", t, "updated") for t in BASES]
     assert done.prices.rejects.isEmpty()
     loaded = tm.load_prices(list(BASES), config=landed)
@@ -101,8 +113,8 @@ def test_full_ingest_gives_loadable_tables(landed):
     ]
 
 
-def test_full_ingest_derives_the_expected_events(landed):
-    ingest(landed)
+def test_full_ingest_derives_the_expected_events(ingested):
+    landed, _ = ingested
     falls = rows(tm.load_events("drawdowns", config=landed), "ticker", "date", "drawdown_pct")
     expected = [
         ("AAPL", 4, -0.238095),
@@ -169,11 +181,11 @@ def test_increment_takes_only_days_after_the_last(spark, landed):
     ]
     store = market._store(landed)
     assert len(store.batches("prices")) == 2
-    assert rows(market.stored_last_dates(store)) == [("AAPL", END, 5)]
+    assert rows(derived.stored_last_dates(store)) == [("AAPL", END, 5)]
 
 
 def test_force_replaces_the_series_of_tickers_with_bars(spark, landed):
-    ingest(landed)
+    tm.ingest_prices(start_date=START, end_date=END, config=landed)
     done = tm.ingest_prices(
         ["AAPL", "NONE"], start_date=date(2024, 1, 4), end_date=END, force=True, config=landed
     )
@@ -196,8 +208,8 @@ def test_a_bar_without_volume_is_rejected(spark, config):
     assert not market._store(config).exists("prices")
 
 
-def test_load_prices_repeats_what_is_asked_twice(landed):
-    ingest(landed)
+def test_load_prices_repeats_what_is_asked_twice(ingested):
+    landed, _ = ingested
     loaded = tm.load_prices(
         ["MSFT", "NONE", "AAPL", "MSFT"], start="2024-01-02", end="2024-01-03", config=landed
     )
@@ -241,6 +253,15 @@ def test_force_drops_rows_of_tickers_that_are_no_longer_delivered(spark, landed)
     assert rows(tm.load_sectors(config=landed), "ticker", "quote_type") == [("MSFT", "EQUITY"), ("SPY", None)]
 
 
+def test_holdings_of_further_etfs_are_added(spark, landed):
+    land(spark, landed, "raw_holdings", [("007", 0, "MSFT", "Microsoft", "0.5")], RAW_HOLDINGS)
+    tm.ingest_etf_constituents(["SPY"], config=landed)
+    status = tm.ingest_etf_constituents(["SPY", "007"], config=landed)
+    assert outcome(status) == [("etf_holdings", "007", "updated"), ("etf_holdings", "SPY", "already_current")]
+    assert rows(tm.load_etf_holdings("007", config=landed), "etf", "ticker") == [("007", "MSFT")]
+    assert tm.load_etf_holdings("SPY", config=landed).count() == 2
+
+
 def test_force_replaces_holdings_of_delivered_etfs_only(spark, landed):
     land(spark, landed, "raw_holdings", [("QQQ", 0, "MSFT", "Microsoft", "0.5")], RAW_HOLDINGS)
     tm.ingest_etf_constituents(["SPY", "QQQ"], config=landed)
@@ -251,27 +272,30 @@ def test_force_replaces_holdings_of_delivered_etfs_only(spark, landed):
     assert rows(tm.load_etf_holdings("QQQ", config=landed), "ticker") == [("MSFT",)]
 
 
-def test_derived_events_without_any_bars_stay_as_they_are(landed):
-    ingest(landed)
-    derived = tm.ingest_derived_events(["NONE"], config=landed)
-    assert derived.updated == [] and rows(derived.missing, "ticker") == [("NONE",)]
+def test_derived_events_without_any_bars_stay_as_they_are(ingested):
+    landed, _ = ingested
+    detected = tm.ingest_derived_events(["NONE"], config=landed)
+    assert detected.updated == [] and rows(detected.missing, "ticker") == [("NONE",)]
     assert tm.load_events("drawdowns", config=landed).count() == 6
 
 
-def test_derived_events_of_a_requested_ticker_without_bars_go(spark, landed):
-    ingest(landed)
+def test_derived_events_of_a_requested_ticker_without_bars_go(spark, ingested):
+    landed, _ = ingested
     later = tm.Config(landed.data_dir + "2", landed.landing_dir, landed.universe_dir, SMALL, RUN_DATE)
     tm.ingest_prices(["AAPL"], start_date=START, end_date=END, config=later)
     store = market._store(later)
     old = market._store(landed).read("derived_events", market.EVENTS)
-    market._write_events(store, old, [])
-    derived = tm.ingest_derived_events(["AAPL", "MSFT"], config=later)
-    assert derived.updated == ["drawdowns", "gaps", "volume_spikes"]
+    batch = store.new_batch("derived_events", replace=True)
+    derived._write_events(store, batch, old)
+    store.publish(batch)
+    detected = tm.ingest_derived_events(["AAPL", "MSFT"], config=later)
+    assert detected.updated == ["drawdowns", "gaps", "volume_spikes"]
     assert rows(tm.load_events("volume_spikes", config=later), "ticker") == [("AAPL",), ("SPY",)]
 
 
 def test_another_day_rewrites_events_unless_told_not_to(landed):
-    ingest(landed)
+    tm.ingest_prices(start_date=START, end_date=END, config=landed)
+    tm.ingest_derived_events(config=landed)
     tomorrow = tm.Config(
         landed.data_dir, landed.landing_dir, landed.universe_dir, SMALL, RUN_DATE + timedelta(days=1)
     )
@@ -279,8 +303,52 @@ def test_another_day_rewrites_events_unless_told_not_to(landed):
     assert tm.ingest_derived_events(config=tomorrow).updated == ["drawdowns", "gaps", "volume_spikes"]
 
 
-def test_load_events_filters_by_ticker_and_day(landed):
-    ingest(landed)
+def test_new_bars_give_the_events_that_a_full_run_gives(spark, config):
+    rng = random.Random(9)
+
+    def deliver(tickers, days):
+        data = []
+        for ticker in tickers:
+            for d in days:
+                price = float(rng.randint(50, 150))
+                volume = float(rng.choice([100, 110, 120, 9000]))
+                data.append((ticker, START + timedelta(days=d), *[price] * 5, volume, 0))
+        land(spark, config, "raw_prices", data, RAW_PRICES)
+        tm.ingest_prices(["A", "B", "C"], start_date=START, end_date=date(2025, 1, 1), config=config)
+
+    def refresh(tickers=("A", "B", "C")):
+        return tm.ingest_derived_events(list(tickers), config=config, incremental=True).updated
+
+    def batches():
+        return len(market._store(config).batches("derived_events"))
+
+    deliver("AB", range(20))
+    refresh()
+    assert batches() == 1
+    deliver("A", range(20, 30))
+    refresh()
+    assert batches() == 2 and refresh() == [] and batches() == 2
+    deliver("BC", range(20, 40))
+    refresh("B")
+    deliver("ABC", range(40, 45))
+    refresh()
+    assert batches() == 4
+    assert tm.load_events("all", config=config).count() > 50
+    # A full run finds the same rows.
+    full = tm.ingest_derived_events(["A", "B", "C"], config=config, ignore_created_at=True)
+    assert full.updated == []
+    # Other thresholds: all events are derived anew.
+    strict = replace(config, events=replace(SMALL, gap_threshold_pct=0.5))
+    done = tm.ingest_derived_events(["A", "B", "C"], config=strict, incremental=True)
+    assert done.updated == ["gaps"] and batches() == 1
+    # Revised history: likewise.
+    tm.ingest_prices(["A"], start_date=START + timedelta(days=40), end_date=END.replace(year=2025), force=True, config=config)
+    done = tm.ingest_derived_events(["A", "B", "C"], config=strict, incremental=True)
+    assert "drawdowns" in done.updated and batches() == 1
+
+
+def test_load_events_filters_by_ticker_and_day(ingested):
+    landed, _ = ingested
     day = date(2024, 1, 4)
     chosen = tm.load_events("all", ["AAPL", "SPY"], day, day, config=landed)
     assert rows(chosen, "event_type", "ticker") == [
@@ -305,14 +373,14 @@ def test_universe(config):
         tm.load_universe("sp500", config=absent)
 
 
-def test_an_unfinished_batch_is_never_read(spark, landed):
-    ingest(landed)
+def test_an_unfinished_batch_is_never_read(spark, ingested):
+    landed, _ = ingested
     store = market._store(landed)
     half = store.new_batch("prices", replace=False)
     store.write(store.read("prices", market.BARS), half)
     assert tm.load_prices(list(BASES), config=landed).df.count() == 15
-    assert store.new_batch("prices", replace=False) > half
-    assert not files.exists(spark, f"{half}/_PUBLISHED")
+    assert store.new_batch("prices", replace=False).number > half.number
+    assert not files.exists(spark, half.marker)
 
 
 def test_build_etfs_ranks_candidates_by_dollar_volume(spark, landed, tmp_path):

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from conftest import RUN_DATE, rows
 
 import tidemark as tm
-from tidemark.plans import market
+from tidemark.plans import derived, market
 from tidemark.schemas import RAW_PRICES
 from tidemark.streaming.landing import stream_prices
 
@@ -25,7 +25,7 @@ def test_each_run_takes_the_files_that_are_new(spark, tmp_path):
     def run():
         query = stream_prices(spark, ["AAPL"], config=config, checkpoint=str(tmp_path / "checkpoint"))
         assert query.awaitTermination(300)
-        return rows(market.stored_last_dates(market._store(config)))
+        return rows(derived.stored_last_dates(market._store(config)))
 
     deliver([0, 1])
     assert run() == [("AAPL", date(2024, 1, 2), 2)]

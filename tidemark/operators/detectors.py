@@ -119,8 +119,9 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     """All three detectors in one pass: one shuffle and one sort of the bars.
 
     Each bar yields its events by exploding the hits, in the common layout.
+    Bars that come as ``borrowed`` are looked back on but yield none.
     """
-    needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close")
+    needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close", *_flag(bars))
     cut, series = _series(needed, lookback_rows(t), split_rows)
     marked = _own_rows(mark_bars(cut, DERIVED_TYPES, t, series))
     hits = []
@@ -131,11 +132,15 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
 
 
 def _series(bars: DataFrame, lookback: int, split_rows: int | None) -> tuple[DataFrame, list[str]]:
-    if split_rows is None:
+    if split_rows is None or _flag(bars):
         return bars, ["ticker"]
     return split_series(bars, lookback, split_rows), SERIES
 
 
+def _flag(bars: DataFrame) -> list[str]:
+    return [c for c in bars.columns if c == "borrowed"]
+
+
 def _own_rows(marked: DataFrame) -> DataFrame:
-    """Without the rows a chunk only borrowed for its look-back."""
-    return marked.filter(~F.col("borrowed")) if "borrowed" in marked.columns else marked
+    """Without the rows that were only borrowed for their look-back."""
+    return marked.filter(~F.col("borrowed")) if _flag(marked) else marked

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
-from tidemark.operators import detectors, events, keyed, reference, universe
+from tidemark.operators import events, keyed, reference, universe
+from tidemark.plans import derived
 from tidemark.schemas import (
     BARS,
-    CONTENT,
     DEFAULT_START,
     DERIVED_TYPES,
     EARNINGS,
@@ -33,18 +33,17 @@ from tidemark.schemas import (
     RANKING_DAYS,
     SECTORS,
     SP500,
+    STATUS,
     TOP_ETFS,
     Config,
 )
 from tidemark.session import prepare
 from tidemark.sources import files
 from tidemark.sources.landing import read_landing
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import Batch, TableStore
 
 Tickers = str | Sequence[str] | DataFrame | None
 
-# Longest series whose windows are left to one task.
-WHOLE_SERIES_ROWS = 1_000_000
 # Longest list of tickers that is sent to every executor: some 10 MB.
 BROADCAST_TICKERS = 200_000
 
@@ -157,7 +156,7 @@ def ingest_prices(
     raw = read_landing(store.spark, config.landing_dir, "raw_prices") if landed is None else landed
     usable, rejects = B.split_rejects(B.normalise_bars(raw))
 
-    stored_last = stored_last_dates(store)
+    stored_last = derived.stored_last_dates(store)
     windows = B.fetch_windows(requested, stored_last, start, end, force)
     # The earliest day any ticker still needs, so that the scan can skip older ones.
     earliest, asked = windows.agg(F.min("fetch_from"), F.count(F.lit(1))).first()
@@ -182,20 +181,12 @@ def ingest_prices(
     return PriceIngest(B.price_status(windows, taken, force), rejects)
 
 
-def _write_bars(store: TableStore, batch: str, bars: DataFrame) -> DataFrame:
+def _write_bars(store: TableStore, batch: Batch, bars: DataFrame) -> DataFrame:
     """Write a batch of bars with its last dates beside it; returns the latter."""
     written = store.write(bars.select(*BARS.names), batch, sort=["ticker", "date"])
     return store.write(B.last_dates(written), batch, part="last", sort=["ticker"])
 
 
-def stored_last_dates(store: TableStore) -> DataFrame:
-    """The last stored date per ticker, from what each batch keeps beside it."""
-    lasts = store.read("prices", LAST_DATES, part="last")
-    return lasts.groupBy("ticker").agg(
-        F.max("last_date").alias("last_date"), F.sum("bars").alias("bars")
-    )
-
-
 def load_prices(
     tickers: str | Sequence[str] | DataFrame,
     start: date | str | None = None,
@@ -363,6 +354,7 @@ def ingest_derived_events(
     force: bool = False,
     config: Config,
     ignore_created_at: bool = False,
+    incremental: bool = False,
 ) -> DerivedEvents:
     """Detect drawdowns, gaps and volume spikes in the stored bars.
 
@@ -370,59 +362,30 @@ def ingest_derived_events(
     bars. The result is published only if its content differs from the
     current one, by default also if it differs in created_at alone. Returns
     the event types that differ, and the tickers that have no bars.
+
+    With ``incremental``, events of bars stored since the last such run are
+    added instead, and earlier events keep their created_at.
     """
     store = _store(config)
     requested = _requested(config, tickers)
-    lasts = stored_last_dates(store)
-    missing = keyed.missing_from_snapshot(requested, lasts)
-    existing = store.read("derived_events", EVENTS)
-    wanted = lasts.join(requested.select("ticker"), "ticker", "left_semi")
-    longest = wanted.agg(F.max("bars")).first()[0]
-    if longest is None:
-        if force or not store.exists("derived_events"):
-            _write_events(store, existing, [])
-        return DerivedEvents([], missing)
-
-    # Series are cut only where one is too long for a task.
-    split_rows = WHOLE_SERIES_ROWS if longest > WHOLE_SERIES_ROWS else None
-    bars, _ = B.load_bars(store.read("prices", BARS), requested, adjusted=False)
-    found = detectors.detect_events(bars, config.events, _run_date(config), split_rows)
-    # Bars are unique, and so are their events: nothing to de-duplicate.
-    rows = keyed.without(existing, requested).unionByName(found)
-    return DerivedEvents(_write_events(store, rows, DERIVED_TYPES, ignore_created_at), missing)
-
-
-def _write_events(
-    store: TableStore, rows: DataFrame, types: Sequence[str], ignore_created_at: bool = False
-) -> list[str]:
-    """Write the derived events; returns which of the types have changed.
-
-    Nothing is published if none has, and the table exists. The hashes that
-    tell are kept beside each batch, so the old events are not read for it.
-    """
-    batch = store.new_batch("derived_events", replace=True)
-    order = ["event_type", "ticker", "date"]
-    written = store.write(rows, batch, sort=order, partition_by=["event_type"], spread=False)
-    undated = keyed.fingerprint(written, ["event_type"], ignore=["created_at"])
-    content = keyed.fingerprint(written, ["event_type"]).join(
-        undated.select("event_type", F.col("content_hash").alias("undated_hash")), "event_type"
-    )
-    hashes = store.write(content.select(*CONTENT.names).coalesce(1), batch, part="content")
-    compared = ["event_type", "n_rows", "undated_hash" if ignore_created_at else "content_hash"]
-    before = store.read("derived_events", CONTENT, part="content").select(*compared)
-    differing = keyed.table_diff(before, hashes.select(*compared)).select("event_type").distinct()
-    # At most as many rows as there are event types.
-    found = {row.event_type for row in differing.collect()}
-    changed = [t for t in types if t in found]
-    if changed or not store.exists("derived_events"):
-        store.publish(batch)
+    missing = keyed.missing_from_snapshot(requested, derived.stored_last_dates(store))
+    today = _run_date(config)
+    if incremental and not force:
+        changed = derived.refresh_new(store, requested, config.events, today)
     else:
-        store.discard(batch)
-    return changed
+        changed = derived.refresh_all(
+            store, requested, config.events, today, force, ignore_created_at
+        )
+    return DerivedEvents(changed, missing)
 
 
 def ingest_events(
-    tickers: Tickers = None, *, force: bool = False, skip_earnings: bool = False, config: Config
+    tickers: Tickers = None,
+    *,
+    force: bool = False,
+    skip_earnings: bool = False,
+    incremental: bool = False,
+    config: Config,
 ) -> DataFrame:
     """Earnings, then derived events; the outcome as status rows.
 
@@ -431,15 +394,13 @@ def ingest_events(
     parts = []
     if not skip_earnings:
         parts.append(ingest_earnings(tickers, force=force, config=config))
-    derived = ingest_derived_events(tickers, force=force, config=config)
+    detected = ingest_derived_events(tickers, force=force, config=config, incremental=incremental)
     types = [
-        (t, None, "updated" if t in derived.updated else "already_current", None) for t in DERIVED_TYPES
+        (t, None, "updated" if t in detected.updated else "already_current", None) for t in DERIVED_TYPES
     ]
+    parts.append(_spark().createDataFrame(types, STATUS))
     parts.append(
-        _spark().createDataFrame(types, "dataset string, ticker string, status string, reason string")
-    )
-    parts.append(
-        derived.missing.select(
+        detected.missing.select(
             F.lit("derived_events").alias("dataset"),
             "ticker",
             F.lit("skipped").alias("status"),
@@ -462,9 +423,9 @@ def load_events(
     if event_type == "earnings":
         tables = [store.read("earnings", EARNINGS)]
     elif event_type in EVENT_COLUMNS:
-        tables = [store.read("derived_events", EVENTS)]
+        tables = [store.read(derived.TABLE, EVENTS)]
     else:
-        tables = [store.read("earnings", EARNINGS), store.read("derived_events", EVENTS)]
+        tables = [store.read("earnings", EARNINGS), store.read(derived.TABLE, EVENTS)]
     return events.select_events(events.union_events(*tables), event_type, tickers, start, end)
 
 
@@ -525,6 +486,7 @@ def ingest_all(
     start_date: date | None = None,
     end_date: date | None = None,
     skip_earnings: bool = False,
+    incremental: bool = False,
     config: Config,
 ) -> StoreIngest:
     """Prices, then reference data, then events."""
@@ -532,7 +494,9 @@ def ingest_all(
         tickers, start_date=start_date, end_date=end_date, force=force, config=config
     )
     snapshots = ingest_reference(tickers, force=force, config=config)
-    outcome = ingest_events(tickers, force=force, skip_earnings=skip_earnings, config=config)
+    outcome = ingest_events(
+        tickers, force=force, skip_earnings=skip_earnings, incremental=incremental, config=config
+    )
     return StoreIngest(prices, snapshots, outcome)
 
 
@@ -548,7 +512,7 @@ def store_fingerprint(*, config: Config) -> DataFrame:
         "etf_metadata": ETF_METADATA,
         "etf_holdings": ETF_HOLDINGS,
         "earnings": EARNINGS,
-        "derived_events": EVENTS,
+        derived.TABLE: EVENTS,
     }
     totals = [
         keyed.fingerprint(store.read(name, schema)).select(F.lit(name).alias("table"), "n_rows", "content_hash")

@@ -83,6 +83,8 @@ CONTENT = T.StructType(
         T.StructField("undated_hash", T.DecimalType(38, 0)),
     ]
 )
+# The last bar of each ticker that events were derived from.
+SEEN = _schema("ticker string, last_date date, basis string")
 EARNINGS = T.StructType([EVENTS[c] for c in EVENT_COLUMNS["earnings"]])
 
 STATUS = _schema("dataset string, ticker string, status string, reason string")

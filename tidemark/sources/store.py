@@ -1,10 +1,14 @@
 """The data store: Parquet tables that are replaced or added to as a whole.
 
-A table is a folder of generations, each a folder of batches. Replacing a
-table starts a generation; adding rows adds a batch. A batch counts once it
-holds a marker file, written last, so readers never see half a write and a
-job that dies leaves nothing but an unmarked folder. Published files are
-never changed: a job may read a table and publish its successor. Frames read
+A table is a folder of generations. Replacing a table starts a generation;
+adding rows adds a batch to it. Layout:
+
+    <table>/g000001/<part>/batch=000001/   rows, and small tables beside them
+    <table>/g000001/_published/000001      marker: the batch counts
+
+The marker is written last, so readers never see half a write and a job that
+dies leaves nothing but an unmarked folder. Published files are never
+changed: a job may read a table and publish its successor. Frames read
 earlier stay valid until their table has been replaced twice; then their
 generation is deleted.
 
@@ -21,56 +25,77 @@ from pyspark.sql import types as T
 
 from tidemark.sources import files
 
-MARKER = "_PUBLISHED"
+MARKERS = "_published"
 MAX_RECORDS_PER_FILE = 20_000_000
 KEPT_GENERATIONS = 2
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A set of rows of a table that is published at once."""
+
+    generation: str
+    number: str
+
+    def part(self, name: str) -> str:
+        return f"{self.generation}/{name}/batch={self.number}"
+
+    @property
+    def marker(self) -> str:
+        return f"{self.generation}/{MARKERS}/{self.number}"
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
     root: str
 
-    def batches(self, table: str) -> list[str]:
+    def batches(self, table: str) -> list[Batch]:
         """Published batches of the newest generation that has any."""
         base = f"{self.root}/{table}"
-        for generation in reversed(files.children(self.spark, base)):
-            folder = f"{base}/{generation}"
-            published = [
-                f"{folder}/{b}"
-                for b in files.children(self.spark, folder)
-                if files.exists(self.spark, f"{folder}/{b}/{MARKER}")
-            ]
+        for name in reversed(files.children(self.spark, base)):
+            published = files.children(self.spark, f"{base}/{name}/{MARKERS}")
             if published:
-                return published
+                return [Batch(f"{base}/{name}", number) for number in published]
         return []
 
     def exists(self, table: str) -> bool:
         return bool(self.batches(table))
 
+    def has_part(self, batch: Batch, part: str) -> bool:
+        return files.exists(self.spark, batch.part(part))
+
     def read(self, table: str, schema: T.StructType, part: str = "rows") -> DataFrame:
         """The current rows; an empty table with the schema if there are none."""
-        paths = [f"{b}/{part}" for b in self.batches(table)]
-        if not paths:
+        batches = [b for b in self.batches(table) if self.has_part(b, part)]
+        if not batches:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self._read(batches, part, schema)
+
+    def _read(self, batches: Sequence[Batch], part: str, schema: T.StructType) -> DataFrame:
+        reader = self.spark.read.schema(schema).option("basePath", f"{batches[0].generation}/{part}")
+        return reader.parquet(*[b.part(part) for b in batches]).select(*schema.names)
 
-    def new_batch(self, table: str, replace: bool) -> str:
-        """An unused folder: in a new generation, or after the current batches."""
+    def new_batch(self, table: str, replace: bool) -> Batch:
+        """An unused batch: in a new generation, or after the current batches."""
         base = f"{self.root}/{table}"
-        generations = files.children(self.spark, base)
         current = self.batches(table)
         if current and not replace:
-            folder = current[-1].rsplit("/", 1)[0]
-            taken = files.children(self.spark, folder)
-            return f"{folder}/b{int(taken[-1][1:]) + 1:06d}"
+            folder = current[-1].generation
+            taken = [
+                int(name.removeprefix("batch="))
+                for part in files.children(self.spark, folder)
+                for name in files.children(self.spark, f"{folder}/{part}")
+            ]
+            return Batch(folder, f"{max(taken) + 1:06d}")
+        generations = files.children(self.spark, base)
         last = int(generations[-1][1:]) if generations else 0
-        return f"{base}/g{last + 1:06d}/b000001"
+        return Batch(f"{base}/g{last + 1:06d}", "000001")
 
     def write(
         self,
         df: DataFrame,
-        batch: str,
+        batch: Batch,
         part: str = "rows",
         sort: Sequence[str] = (),
         partition_by: Sequence[str] = (),
@@ -87,23 +112,28 @@ class TableStore:
             df = df.repartitionByRange(*sort)
         if sort:
             df = df.sortWithinPartitions(*sort)
-        path = f"{batch}/{part}"
         writer = df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        writer.parquet(batch.part(part))
+        return self._read([batch], part, df.schema)
 
-    def publish(self, batch: str) -> None:
+    def publish(self, batch: Batch) -> None:
         """Make a batch count, and delete generations that nobody should read."""
-        files.create_empty(self.spark, f"{batch}/{MARKER}")
-        table, newest, _ = batch.rsplit("/", 2)
+        files.create_empty(self.spark, batch.marker)
+        table, newest = batch.generation.rsplit("/", 1)
         older = [g for g in files.children(self.spark, table) if g < newest]
         for generation in older[: 1 - KEPT_GENERATIONS]:
             files.remove(self.spark, f"{table}/{generation}")
 
-    def discard(self, batch: str) -> None:
-        files.remove(self.spark, batch)
+    def discard(self, batch: Batch) -> None:
+        """Delete what was written of a batch that is not to be published."""
+        if not files.children(self.spark, f"{batch.generation}/{MARKERS}"):
+            files.remove(self.spark, batch.generation)
+            return
+        for part in files.children(self.spark, batch.generation):
+            if part != MARKERS:
+                files.remove(self.spark, batch.part(part))
 
     def replace(
         self, table: str, df: DataFrame, sort: Sequence[str], partition_by: Sequence[str] = ()
