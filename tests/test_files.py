@@ -88,6 +88,9 @@ def test_manifest_hashes_every_file(spark, tmp_path):
         (name, 3, hashlib.sha256(data).hexdigest()) for name, data in (("a.bin", b"one"), ("y/b.bin", b"two"))
     ]
     assert tm.data_store_manifest(spark, str(tmp_path / "absent")).isEmpty()
+    tm.write_manifest(spark, str(tmp_path / "x"), str(tmp_path / "manifest"))
+    written = spark.read.option("header", True).csv(str(tmp_path / "manifest"))
+    assert rows(written, "path", "size_bytes") == [("a.bin", "3"), ("y/b.bin", "3")]
 
 
 def test_ticker_files_with_nanosecond_dates_are_read(spark, tmp_path):

@@ -93,6 +93,12 @@ def ingest(config, **kwargs):
 def test_full_ingest_gives_loadable_tables(ingested):
     landed, done = ingested
     assert outcome(done.prices.status) == [("prices", t, "updated") for t in BASES]
+    assert rows(tm.run_summary(done.prices.status)) == [("prices", "updated", 3)]
+    assert rows(tm.run_summary(done.reference)) == [
+        ("etf_holdings", "updated", 1),
+        ("etf_metadata", "updated", 1),
+        ("sectors", "updated", 3),
+    ]
     assert done.prices.rejects.isEmpty()
     loaded = tm.load_prices(list(BASES), config=landed)
     assert loaded.missing.isEmpty() and loaded.df.count() == 15
@@ -162,7 +168,7 @@ def test_ingest_of_some_tickers_takes_the_etfs_among_them(landed):
 
 
 def test_increment_takes_only_days_after_the_last(spark, landed):
-    tm.ingest_prices(["AAPL"], start_date=START, end_date=date(2024, 1, 3), config=landed)
+    tm.ingest_prices(["AAPL"], start_date="2024-01-01", end_date="2024-01-03", config=landed)
     # A late revision of a stored day is not taken; of new days the last delivery is.
     revised = [
         ("AAPL", date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 99),

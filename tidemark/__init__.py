@@ -1,5 +1,6 @@
 """Daily market data on Spark: ingest, keyed snapshots, event detection."""
 
+from tidemark.operators.summary import run_summary, updated_tickers
 from tidemark.plans.market import (
     DerivedEvents,
     LoadedPrices,
@@ -26,7 +27,7 @@ from tidemark.plans.market import (
     store_fingerprint,
 )
 from tidemark.schemas import Config, Thresholds
-from tidemark.sources.files import UniverseSnapshotMissing, data_store_manifest
+from tidemark.sources.files import UniverseSnapshotMissing, data_store_manifest, write_manifest
 
 __all__ = [
     "Config",
@@ -55,5 +56,8 @@ __all__ = [
     "load_prices",
     "load_sectors",
     "load_universe",
+    "run_summary",
     "store_fingerprint",
+    "updated_tickers",
+    "write_manifest",
 ]

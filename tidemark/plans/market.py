@@ -84,6 +84,10 @@ def _run_date(config: Config) -> date:
     return config.run_date or datetime.now(timezone.utc).date()
 
 
+def _as_date(value: date | str | None) -> date | None:
+    return date.fromisoformat(value) if isinstance(value, str) else value
+
+
 def _requested(config: Config, tickers: Tickers, kind: str = "all") -> DataFrame:
     asked = load_universe(kind, config=config) if tickers is None else tickers
     return keyed.unique_ordered(keyed.request_list(_spark(), asked))
@@ -136,8 +140,8 @@ def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFr
 def ingest_prices(
     tickers: Tickers = None,
     *,
-    start_date: date | None = None,
-    end_date: date | None = None,
+    start_date: date | str | None = None,
+    end_date: date | str | None = None,
     force: bool = False,
     config: Config,
     landed: DataFrame | None = None,
@@ -150,8 +154,8 @@ def ingest_prices(
     landing table, for a stream's micro-batch.
     """
     store = _store(config)
-    start = start_date or DEFAULT_START
-    end = end_date or _run_date(config)
+    start = _as_date(start_date) or DEFAULT_START
+    end = _as_date(end_date) or _run_date(config)
     requested = _requested(config, tickers)
     raw = read_landing(store.spark, config.landing_dir, "raw_prices") if landed is None else landed
     usable, rejects = B.split_rejects(B.normalise_bars(raw))
@@ -483,8 +487,8 @@ def ingest_all(
     tickers: Tickers = None,
     *,
     force: bool = False,
-    start_date: date | None = None,
-    end_date: date | None = None,
+    start_date: date | str | None = None,
+    end_date: date | str | None = None,
     skip_earnings: bool = False,
     incremental: bool = False,
     config: Config,

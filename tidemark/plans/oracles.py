@@ -138,6 +138,12 @@ info AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) r
   WHERE rn = 1)"""
 
+SECTORS = f"""WITH {INFO} SELECT CAST(user_id AS VARCHAR) AS ticker,
+  CASE WHEN k % 3 <> 0 THEN event_type END AS sector,
+  CASE WHEN k % 4 <> 0 THEN 'Industry ' || k END AS industry,
+  CASE WHEN k % 2 = 0 THEN 'ETF' ELSE 'EQUITY' END AS quote_type,
+  'yfinance .info' AS source, {RUN_DATE} AS retrieved_at FROM info"""
+
 HELD = """
 cents AS (SELECT c_nationkey, sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS cents
   FROM customer GROUP BY c_nationkey),
@@ -196,6 +202,7 @@ ORACLES: dict[str, str] = {
       CASE WHEN status = 'skipped' THEN 'no bars delivered in range' END AS reason FROM status""",
     "run_summary": f"""WITH {INGEST} SELECT dataset, status, count(*) AS tickers FROM status
       GROUP BY dataset, status""",
+    "updated_tickers": f"WITH {INGEST} SELECT ticker FROM status WHERE status = 'updated'",
     "last_dates": f"""WITH {BARS} SELECT ticker, max(date) AS last_date, count(*) AS bars
       FROM bars GROUP BY ticker""",
     "wide_to_long_prices": f"WITH {BARS} SELECT * FROM bars",
@@ -222,11 +229,13 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT *, 1 FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old) added) d
       GROUP BY o_orderkey, o_custkey, o_totalprice, o_orderpriority""",
     "unique_ordered": f"WITH {BRANDS} SELECT position, ticker FROM brands",
-    "sectors_from_info": f"""WITH {INFO} SELECT CAST(user_id AS VARCHAR) AS ticker,
-        CASE WHEN k % 3 <> 0 THEN event_type END AS sector,
-        CASE WHEN k % 4 <> 0 THEN 'Industry ' || k END AS industry,
-        CASE WHEN k % 2 = 0 THEN 'ETF' ELSE 'EQUITY' END AS quote_type,
-        'yfinance .info' AS source, {RUN_DATE} AS retrieved_at FROM info""",
+    "sectors_from_info": SECTORS,
+    "store_sectors": SECTORS,
+    "store_events": f"WITH {BARS} {_derived(STRICT)}",
+    "store_prices": f"""WITH {INGEST},
+      kept AS (SELECT * FROM bars WHERE date < DATE '1999-01-01' AND ticker <> 'Brand#7'
+        UNION ALL SELECT * REPLACE (close * CAST(1.01 AS DOUBLE) AS close) FROM increment)
+      SELECT position, kept.* FROM kept JOIN request r ON kept.ticker = r.ticker""",
     "metadata_from_info": f"""WITH {INFO} SELECT CAST(c_custkey AS VARCHAR) AS ticker,
         CASE WHEN k % 5 <> 0 THEN 'Long ' || k WHEN k % 7 <> 0 THEN 'Short ' || k ELSE c_name END AS name,
         c_mktsegment AS category,

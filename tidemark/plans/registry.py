@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import detectors, events, keyed, reference, summary, universe
-from tidemark.plans import standins
-from tidemark.schemas import Thresholds
+from tidemark.plans import market, standins
+from tidemark.schemas import Config, Thresholds
 from tidemark.session import prepare, shared_folder
 from tidemark.sources import files
 
@@ -25,6 +25,8 @@ STANDARD = Thresholds()
 STRICT = Thresholds(drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
 
 # The price ingest: what is stored, and what is delivered on top of it.
+EARLIEST = date(1990, 1, 1)
+LAST_STORED = date(1998, 12, 31)
 CUTOFF = date(1999, 1, 1)
 DELIVERED_FROM = date(1998, 12, 22)
 DELIVERED_TO = date(2000, 6, 30)
@@ -112,25 +114,20 @@ def missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = standins.bars(spark, sf_dir, end=date(1998, 12, 31))
+    stored = standins.bars(spark, sf_dir, end=LAST_STORED)
     return B.last_dates(stored.filter(F.col("ticker") != UNSTORED))
 
 
+def _as_delivered(bars: DataFrame) -> DataFrame:
+    """Bars under the names of a delivery."""
+    return bars.select("ticker", *[F.col(name).alias(raw) for raw, name in B.RAW_TO_BAR.items()])
+
+
 def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars around and after the cut-off, delivered twice, the close revised."""
-    bars = standins.bars(spark, sf_dir, DELIVERED_FROM, DELIVERED_TO)
-    twice = bars.withColumn("position", F.explode(F.array(F.lit(0), F.lit(1))))
-    return twice.select(
-        "ticker",
-        F.col("date").alias("Date"),
-        F.col("open").alias("Open"),
-        F.col("high").alias("High"),
-        F.col("low").alias("Low"),
-        (F.col("close") * F.when(F.col("position") == 1, 1.01).otherwise(1.0)).alias("Close"),
-        F.col("adj_close").alias("Adj Close"),
-        F.col("volume").alias("Volume"),
-        "position",
-    )
+    raw = _as_delivered(standins.bars(spark, sf_dir, DELIVERED_FROM, DELIVERED_TO))
+    twice = raw.withColumn("position", F.explode(F.array(F.lit(0), F.lit(1))))
+    return twice.withColumn("Close", F.expr("Close * if(position = 1, 1.01D, 1.0D)"))
 
 
 def _price_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +152,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.run_summary(price_status(spark, sf_dir))
 
 
+def updated_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.updated_tickers(price_status(spark, sf_dir))
+
+
 def last_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.last_dates(standins.bars(spark, sf_dir))
 
@@ -326,6 +327,58 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.data_store_manifest(spark, sf_dir)
 
 
+# --- the store --------------------------------------------------------------
+
+
+def _new_store(spark: SparkSession, thresholds: Thresholds = STANDARD) -> Config:
+    folder = f"{shared_folder(spark)}/market-{uuid.uuid4().hex}"
+    return Config(
+        f"{folder}/store", f"{folder}/landing", f"{folder}/universe", thresholds, RUN_DATE
+    )
+
+
+def store_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars up to the cut-off ingested, then the delivery around it; loaded."""
+    config = _new_store(spark)
+    asked = brand_and_type_request(spark, sf_dir)
+    first = standins.bars(spark, sf_dir, end=LAST_STORED).filter(F.col("ticker") != UNSTORED)
+    market.ingest_prices(
+        asked, start_date=EARLIEST, end_date=LAST_STORED, config=config, landed=_as_delivered(first)
+    )
+    market.ingest_prices(
+        asked,
+        start_date=CUTOFF,
+        end_date=DELIVERED_TO,
+        config=config,
+        landed=_delivered(spark, sf_dir),
+    )
+    return market.load_prices(asked, adjusted=False, config=config).df
+
+
+def store_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars ingested in two parts, the events of each derived as it comes."""
+    config = _new_store(spark, STRICT)
+    asked = brand_request(spark, sf_dir)
+    for start, end in ((EARLIEST, LAST_STORED), (CUTOFF, RUN_DATE)):
+        landed = _as_delivered(standins.bars(spark, sf_dir, start, end))
+        market.ingest_prices(asked, start_date=start, end_date=end, config=config, landed=landed)
+        market.ingest_derived_events(asked, config=config, incremental=True)
+    return _rounded(market.load_events("all", config=config))
+
+
+def store_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' info landed; sectors ingested for half of the users, then for all."""
+    config = _new_store(spark)
+    standins.raw_info(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_info")
+    users = standins.table(spark, sf_dir, "events").selectExpr(
+        "user_id AS position", "CAST(user_id AS STRING) AS ticker"
+    )
+    asked = keyed.unique_ordered(users)
+    market.ingest_sectors(asked.filter("position % 2 = 0"), config=config)
+    market.ingest_sectors(asked, config=config)
+    return market.load_sectors(config=config)
+
+
 QUERIES: dict[str, Query] = {
     "drawdowns": _detector(detectors.drawdowns, STANDARD),
     "drawdowns_strict": _detector(detectors.drawdowns, STRICT),
@@ -342,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "price_increment": price_increment,
     "price_status": price_status,
     "run_summary": run_summary,
+    "updated_tickers": updated_tickers,
     "last_dates": last_dates,
     "wide_to_long_prices": wide_to_long_prices,
     "merge_snapshot": merge_snapshot,
@@ -361,6 +415,9 @@ QUERIES: dict[str, Query] = {
     "etf_enriched": etf_enriched,
     "dirty_csv_holdings": dirty_csv_holdings,
     "manifest": manifest,
+    "store_prices": store_prices,
+    "store_events": store_events,
+    "store_sectors": store_sectors,
 }
 
 

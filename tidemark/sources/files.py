@@ -104,10 +104,16 @@ def data_store_manifest(spark: SparkSession, path: str) -> DataFrame:
     ).orderBy("path")
 
 
+def write_manifest(spark: SparkSession, path: str, target: str) -> None:
+    """Write the manifest of a folder as CSV."""
+    write_csv(data_store_manifest(spark, path), target)
+
+
 def read_ticker_files(spark: SparkSession, path: str) -> DataFrame:
     """Bars from a folder with one Parquet file per ticker, named after it.
 
-    Such files hold nanosecond dates, which Spark reads as numbers only.
+    Such files hold nanosecond dates, which Spark reads as numbers only; the
+    session option for that is switched on.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     schema = T.StructType(
