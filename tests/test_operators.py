@@ -148,6 +148,18 @@ def test_price_increment_takes_each_ticker_from_its_own_day(spark, few):
     ]
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_the_earliest_day_needed_reaches_the_scan_of_the_landing_table(spark, tmp_path, kind):
+    day = ("AAPL", "2024-01-04", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0)
+    path = str(tmp_path / "raw")
+    raw_prices(spark, [day]).withColumn("Date", F.col("Date").cast(kind)).write.parquet(path)
+    usable, _ = B.split_rejects(B.normalise_bars(spark.read.parquet(path)))
+    recent = B.in_range(usable, date(2024, 1, 2), date(2024, 1, 5))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(Date,2024-01-02" in plan[plan.index("PushedFilters") :]
+    assert rows(recent, "date") == [(date(2024, 1, 4),)]
+
+
 # --- keyed tables -----------------------------------------------------------
 
 
@@ -176,6 +188,24 @@ def test_merge_snapshot(spark):
     ]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_merge_snapshot_agrees_with_brute_force(spark, seed):
+    rng = random.Random(seed)
+    old = {k: ("old", rng.randint(0, 9)) for k in rng.sample("ABCDEFGH", 5)}
+    new = [(rng.choice("ABCDEFGHIJ"), ("new", rng.randint(0, 9))) for _ in range(8)]
+    refreshed = rng.sample("ABCDEFGH", 3) if seed else None
+    expected = {k: v for k, v in old.items() if not refreshed or k not in refreshed} | dict(new)
+    schema = "ticker string, origin string, v int, position bigint"
+    merged = keyed.merge_snapshot(
+        spark.createDataFrame([(k, *v, 0) for k, v in old.items()], schema).drop("position"),
+        spark.createDataFrame([(k, *v, i) for i, (k, v) in enumerate(new)], schema),
+        ["ticker", "origin", "v"],
+        ["ticker"],
+        keyed.request_list(spark, refreshed) if refreshed else None,
+    )
+    assert rows(merged) == sorted((k, *v) for k, v in expected.items())
+
+
 def test_keep_last_cuts_a_hot_key_before_the_shuffle(spark):
     """One key holds most rows; at most one of them per task is shuffled."""
     hot = spark.range(100_000, numPartitions=4).select(

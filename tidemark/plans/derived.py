@@ -146,7 +146,7 @@ def _write_events(store: TableStore, batch: Batch, rows: DataFrame) -> DataFrame
     """Write events and their content hashes; returns the latter."""
     order = ["event_type", "ticker", "date"]
     written = store.write(
-        rows.select(*EVENTS.names), batch, sort=order, partition_by=["event_type"], spread=False
+        rows.select(*EVENTS.names), batch, sort=order, partition_by=["event_type"]
     )
     undated = keyed.fingerprint(written, ["event_type"], ignore=["created_at"])
     content = keyed.fingerprint(written, ["event_type"]).join(
@@ -159,8 +159,8 @@ def _write_state(
     store: TableStore, batch: Batch, lasts: DataFrame, tail: DataFrame, basis: str
 ) -> None:
     seen = lasts.select("ticker", "last_date", F.lit(basis).alias("basis"))
-    store.write(seen, batch, part="seen", sort=["ticker"])
-    store.write(tail, batch, part="tail", sort=["ticker", "date"], spread=False)
+    store.write(seen, batch, part="seen")
+    store.write(tail, batch, part="tail")
 
 
 def _changed(store: TableStore, content: DataFrame, hash_column: str) -> Sequence[str]:

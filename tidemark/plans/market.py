@@ -46,6 +46,8 @@ Tickers = str | Sequence[str] | DataFrame | None
 
 # Longest list of tickers that is sent to every executor: some 10 MB.
 BROADCAST_TICKERS = 200_000
+# Longest list of tickers that is pushed to the scan as a filter.
+PUSHED_TICKERS = 1_000
 
 
 class LoadedPrices(NamedTuple):
@@ -187,8 +189,8 @@ def ingest_prices(
 
 def _write_bars(store: TableStore, batch: Batch, bars: DataFrame) -> DataFrame:
     """Write a batch of bars with its last dates beside it; returns the latter."""
-    written = store.write(bars.select(*BARS.names), batch, sort=["ticker", "date"])
-    return store.write(B.last_dates(written), batch, part="last", sort=["ticker"])
+    written = store.write(bars.select(*BARS.names), batch, sort=["ticker", "date"], spread=True)
+    return store.write(B.last_dates(written), batch, part="last")
 
 
 def load_prices(
@@ -208,7 +210,8 @@ def load_prices(
     stored = store.read("prices", BARS)
     if isinstance(tickers, (list, tuple, str)):
         wanted = [tickers] if isinstance(tickers, str) else list(tickers)
-        stored = stored.filter(F.col("ticker").isin(wanted))
+        if len(wanted) <= PUSHED_TICKERS:
+            stored = stored.filter(F.col("ticker").isin(wanted))
     return LoadedPrices(
         *B.load_bars(stored, keyed.request_list(store.spark, tickers), start, end, adjusted)
     )
@@ -273,7 +276,7 @@ def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config
     new = reference.normalise_holdings(raw, _run_date(config))
     done = new.select(F.col("etf").alias("ticker")).distinct()
     if not new.isEmpty():
-        layout = {"sort": ["etf", "position"], "partition_by": ["etf"]}
+        layout = {"sort": ["etf", "position"], "spread": True, "partition_by": ["etf"]}
         if force:
             kept = existing.join(new.select("etf").distinct(), "etf", "left_anti")
             rows = kept.select(*ETF_HOLDINGS.names).unionByName(new)

@@ -99,14 +99,14 @@ class TableStore:
         part: str = "rows",
         sort: Sequence[str] = (),
         partition_by: Sequence[str] = (),
-        spread: bool = True,
+        spread: bool = False,
     ) -> DataFrame:
         """Write one part of an unpublished batch and read it back.
 
-        Rows are range partitioned on the sort columns, which spreads a hot
-        key over files and gives every file narrow statistics to prune by.
-        Finding the ranges takes a second run of the last stage; ``spread``
-        off leaves rows in the partitions they were computed in.
+        Rows are sorted in the partitions they were computed in. ``spread``
+        range partitions them on the sort columns first: this spreads a hot
+        key over files and gives every file narrow statistics to prune by,
+        but runs the last stage twice to find the ranges.
         """
         if sort and spread:
             df = df.repartitionByRange(*sort)
@@ -135,18 +135,14 @@ class TableStore:
             if part != MARKERS:
                 files.remove(self.spark, batch.part(part))
 
-    def replace(
-        self, table: str, df: DataFrame, sort: Sequence[str], partition_by: Sequence[str] = ()
-    ) -> None:
+    def replace(self, table: str, df: DataFrame, **layout) -> None:
         """Write a table whole and publish it."""
-        batch = self.new_batch(table, replace=True)
-        self.write(df, batch, sort=sort, partition_by=partition_by)
-        self.publish(batch)
+        self._put(df, self.new_batch(table, replace=True), layout)
 
-    def append(
-        self, table: str, df: DataFrame, sort: Sequence[str], partition_by: Sequence[str] = ()
-    ) -> None:
+    def append(self, table: str, df: DataFrame, **layout) -> None:
         """Write rows beside the current ones and publish them."""
-        batch = self.new_batch(table, replace=False)
-        self.write(df, batch, sort=sort, partition_by=partition_by)
+        self._put(df, self.new_batch(table, replace=False), layout)
+
+    def _put(self, df: DataFrame, batch: Batch, layout: dict) -> None:
+        self.write(df, batch, **layout)
         self.publish(batch)
