@@ -186,3 +186,12 @@ def test_one_exchange_serves_all_detectors(make_bars):
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
     assert plan.count("Window [") == 1
+
+
+def test_a_ticker_filter_moves_below_the_windows(spark, make_bars, tmp_path):
+    make_bars(FIVE_BARS).write.parquet(str(tmp_path / "bars"))
+    found = detectors.detect_events(spark.read.parquet(str(tmp_path / "bars")), SMALL, RUN_DATE)
+    chosen = found.filter(F.col("ticker").isin("AAPL", "MSFT"))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "In(ticker, [AAPL,MSFT])" in plan[plan.index("PushedFilters") :]
+    assert chosen.count() == 4

@@ -124,11 +124,16 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close", *_flag(bars))
     cut, series = _series(needed, lookback_rows(t), split_rows)
     marked = _own_rows(mark_bars(cut, DERIVED_TYPES, t, series))
+    # The key stays out of the exploded part, so that a filter on ticker can
+    # move below the windows, to the scan.
+    key = ["ticker", "date"]
+    others = [c for c in EVENTS.names if c not in key]
     hits = []
     for event_type, test in event_tests(t).items():
-        columns = ", ".join(_event_columns(event_type, t, run_date, EVENTS.names))
+        columns = ", ".join(_event_columns(event_type, t, run_date, others))
         hits.append(f"CASE WHEN {test} THEN struct({columns}) END")
-    return marked.selectExpr(f"inline(filter(array({', '.join(hits)}), hit -> hit IS NOT NULL))")
+    found = marked.selectExpr(*key, f"inline(filter(array({', '.join(hits)}), hit -> hit IS NOT NULL))")
+    return found.select(*EVENTS.names)
 
 
 def _series(bars: DataFrame, lookback: int, split_rows: int | None) -> tuple[DataFrame, list[str]]:

@@ -72,10 +72,7 @@ class StoreIngest(NamedTuple):
 
 
 def _spark() -> SparkSession:
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        raise RuntimeError("no active Spark session")
-    return prepare(spark)
+    return prepare(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
 
 
 def _store(config: Config) -> TableStore:
