@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import sentencepiece
+from tidemark.llm import neardup, quality, sentencepiece, toxicity
 from tidemark.llm.data import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +27,23 @@ def read_model(path: str | None = None) -> bytes:
         return f.read()
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_minhash": op5_minhash,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
 }
 
 ORACLES: dict[str, str] = {}
