@@ -12,14 +12,16 @@ more than 20 positions with a probability of about 1 in 100,000.
 Only links between components matter, so pairs are not all listed. First each
 class is compared with one class of each of its keys, the key's centre, and
 the confirmed links give components. Then all pairs that share a key but no
-component are compared. To spare most of these, a class is first left out if
-under three quarters of its shingles occur in any other component that is left:
-its similarity to all classes there is below 0.75. Links are confirmed on full
-sets of 64-bit shingle hashes, with 100 * common >= 75 * all.
+component are compared. To spare most of these, sets are banded by size, and a
+class is only compared with a band of whose sets in other components enough
+hold its shingles: others have a similarity below 0.75 with it for certain.
+Links are confirmed on full sets of 64-bit shingle hashes, with
+100 * common >= 75 * all.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -38,6 +40,8 @@ POSITIONS = CHUNKS * CHUNK_SIZE
 MAX_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 #: Links need 100 * common >= PERCENT * all.
 PERCENT = 75
+#: Sizes of sets are banded by powers of this.
+BAND = 1.02
 #: Up to so many ids a filter of texts by id is broadcast; beyond, texts are shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -252,24 +256,42 @@ class _Join:
         open_keys = stored(keyed.join(mixed.select("key"), "key", "left_semi"))
         left = open_keys.select("node", "component").distinct()
         sets = stored(self.sets(left.select("node")))
-        sizes = self.classes.select("node", "n_shingles")
-        for _ in range(2):
-            spread = left.join(sets, "node").select("node", "component", "shingles").mapInArrow(
-                _spread, "shingle long, node long, component long"
-            )
-            shared = spread.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            common = spread.join(shared.filter("lo <> hi").select("shingle"), "shingle").groupBy("node").count()
-            left = stored(
-                left.join(common, "node").join(sizes, "node").filter(f"100 * count >= {PERCENT} * n_shingles").select("node", "component")
-            )
+        band = F.floor(F.log(F.col("n_shingles")) / math.log(BAND)).cast("int")
+        sized = self.classes.select("node", F.col("n_shingles").alias("n"), band.alias("band"))
+        left = stored(left.join(sized, "node"))
+        for _ in range(3):
+            open_to = stored(self.open_bands(left, sets))
+            left = stored(left.join(open_to.select("node").distinct(), "node", "left_semi"))
         if left.isEmpty():
             return None
-        rest = open_keys.join(left.select("node"), "node", "left_semi")
-        other = rest.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-        pairs = (
-            rest.withColumnRenamed("node", "a").join(other, "key").filter("a < b AND component <> other").select("a", "b").distinct()
+        rest = open_keys.select("key", "node").join(left.join(open_to, "node"), "node")
+        rest = rest.select("key", F.col("node").alias("a"), "component", "band", "other_band")
+        other = rest.toDF("key", "b", "other", "other_band", "band")
+        pairs = rest.join(other, ["key", "band", "other_band"]).filter("a < b AND component <> other")
+        pairs = stored(self.near(pairs.select("a", "b").distinct()))
+        return stored(self.confirmed(pairs, sets))
+
+    def open_bands(self, left: DataFrame, sets: DataFrame) -> DataFrame:
+        """``node`` and ``other_band``: sizes of classes in other components
+        which, by the shingles they have among them, a node may be linked with.
+
+        Sets of n and m shingles are only linked if 175 * common >= 75 * (n + m).
+        """
+        spread = left.join(sets, "node").select("node", "component", "shingles").mapInArrow(
+            _spread, "shingle long, node long, component long"
+        )
+        spread = spread.join(left.select("node", "n", "band"), "node")
+        holders = spread.groupBy("shingle", F.col("band").alias("other_band")).agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi")
+        )
+        least = F.pow(F.lit(BAND), F.col("other_band")) * (1 - 1e-9)
+        reach = math.ceil(math.log(100 / PERCENT) / math.log(BAND)) + 1
+        shared = spread.join(holders, "shingle").filter(
+            (F.abs(F.col("band") - F.col("other_band")) <= reach)
+            & ((F.col("lo") != F.col("component")) | (F.col("hi") != F.col("component")))
         )
-        return stored(self.confirmed(stored(self.near(pairs)), sets))
+        counts = shared.groupBy("node", "n", "other_band").agg(F.count("*").alias("common"))
+        return counts.filter((100 + PERCENT) * F.col("common") >= PERCENT * (F.col("n") + least)).select("node", "other_band")
 
     def labels(self) -> DataFrame:
         links = self.star_links()
