@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import neardup, quality, sentencepiece, toxicity
+from tidemark.llm import decontaminate, neardup, quality, sentencepiece, toxicity
 from tidemark.llm.data import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def read_model(path: str | None = None) -> bytes:
         return f.read()
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
