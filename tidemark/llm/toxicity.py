@@ -1,8 +1,8 @@
 """Toxicity: a support vector machine on a gapped subsequence string kernel.
 
-Two words are alike in as far as they share subsequences of three characters,
-where up to two foreign characters in between cost a factor each; word ends are
-characters of their own. So an insult with other characters inserted, or with
+Two words are alike in as far as they share subsequences of three to five
+characters, where one or two foreign ones in between cost a factor each; word
+ends are characters of their own. So an insult with other characters inserted, or with
 another ending, stays close to it. The kernel is normalised to 1 for equal words.
 
 Training takes a bounded sample of labelled texts. A text is a set of sentences
@@ -19,8 +19,11 @@ sample's texts makes it a score.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import combinations
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +37,22 @@ from tidemark.llm.textbuf import draws, mix, pieces
 #: Labelled rows the model is fitted on at most.
 SAMPLE_ROWS = 20_000
 #: Example words of each kind, and landmarks, at most.
-POSITIVE_WORDS, CLEAN_WORDS, LANDMARKS = 1_500, 4_000, 500
+POSITIVE_WORDS, CLEAN_WORDS, LANDMARKS = 1_000, 2_000, 600
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Margins a worker remembers; when full it starts anew.
 REMEMBERED_WORDS = 500_000
 
 DECAY = 0.6
-#: Offsets of a subsequence's second and third character, and its weight.
-PATTERNS = [(i, j, DECAY ** (j - 2)) for j in range(2, 5) for i in range(1, j)]
-_MARK = draws(3, 91) | np.uint64(1)
+#: Offsets of a subsequence's characters, and its weight: of three characters
+#: with up to two others between, four with up to one, five with none.
+PATTERNS = [
+    ((0, *inner, size + gaps - 1), DECAY**gaps)
+    for size, most in ((3, 2), (4, 1), (5, 0))
+    for gaps in range(most + 1)
+    for inner in combinations(range(1, size + gaps - 1), size - 2)
+]
+_MARK = draws(5, 91) | np.uint64(1)
 #: What stands for the beginning and the end of a word.
 BEGIN, END = "\x02", "\x03"
 #: Characters that disguised insults have inside.
@@ -58,7 +67,7 @@ def words_of(text: str) -> set[str]:
     Three or more single characters in a row also count as one word.
     """
     parts = text.lower().split()
-    out = {p.strip(".,;:!?\"'()[]{}") for p in set(parts)}
+    out = {p.strip(punctuation) for p in set(parts)}
     run: list[str] = []
     if any(len(p) == 1 for p in parts):
         for p in [*parts, "  "]:
@@ -85,15 +94,17 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = np.repeat(np.arange(len(words)), [len(m) for m in marked])
     owners, codes, weights = [], [], []
     with np.errstate(over="ignore"):
-        for i, j, weight in PATTERNS:
-            n = len(char) - j
+        for places, weight in PATTERNS:
+            n = len(char) - places[-1]
             if n <= 0:
                 continue
-            inside = word[:n] == word[j : j + n]
-            code = mix(char[:n] * _MARK[0] + char[i : i + n] * _MARK[1] + char[j : j + n] * _MARK[2])[inside]
+            inside = word[:n] == word[places[-1] :]
+            code = np.full(n, len(places), np.uint64)
+            for mark, at in zip(_MARK, places):
+                code += char[at : at + n] * mark
             owners.append(word[:n][inside])
-            codes.append(code)
-            weights.append(np.full(len(code), weight))
+            codes.append(mix(code[inside]))
+            weights.append(np.full(len(codes[-1]), weight))
     if not owners:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0)
     owner, code, weight = np.concatenate(owners), np.concatenate(codes), np.concatenate(weights)
@@ -118,14 +129,19 @@ def kernel(a: list[str], b: list[str]) -> np.ndarray:
     dense[place, owner_b] = weight_b
     dense /= norms(owner_b, weight_b, len(b))
     out = np.zeros((len(a), len(b)))
-    for at in range(0, len(a), 500):
-        part = a[at : at + 500]
+    if not len(table):
+        return out
+    for at in range(0, len(a), 100):
+        part = a[at : at + 100]
         owner, code, weight = subsequences(part)
-        where = np.minimum(np.searchsorted(table, code), max(len(table) - 1, 0))
-        hit = table[where] == code if len(table) else np.zeros(len(code), bool)
-        some = np.zeros((len(part), len(table)))
-        some[owner[hit], where[hit]] = weight[hit]
-        out[at : at + 500] = (some @ dense) / norms(owner, weight, len(part))[:, None]
+        length = norms(owner, weight, len(part))
+        where = np.minimum(np.searchsorted(table, code), len(table) - 1)
+        hit = np.flatnonzero(table[where] == code)
+        if len(hit):
+            hit = hit[np.argsort(owner[hit], kind="stable")]
+            first = np.flatnonzero(np.diff(owner[hit], prepend=-1))
+            sums = np.add.reduceat(weight[hit][:, None] * dense[where[hit]], first)
+            out[at + owner[hit][first]] = sums / length[owner[hit][first]][:, None]
     return out
 
 
@@ -162,10 +178,11 @@ def disguised(word: str) -> list[str]:
     return [INSERTED[0].join(word), INSERTED[2].join(word)] + [word[:half] + c + word[half:] for c in INSERTED[:2]]
 
 
-def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float]], ridge: float = 0.3) -> WordModel:
-    """The SVM on example words with weights."""
-    examples = [(w, 1.0, v) for w, v in positive] + [(d, 1.0, v / 4) for w, v in positive for d in disguised(w)]
-    examples += [(w, -1.0, v) for w, v in negative] + [(d, -1.0, v / 4) for w, v in negative for d in disguised(w)]
+def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float]], ridge: float = 0.1) -> WordModel:
+    """The SVM on example words with weights, the most telling ones first."""
+    examples = [(w, 1.0, 4 * v) for w, v in positive] + [(d, 1.0, v) for w, v in positive for d in disguised(w)]
+    examples += [(w, -1.0, v) for w, v in negative]
+    examples += [(d, -1.0, v / 4) for w, v in negative[:1000] for d in disguised(w)]
     if not positive or not negative:
         return WordModel(np.zeros(1, np.uint64), np.zeros(1), 0.0)
     landmarks = [w for w, _ in positive][: LANDMARKS // 2]
@@ -178,8 +195,6 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
     x = np.hstack([x, np.ones((len(x), 1))])
     y = np.array([e[1] for e in examples])
     c = np.array([e[2] for e in examples])
-    for side in (1.0, -1.0):  # both kinds weigh the same
-        c[y == side] *= len(y) / 2 / c[y == side].sum()
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
@@ -214,15 +229,25 @@ def fit_curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each distinct word of each labelled text."""
+def _sketch(words: set[str]) -> int:
+    """Two minimum hashes of the long words; the same for most copies with small changes."""
+    long = [w for w in words if len(w) > 7] or list(words)
+    least = [min((zlib.crc32(w.encode("utf-8", "replace"), seed) for w in long), default=0) for seed in (1, 2)]
+    return least[0] << 31 | least[1]
+
+
+def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each labelled text, and what tells copies."""
     for piece in pieces(batches):
-        words, labels = [], []
-        for text, label in zip(piece.column("text").to_pylist(), piece.column("label").to_pylist()):
-            own = {w for w in words_of(text or "") if len(w) <= WINDOW}
-            words += own
-            labels += [label] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], names=["word", "label"])
+        sets = [{w for w in words_of(t or "") if len(w) <= WINDOW} for t in piece.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                piece.column("label"),
+                pa.array([_sketch(s) for s in sets], pa.int64()),
+                pa.array([sorted(s) for s in sets], pa.list_(pa.string())),
+            ],
+            names=["label", "sketch", "words"],
+        )
 
 
 class _Margins:
@@ -244,18 +269,19 @@ class _Margins:
         return np.array([max((self.seen[w] for w in s), default=lowest) for s in sets], np.float64)
 
 
-def with_margins(docs: DataFrame, model: WordModel) -> DataFrame:
-    """The columns of ``docs`` but for the text, and ``margin``."""
-    kept = [c for c in docs.columns if c != "text"]
+def with_margins(docs: DataFrame, model: WordModel, whole: bool = False) -> DataFrame:
+    """The columns of ``docs`` and ``margin``; ``text`` is kept only if it is one ``whole`` word."""
+    kept = [c for c in docs.columns if c != "text" or whole]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margins = _Margins(model)
         for piece in pieces(batches):
-            values = margins.of(piece.column("text").to_pylist())
+            texts = piece.column("text").to_pylist()
+            values = model.margins(texts) if whole else margins.of(texts)
             yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), pa.array(values)], names=[*kept, "margin"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "margin double"])
-    return docs.select(*kept, "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> WordModel:
@@ -269,27 +295,34 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
         share = (toxic + 1) / (n + 2)
         model.slope, model.shift = 1e-3, float(np.log(share / (1 - share)))
         return model
+    # Of copies one text counts, else any word of a copied text looks like an insult.
+    sets = texts.mapInArrow(_word_sets, "label int, sketch long, words array<string>")
+    once = sets.groupBy("label", "sketch").agg(F.min("words").alias("words"))
     words = stored(
-        texts.mapInArrow(_word_rows, "word string, label int")
+        once.select("label", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     )
-    # How much more often in toxic texts, with one text of each kind added.
+    # How much more often in toxic texts, with half a text of each kind added.
     ratio = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (n - toxic + 1))
     apart = words.withColumn("gain", F.col("a") * ratio)
-    positive = (
-        apart.filter((F.col("a") >= 3) & (ratio > 1.5) & (F.col("gain") > 6))
-        .orderBy(F.desc("gain"), "word").limit(POSITIVE_WORDS).select("word", "a").collect()
-    )
-    clean = apart.filter((F.col("b") > 0) & (ratio < 0.5))
-    frequent = clean.orderBy(F.desc("b"), "word").limit(CLEAN_WORDS // 2).select("word", "b").collect()
-    rare = clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2).select("word", "b").collect()
-    negative = {r["word"]: 1.0 + np.log(r["b"]) for r in [*rare, *frequent]}
+    # So that few words pass by chance, however many there are.
+    least = 3 + float(np.log(max(words.count(), 1)))
+    positive = apart.filter((F.col("a") >= 3) & (ratio > 1.5) & (F.col("gain") > least))
+    positive = positive.orderBy(F.desc("gain"), "word").limit(POSITIVE_WORDS).select("word", "a").collect()
+    clean = stored(apart.filter((F.col("b") > 0) & (ratio < 0.5)).select("word", "b"))
+    frequent = clean.orderBy(F.desc("b"), "word").limit(CLEAN_WORDS).collect()
+    rare = clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS).collect()
+    positives = [(r["word"], 1.0 + float(np.log(r["a"]))) for r in positive]
     # Frequent and rare words take turns, so that landmarks have both.
-    turns = [w for pair in zip(frequent, rare) for w in (pair[0]["word"], pair[1]["word"])] + list(negative)
-    model = fit_words(
-        [(r["word"], 1.0 + np.log(r["a"])) for r in positive], [(w, negative[w]) for w in dict.fromkeys(turns)]
-    )
+    turns = {r["word"]: 1.0 + float(np.log(r["b"])) for pair in zip(frequent, rare) for r in pair}
+    model = fit_words(positives, list(turns.items()))
+    for _ in range(2):  # clean words that come out too high become examples
+        margins = with_margins(clean.select(F.col("word").alias("text"), "b"), model, whole=True)
+        high = margins.filter("margin > -0.5").orderBy(F.desc("margin"), "text").limit(CLEAN_WORDS).collect()
+        hard = {r["text"]: turns.get(r["text"], 0.0) + 1.0 + float(np.log(r["b"])) for r in high}
+        turns = {**hard, **{w: v for w, v in turns.items() if w not in hard}}
+        model = fit_words(positives, list(turns.items()))
     rows = with_margins(texts, model).collect()  # two numbers for each sampled text
     rows.sort(key=tuple)
     margins, y = np.array([r["margin"] for r in rows]), np.array([r["label"] for r in rows], np.float64)
