@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, neardup, quality, sentencepiece, toxicity
+from tidemark.llm import chat, decontaminate, neardup, quality, sentencepiece, toxicity, urls
 from tidemark.llm.data import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def read_model(path: str | None = None) -> bytes:
         return f.read()
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,12 +47,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op10_chat": op10_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_chat": chat.ORACLE,
+}
