@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, neardup, quality, sentencepiece, toxicity, urls
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    lmscore,
+    neardup,
+    quality,
+    sentencepiece,
+    spotsigs,
+    toxicity,
+    urls,
+)
 from tidemark.llm.data import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """``model``: path of a SentencePiece model the driver can read."""
     coded = sentencepiece.encode_decode(table(spark, sf_dir, "documents"), read_model(model))
@@ -47,20 +62,32 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered_digest(table(spark, sf_dir, "conversations"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
+    "op9_spotsigs": op9_spotsigs,
     "op10_chat": op10_chat,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_licenses": licenses.oracle(),
     "op10_chat": chat.ORACLE,
 }
