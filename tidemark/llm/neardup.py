@@ -11,10 +11,13 @@ more than 20 positions with a probability of about 1 in 100,000.
 
 Only links between components matter, so pairs are not all listed. First each
 class is compared with one class of each of its keys, the key's centre, and
-the confirmed links give components. Then all pairs that share a key but no
-component are compared. To spare most of these, sets are banded by size, and a
+the confirmed links give components; once more with the class of another
+component that has most links. Then all pairs that share a key but no component
+are compared. To spare most of these, sets are banded by size, and a
 class is only compared with a band of whose sets in other components enough
 hold its shingles: others have a similarity below 0.75 with it for certain.
+What is left is compared by bits that stand for the commonest shingles, which
+bounds the similarity closely. No join lists the pairs of a large group.
 Links are confirmed on full sets of 64-bit shingle hashes, with
 100 * common >= 75 * all.
 """
@@ -27,7 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
@@ -40,6 +43,10 @@ POSITIONS = CHUNKS * CHUNK_SIZE
 MAX_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 #: Links need 100 * common >= PERCENT * all.
 PERCENT = 75
+#: Shingles of a group that get a bit, and members of a block.
+BITS, BLOCK_MEMBERS = 256, 1024
+#: How often classes are compared with new centres before all pairs are.
+RECENTRED = 1
 #: Sizes of sets are banded by powers of this.
 BAND = 1.02
 #: Up to so many ids a filter of texts by id is broadcast; beyond, texts are shuffled.
@@ -115,12 +122,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 piece.column("id"),
+                piece.column("text_hash"),
                 pa.array(np.diff(starts), pa.int64()),
                 pa.array(h1),
                 pa.array(h2),
                 _fixed(signatures(values, starts)),
             ],
-            names=["id", "n_shingles", "h1", "h2", "signature"],
+            names=["id", "text_hash", "n_shingles", "h1", "h2", "signature"],
         )
 
 
@@ -191,6 +199,24 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _close(table: pa.Table) -> pa.Table:
+    """Pairs of the two blocks that the bits allow."""
+    node, component, n, rest, block = (table.column(c).to_numpy() for c in ("node", "component", "n", "rest", "block"))
+    bits = np.stack([table.column(f"bits{k}").to_numpy() for k in range(BITS // 64)], axis=1).view(np.uint64)
+    lo = block == table.column("lo")[0].as_py()
+    hi = block == table.column("hi")[0].as_py()
+    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+    others = np.flatnonzero(hi)
+    for x in np.flatnonzero(lo):
+        common = np.bitwise_count(bits[others] & bits[x]).sum(axis=1) + np.minimum(rest[others], rest[x])
+        fits = (100 + PERCENT) * common >= PERCENT * (n[others] + n[x])
+        fits &= component[others] != component[x]
+        found = node[others[fits]]
+        out.append(np.stack([np.minimum(found, node[x]), np.maximum(found, node[x])], axis=1))
+    pairs = np.unique(np.concatenate(out), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
+
+
 class _Join:
     """The steps over one collection; all intermediate tables are written."""
 
@@ -198,7 +224,9 @@ class _Join:
         kind = docs.schema["id"].dataType.simpleString()
         self.docs = docs
         self.signed = stored(
-            docs.mapInArrow(_signed, f"id {kind}, n_shingles long, h1 long, h2 long, signature binary")
+            docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+                _signed, f"id {kind}, text_hash long, n_shingles long, h1 long, h2 long, signature binary"
+            )
         )
         filled = self.signed.filter("n_shingles > 0 AND id IS NOT NULL")
         classes = filled.groupBy("h1", "h2", "n_shingles").agg(
@@ -245,17 +273,48 @@ class _Join:
         touched = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         return stored(self.confirmed(pairs, stored(self.sets(touched))))
 
-    def cross_links(self, labels: DataFrame) -> DataFrame | None:
-        """Confirmed links between components, of all pairs that share a key."""
-        keyed = (
-            self.keys()
-            .join(labels, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("component"))
+    def labels(self) -> DataFrame:
+        """``node`` and ``component`` of the classes that have a link."""
+        links = self.star_links()
+        labels = components(links)
+        keyed = self._labelled(self.keys(), labels)
+        mixed = self._mixed(keyed).select("key")
+        open_keys = stored(keyed.join(mixed, "key", "left_semi").select("key", "node"))
+        sets = stored(self.sets(open_keys.select("node").distinct()))
+        for _ in range(RECENTRED):
+            more = self.recentred_links(open_keys, labels, links, sets)
+            if more.isEmpty():
+                break
+            links = stored(links.unionAll(more))
+            labels = components(links)
+        more = self.cross_links(open_keys, labels, sets)
+        return labels if more is None or more.isEmpty() else components(links.unionAll(more))
+
+    def _labelled(self, keyed: DataFrame, labels: DataFrame) -> DataFrame:
+        own = F.coalesce("component", "node").alias("component")
+        return keyed.join(labels, "node", "left").select("key", "node", own)
+
+    def _mixed(self, keyed: DataFrame) -> DataFrame:
+        """Keys that more than one component has."""
+        ends = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return ends.filter("lo <> hi")
+
+    def recentred_links(self, open_keys: DataFrame, labels: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links of classes with the best linked class of another component in each of their keys."""
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        keyed = self._labelled(open_keys, labels).join(degree, "node", "left")
+        best = F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), F.xxhash64("node").alias("order"), "node", "component"))
+        centres = keyed.groupBy("key").agg(best.alias("c")).select(
+            "key", F.col("c.node").alias("a"), F.col("c.component").alias("other")
         )
-        mixed = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        open_keys = stored(keyed.join(mixed.select("key"), "key", "left_semi"))
+        pairs = keyed.join(centres, "key").filter("component <> other").select("a", F.col("node").alias("b")).distinct()
+        return stored(self.confirmed(stored(self.near(pairs)), sets))
+
+    def cross_links(self, open_keys: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame | None:
+        """Confirmed links between components, of all pairs that share a key."""
+        keyed = self._labelled(open_keys, labels)
+        open_keys = stored(keyed.join(self._mixed(keyed).select("key"), "key", "left_semi"))
         left = open_keys.select("node", "component").distinct()
-        sets = stored(self.sets(left.select("node")))
         band = F.floor(F.log(F.col("n_shingles")) / math.log(BAND)).cast("int")
         sized = self.classes.select("node", F.col("n_shingles").alias("n"), band.alias("band"))
         left = stored(left.join(sized, "node"))
@@ -264,12 +323,52 @@ class _Join:
             left = stored(left.join(open_to.select("node").distinct(), "node", "left_semi"))
         if left.isEmpty():
             return None
-        rest = open_keys.select("key", "node").join(left.join(open_to, "node"), "node")
-        rest = rest.select("key", F.col("node").alias("a"), "component", "band", "other_band")
-        other = rest.toDF("key", "b", "other", "other_band", "band")
-        pairs = rest.join(other, ["key", "band", "other_band"]).filter("a < b AND component <> other")
-        pairs = stored(self.near(pairs.select("a", "b").distinct()))
-        return stored(self.confirmed(pairs, sets))
+        left = left.join(self.groups(open_keys, left), "node")
+        pairs = self.close_pairs(stored(left), sets)
+        return stored(self.confirmed(stored(self.near(pairs)), sets))
+
+    def groups(self, open_keys: DataFrame, left: DataFrame) -> DataFrame:
+        """``node`` and ``group``: what hangs together over shared keys."""
+        keyed = open_keys.select("key", "node").join(left.select("node"), "node", "left_semi")
+        first = keyed.groupBy("key").agg(F.min("node").alias("a"))
+        edges = keyed.join(first, "key").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
+        return components(edges).withColumnRenamed("component", "group")
+
+    def close_pairs(self, left: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs of a group but of different components that may be linked.
+
+        The shingles that most sets of a group have get a bit each. Two sets
+        have as many of these in common as bits, and of other shared shingles
+        no more than the one with fewer of them has. Members of a group are
+        dealt to blocks of bounded size, and each pair of blocks is compared
+        by bits in one task.
+        """
+        spread = left.join(sets, "node").select("node", "component", "shingles").mapInArrow(
+            _spread, "shingle long, node long, component long"
+        )
+        spread = spread.join(left.select("node", "group"), "node")
+        shared = spread.groupBy("group", "shingle").agg(
+            F.count("*").alias("holders"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        )
+        order = Window.partitionBy("group").orderBy(F.desc("holders"), "shingle")
+        shared = shared.filter("lo <> hi").select("group", "shingle", "holders")
+        top = shared.withColumn("bit", F.row_number().over(order) - 1).filter(f"bit < {BITS}").select("group", "shingle", "bit")
+        words = [
+            F.bit_or(F.when(F.floor(F.col("bit") / 64) == k, F.expr("shiftleft(1L, bit % 64)")).otherwise(0)).alias(f"bits{k}")
+            for k in range(BITS // 64)
+        ]
+        members = (
+            spread.join(shared.join(top, ["group", "shingle"], "left"), ["group", "shingle"])
+            .groupBy("group", "node")
+            .agg(F.sum(F.col("bit").isNull().cast("int")).alias("rest"), *words)
+            .join(left.select("node", "component", "n"), "node")
+        )
+        members = stored(members)
+        blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+        dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+        return dealt.groupBy("group", "lo", "hi").applyInArrow(_close, "a long, b long")
 
     def open_bands(self, left: DataFrame, sets: DataFrame) -> DataFrame:
         """``node`` and ``other_band``: sizes of classes in other components
@@ -293,14 +392,6 @@ class _Join:
         counts = shared.groupBy("node", "n", "other_band").agg(F.count("*").alias("common"))
         return counts.filter((100 + PERCENT) * F.col("common") >= PERCENT * (F.col("n") + least)).select("node", "other_band")
 
-    def labels(self) -> DataFrame:
-        links = self.star_links()
-        labels = components(links)
-        more = self.cross_links(labels)
-        if more is None or more.isEmpty():
-            return labels
-        return components(links.union(more))
-
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Near-duplicate groups of whole texts.
@@ -313,6 +404,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     their own that share a name; repeated rows are all returned. Other columns
     of ``docs`` are not read.
     """
+    out = _grouped(docs, id_column, text_column)
+    return out.select(F.col("id").alias(id_column), "n_shingles", "component_id", "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns.
+
+    A row is told by its id and a hash of its text.
+    """
+    dropped = _grouped(docs, id_column, text_column).filter("NOT kept").select("id", "text_hash").distinct()
+    dropped = stored(dropped)
+    few = dropped.count() <= BROADCAST_IDS
+    same = (docs[id_column] == dropped["id"]) & (F.xxhash64(docs[text_column].cast("string")) == dropped["text_hash"])
+    return docs.join(F.broadcast(dropped) if few else dropped, same, "left_anti")
+
+
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     join = _Join(rows)
     labels = join.labels()
@@ -321,10 +429,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     smallest = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     named = classes.join(smallest, "component").select("h1", "h2", "n_shingles", "component_id")
-    out = join.signed.select("id", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
+    out = join.signed.select("id", "text_hash", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
-        F.col("id").alias(id_column),
+        "id",
+        "text_hash",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
