@@ -169,6 +169,13 @@ class RuleModel:
             margin = margin + F.when(holds, weight).otherwise(0.0)
         return 1 / (1 + F.exp(-margin))
 
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """The same for rows of statistics."""
+        margin = np.full(len(x), self.intercept)
+        for rule, weight in self.rules:
+            margin += weight * holds(rule, x)
+        return 1 / (1 + np.exp(-margin))
+
     def text(self) -> list[str]:
         """The rules, readable."""
         return [
@@ -236,8 +243,23 @@ def score_quality(
     held out or learned from. Only the text is an input of the score.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    stats = stored(with_statistics(rows))
+    stats = stored(with_statistics(rows.select("id", "text")))
     model = fit_quality(stats, labels)
     held_out = F.coalesce(fold("id", FOLDS) == HELD_OUT, F.lit(False))
     scored = stats.select(F.col("id").alias(id_column), held_out.alias("held_out"), model.column().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def filter_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns kept.
+
+    Each row is judged by its own text in the same pass, so that no text moves.
+    """
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    model = fit_quality(stored(with_statistics(rows)), labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, text_column):
+            yield piece.filter(pa.array(model.scores(statistics(piece.column(text_column))) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -178,7 +178,7 @@ def disguised(word: str) -> list[str]:
     return [INSERTED[0].join(word), INSERTED[2].join(word)] + [word[:half] + c + word[half:] for c in INSERTED[:2]]
 
 
-def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float]], ridge: float = 0.1) -> WordModel:
+def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float]], ridge: float = 0.01) -> WordModel:
     """The SVM on example words with weights, the most telling ones first."""
     examples = [(w, 1.0, 4 * v) for w, v in positive] + [(d, 1.0, v) for w, v in positive for d in disguised(w)]
     examples += [(w, -1.0, v) for w, v in negative]
@@ -287,7 +287,10 @@ def with_margins(docs: DataFrame, model: WordModel, whole: bool = False) -> Data
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> WordModel:
     """The model of a bounded sample of labelled texts, held-out fold left out."""
     sample = training_sample(labels, "toxic", FOLDS, HELD_OUT, sample_rows)
-    texts = stored(docs.join(F.broadcast(sample), docs["id"] == sample["doc_id"]).select("text", "label"))
+    # A part of the sample is kept for the curve: its words are no examples.
+    for_curve = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit("curve"))) % 4 == 0
+    chosen = docs.join(F.broadcast(sample), docs["id"] == sample["doc_id"])
+    texts = stored(chosen.select("text", "label", for_curve.alias("for_curve")))
     sums = texts.agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).first()
     toxic, n = sums["toxic"] or 0, sums["n"]
     if not 0 < toxic < n:
@@ -296,7 +299,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
         model.slope, model.shift = 1e-3, float(np.log(share / (1 - share)))
         return model
     # Of copies one text counts, else any word of a copied text looks like an insult.
-    sets = texts.mapInArrow(_word_sets, "label int, sketch long, words array<string>")
+    sets = texts.filter("NOT for_curve").select("text", "label").mapInArrow(_word_sets, "label int, sketch long, words array<string>")
     once = sets.groupBy("label", "sketch").agg(F.min("words").alias("words"))
     words = stored(
         once.select("label", F.explode("words").alias("word"))
@@ -317,13 +320,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     # Frequent and rare words take turns, so that landmarks have both.
     turns = {r["word"]: 1.0 + float(np.log(r["b"])) for pair in zip(frequent, rare) for r in pair}
     model = fit_words(positives, list(turns.items()))
-    for _ in range(2):  # clean words that come out too high become examples
+    for _ in range(3):  # clean words that come out too high become examples
         margins = with_margins(clean.select(F.col("word").alias("text"), "b"), model, whole=True)
         high = margins.filter("margin > -0.5").orderBy(F.desc("margin"), "text").limit(CLEAN_WORDS).collect()
         hard = {r["text"]: turns.get(r["text"], 0.0) + 1.0 + float(np.log(r["b"])) for r in high}
         turns = {**hard, **{w: v for w, v in turns.items() if w not in hard}}
         model = fit_words(positives, list(turns.items()))
-    rows = with_margins(texts, model).collect()  # two numbers for each sampled text
+    rows = with_margins(texts.filter("for_curve").select("text", "label"), model).collect()  # two numbers for each text
     rows.sort(key=tuple)
     margins, y = np.array([r["margin"] for r in rows]), np.array([r["label"] for r in rows], np.float64)
     model.slope, model.shift = fit_curve(margins, y)
@@ -349,3 +352,20 @@ def score_toxicity(
         F.col("id").alias(id_column), held_out.alias("held_out"), (1 / (1 + F.exp(-margin))).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def filter_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not flagged, all columns kept.
+
+    Each row is judged by its own text in the same pass, so that no text moves.
+    """
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    model = fit_toxicity(rows, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        margins = _Margins(model)
+        for piece in pieces(batches, text_column):
+            score = model.score(margins.of(piece.column(text_column).to_pylist()))
+            yield piece.filter(pa.array(score < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
