@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.textbuf import ALNUM, Words, draws, find_words, mix, pieces, text_bytes
 
@@ -270,6 +271,17 @@ def find_items(
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     schema = f"id {kind}, item {item_type}, edits long, item_words long, similarity double, first_word long"
 
+    result = pa.schema(
+        [
+            ("id", to_arrow_type(rows.schema["id"].dataType)),
+            ("item", to_arrow_type(items.schema[item_column].dataType)),
+            ("edits", pa.int64()),
+            ("item_words", pa.int64()),
+            ("similarity", pa.float64()),
+            ("first_word", pa.int64()),
+        ]
+    )
+
     def finder(index: ItemIndex):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece in pieces(batches):
@@ -280,14 +292,14 @@ def find_items(
                 sizes = [len(index.words[i]) for i in item]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "id": piece.column("id").take(pa.array(text)),
+                        "id": piece.column("id").take(pa.array(text)).cast(result.field("id").type),
                         "item": pa.array([index.ids[i] for i in item]),
                         "edits": edits,
                         "item_words": sizes,
                         "similarity": [1 - e / n for e, n in zip(edits, sizes)],
                         "first_word": first,
                     },
-                    schema=pa.schema([("id", piece.column("id").type), *_RESULT(items.schema[item_column].dataType)]),
+                    schema=result,
                 )
 
         return run
@@ -301,18 +313,6 @@ def find_items(
     return out.withColumnsRenamed({"id": id_column, "item": item_column})
 
 
-def _RESULT(item_type):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return [
-        ("item", to_arrow_type(item_type)),
-        ("edits", pa.int64()),
-        ("item_words", pa.int64()),
-        ("similarity", pa.float64()),
-        ("first_word", pa.int64()),
-    ]
-
-
 def _words(piece: pa.RecordBatch) -> Words:
     data, offsets = text_bytes(piece.column("text"))
     return find_words(data, offsets, ALNUM)
