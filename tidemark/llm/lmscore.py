@@ -14,7 +14,7 @@ equal runs over all batches, which is its part of the count table, joins them
 to the runs asked for, and answers each batch in the order in which it asked.
 There the answers are joined with the words again and summed per document. The
 number of partitions follows the number of words, so that each stays small.
-Runs are told apart by 64 bits of hash.
+Runs are told apart by 56 bits of hash.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.data import stored
-from tidemark.llm.textbuf import ALNUM, Words, find_words, mix, ngrams, pieces, text_bytes
+from tidemark.llm.textbuf import ALNUM, PIECE_BYTES, Words, find_words, mix, ngrams, pieces, text_bytes
 
 ORDER = 3
 BACKOFF = 0.4
@@ -39,7 +39,9 @@ BACKOFF = 0.4
 LEAST_COUNT = 2
 #: Bytes of text in a batch, or one text, and words behind a partition of the count table.
 BATCH_BYTES = 8 << 20
-PARTITION_WORDS = 1_500_000
+PARTITION_WORDS = 800_000
+#: Bits of hash that tell runs apart.
+BITS = 56
 
 
 def _batches(id_type: pa.DataType):
@@ -47,7 +49,7 @@ def _batches(id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=6)
         held: list[tuple[pa.Array, np.ndarray, np.ndarray, int]] = []
 
         def out() -> pa.RecordBatch:
@@ -84,18 +86,18 @@ class _Runs:
     def __init__(self, sizes: list[int], blob: bytes):
         offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)
         data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=int(offsets[-1]) + 1), np.uint8)
-        self.words: Words = find_words(data, offsets, ALNUM)
+        self.words = _words(data, offsets)
         self.hashes, self.counts, self.index = [], [], []
         for n in range(1, ORDER + 1):
             values = mix(self.words.hash) if n == 1 else ngrams(self.words, n)[0]
-            distinct, index, counts = np.unique(values, return_inverse=True, return_counts=True)
+            distinct, index, counts = np.unique(values >> np.uint64(64 - BITS), return_inverse=True, return_counts=True)
             self.hashes.append(distinct)
-            self.counts.append(counts)
-            self.index.append(index)
+            self.counts.append(counts.astype(np.uint32))
+            self.index.append(index.astype(np.int32))
 
     def cuts(self, order: int, partitions: int) -> np.ndarray:
         """Where each partition's hashes begin."""
-        bounds = [(k << 64) // partitions for k in range(1, partitions)]
+        bounds = [(k << BITS) // partitions for k in range(1, partitions)]
         inner = np.searchsorted(self.hashes[order], np.array(bounds, np.uint64))
         return np.concatenate([[0], inner, [len(self.hashes[order])]])
 
@@ -116,7 +118,22 @@ class _Runs:
             has = (within >= order) & (count[order] >= LEAST_COUNT)
             before = count[order - 1][np.flatnonzero(has) - 1]
             score[has] = np.log(count[order][has] / before) + (longest[has] - order) * math.log(BACKOFF)
-        return np.diff(words.first), np.bincount(words.doc, score, texts)
+        return np.diff(words.first), np.bincount(words.doc, score, texts).astype(np.float64)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The words of a batch, found piece by piece; where they start is not kept."""
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    at = 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, "right")) - 1)
+        found = find_words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], ALNUM)
+        hashes.append(found.hash)
+        counts.append(np.diff(found.first))
+        at = to
+    n = np.concatenate(counts)
+    nowhere = np.zeros(0, np.int64)
+    return Words(nowhere, nowhere, np.repeat(np.arange(len(n)), n), np.concatenate(hashes), np.concatenate([[0], np.cumsum(n)]))
 
 
 def _packed(hashes: np.ndarray, counts: np.ndarray, pack: zstandard.ZstdCompressor) -> bytes:
@@ -174,7 +191,7 @@ def _answered(table: pa.Table) -> pa.Table:
     sizes = table.column("n").to_pylist()
     pack = zstandard.ZstdCompressor(level=1)
     total = sum(sizes)
-    hashes, counts = np.empty(total, np.uint64), np.empty(total, np.uint64)
+    hashes, counts = np.empty(total, np.uint64), np.empty(total, np.uint32)
     at = 0
     for payload, n in zip(table.column("payload"), sizes):
         hashes[at : at + n], counts[at : at + n] = _unpacked(payload.as_py(), n)
