@@ -219,7 +219,9 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
             places[text].append(at - int(words.first[text]))
     held: list[list[dict]] = [[] for _ in range(n)]
     place = index.places(words.hash)
-    telling = np.cumsum(np.append(0, (place >= 0) & index.in_prefix[place])) if len(place) else np.zeros(1, np.int64)
+    known = place >= 0
+    known[known] = index.in_prefix[place[known]]
+    telling = np.cumsum(np.append(0, known))
     begin, end = blocks(words, data, offsets)
     for k in np.flatnonzero(telling[end] > telling[begin]).tolist():
         own = place[begin[k] : end[k]]

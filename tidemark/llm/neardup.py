@@ -202,7 +202,8 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _close(table: pa.Table) -> pa.Table:
     """Pairs of the two blocks that the bits allow."""
     node, component, n, rest, block = (table.column(c).to_numpy() for c in ("node", "component", "n", "rest", "block"))
-    bits = np.stack([table.column(f"bits{k}").to_numpy() for k in range(BITS // 64)], axis=1).view(np.uint64)
+    words = [c for c in table.column_names if c.startswith("bits")]
+    bits = np.stack([table.column(c).to_numpy() for c in words], axis=1).view(np.uint64)
     lo = block == table.column("lo")[0].as_py()
     hi = block == table.column("hi")[0].as_py()
     out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]

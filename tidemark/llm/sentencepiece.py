@@ -288,6 +288,14 @@ class Encoder:
         return [int(i) for w in words for i in self.seen[w][0].split(",")]
 
 
+def _characters(data: bytes) -> str:
+    """UTF-8, where each byte that begins no character becomes U+FFFD."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError as e:
+        return data[: e.start].decode() + "\ufffd" + _characters(data[e.start + 1 :])
+
+
 def decode(vocabulary: Vocabulary, ids: list[int], strip: bool = True) -> str:
     """The text of token ids: bytes joined to characters (broken ones become
     U+FFFD), U+2581 to spaces, the space put in front taken off."""
@@ -301,7 +309,7 @@ def decode(vocabulary: Vocabulary, ids: list[int], strip: bool = True) -> str:
             if i in byte_of:
                 pending.append(byte_of[i])
                 continue
-            out.append(pending.decode("utf-8", "replace"))
+            out.append(_characters(bytes(pending)))
             pending.clear()
             out.append("" if i < 0 or i in vocabulary.silent else texts[i])
         text = "".join(out)

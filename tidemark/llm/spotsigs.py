@@ -147,7 +147,7 @@ def ordered_parts(docs: DataFrame, parts: int) -> DataFrame:
     for bound in bounds:
         part = part + (F.col("id") > bound).cast("int")
     last = len(bounds)
-    placed = docs.withColumn("part", F.coalesce(part, F.lit(last + 1)))
+    placed = docs.withColumn("part", F.when(F.col("id").isNull(), last + 1).otherwise(part))
     firsts = placed.groupBy("part").agg(F.min("id").alias("first")).filter("first IS NOT NULL")
     order = sorted((r["part"], r["first"]) for r in firsts.collect())  # a row for each range
     if placed.filter("id IS NULL").limit(1).count():
