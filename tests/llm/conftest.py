@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    from tidemark.llm.data import ready
+
+    ready(spark)
