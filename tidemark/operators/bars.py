@@ -22,28 +22,39 @@ RAW_TO_BAR = {
     "Volume": "volume",
     "Adj Close": "adj_close",
 }
+# What a bar cannot be stored without.
+REQUIRED = ["ticker", "date", "close", "volume"]
 PRICE_FIELDS = [c for c in RAW_TO_BAR if c != "Date"]
 
 
-def normalise_bars(raw: DataFrame) -> DataFrame:
-    """Delivered rows to bars: names, types, NaN to NULL, no row without close.
+def read_bars(raw: DataFrame) -> DataFrame:
+    """Delivered rows to bars: names, types, NaN to NULL.
 
-    Keeps ``position`` where the delivery has one.
+    Keeps ``position`` where the delivery has one. Cells that cannot be read
+    are NULL; ``reason`` says why a row cannot be stored, and is NULL if it can.
     """
     require_columns(raw.columns, ["ticker", *RAW_TO_BAR], "raw prices")
-    columns = []
+    columns, bad = [], []
     for name, kind in (("ticker", "string"), *((c, BARS[n].dataType) for c, n in RAW_TO_BAR.items())):
         c = F.col(f"`{name}`")
-        if name == "Volume":
-            c = nan_to_null(c.cast("double")).try_cast("bigint")
-        elif name in PRICE_FIELDS:
-            c = nan_to_null(c.cast("double"))
+        if name in PRICE_FIELDS:
+            value = nan_to_null(c.cast("string").try_cast("double"))
+            unread = c.isNotNull() & c.cast("string").try_cast("double").isNull()
+            value = value.try_cast("bigint") if name == "Volume" else value
         else:
-            c = c.cast(kind)
-        columns.append(c.alias(RAW_TO_BAR.get(name, name)))
+            value = c.try_cast(kind)
+            unread = c.isNotNull() & value.isNull()
+        columns.append(value.alias(RAW_TO_BAR.get(name, name)))
+        bad.append(F.when(unread, f"unreadable {name}"))
     position = F.col("position") if "position" in raw.columns else F.lit(0).cast("bigint")
-    bars = raw.select(*columns, position.alias("position"))
-    return bars.select(*BARS.names, "position").filter(F.col("close").isNotNull())
+    bars = raw.select(*columns, position.alias("position"), F.coalesce(*bad).alias("unread"))
+    lacking = [F.when(F.col(c).isNull(), f"no {c}") for c in REQUIRED]
+    return bars.select(*BARS.names, "position", F.coalesce("unread", *lacking).alias("reason"))
+
+
+def normalise_bars(raw: DataFrame) -> DataFrame:
+    """Delivered rows to bars, without those that have no close."""
+    return read_bars(raw).drop("reason").filter(F.col("close").isNotNull())
 
 
 def is_storable() -> Column:
@@ -52,7 +63,9 @@ def is_storable() -> Column:
 
 
 def split_rejects(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bars to store, and those that lack a key or a volume."""
+    """Bars to store, and those that lack something, with their ``reason`` if known."""
+    if "reason" in bars.columns:
+        return bars.filter("reason IS NULL").drop("reason"), bars.filter("reason IS NOT NULL")
     return bars.filter(is_storable()), bars.filter(~is_storable())
 
 
@@ -63,21 +76,36 @@ def wide_to_long(
 
     Column names hold ticker and field in either order. Every wide row is
     unfolded where it is, without a shuffle; days on which a ticker has no
-    close are dropped.
+    close are dropped, as are tickers that lack a column (see `absent_tickers`).
     """
+    require_columns(wide.columns, [date_column], "wide prices")
     rows = []
     for ticker in tickers:
-        names = {f: f"{ticker}{sep}{f}" for f in PRICE_FIELDS}
-        if not set(names.values()) <= set(wide.columns):
-            names = {f: f"{f}{sep}{ticker}" for f in PRICE_FIELDS}
-        require_columns(wide.columns, names.values(), ticker)
+        names = _wide_names(wide, ticker, sep)
+        if names is None:
+            continue
         label = ticker.replace("'", r"\'")
-        fields = [f"CAST(`{n}` AS DOUBLE) AS `{f}`" for f, n in names.items()]
+        fields = [f"TRY_CAST(`{n}` AS DOUBLE) AS `{f}`" for f, n in names.items()]
         rows.append(f"struct('{label}' AS ticker, {', '.join(fields)})")
+    if not rows:
+        return wide.sparkSession.createDataFrame([], BARS)
     long = wide.selectExpr(f"`{date_column}` AS Date", f"inline(array({', '.join(rows)}))")
     return normalise_bars(long).drop("position")
 
 
+def _wide_names(wide: DataFrame, ticker: str, sep: str) -> dict[str, str] | None:
+    """The ticker's column for each field, or None if one is absent."""
+    for names in ({f: f"{ticker}{sep}{f}" for f in PRICE_FIELDS}, {f: f"{f}{sep}{ticker}" for f in PRICE_FIELDS}):
+        if set(names.values()) <= set(wide.columns):
+            return names
+    return None
+
+
+def absent_tickers(wide: DataFrame, tickers: Sequence[str], sep: str = "|") -> list[str]:
+    """Tickers of which a wide delivery has not all columns."""
+    return [t for t in tickers if _wide_names(wide, t, sep) is None]
+
+
 def last_dates(bars: DataFrame) -> DataFrame:
     """The newest date and the number of bars of each ticker."""
     return bars.groupBy("ticker").agg(
@@ -123,11 +151,18 @@ def price_increment(raw_bars: DataFrame, windows: DataFrame, few: bool = False)
 def price_status(windows: DataFrame, taken: DataFrame, force: bool = False) -> DataFrame:
     """What an ingest did for each requested ticker.
 
-    ``taken`` holds the tickers that got new bars.
+    ``taken`` holds the tickers that got new bars. One whose last bar is at the
+    end of the request is current; one that has bars, but got none of those
+    still lacking, has no new bars, which on a quiet day is no failure.
     """
     outcome = windows.join(taken.select("ticker", F.lit(True).alias("taken")), "ticker", "left")
-    current = F.lit(False) if force else F.col("last_date").isNotNull()
-    status = F.when(F.col("taken"), "updated").when(current, "already_current").otherwise("skipped")
+    known = F.lit(False) if force else F.col("last_date").isNotNull()
+    status = (
+        F.when(F.col("taken"), "updated")
+        .when(known & (F.col("last_date") >= F.col("fetch_to")), "already_current")
+        .when(known, "no_new_bars")
+        .otherwise("skipped")
+    )
     return outcome.select(
         F.lit("prices").alias("dataset"),
         "ticker",

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import ratio_change, zscore
+from tidemark.functions.scalars import nan_to_null, ratio_change, zscore
 from tidemark.operators.series import SERIES, split_series
 from tidemark.schemas import DERIVED_TYPES, EVENT_COLUMNS, EVENTS, SOURCE_DERIVED, Thresholds
 
@@ -95,7 +95,7 @@ def _event_columns(event_type: str, t: Thresholds, run_date: date, columns: Sequ
 
 
 def _detect(event_type, inputs, lookback, bars, t, run_date, split_rows) -> DataFrame:
-    cut, series = _series(bars.select("ticker", "date", *inputs), lookback, split_rows)
+    cut, series = _series(_numbers(bars).select("ticker", "date", *inputs), lookback, split_rows)
     hits = _own_rows(mark_bars(cut, [event_type], t, series)).filter(event_tests(t)[event_type])
     return hits.selectExpr(*_event_columns(event_type, t, run_date, EVENT_COLUMNS[event_type]))
 
@@ -121,7 +121,7 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     Each bar yields its events by exploding the hits, in the common layout.
     Bars that come as ``borrowed`` are looked back on but yield none.
     """
-    needed = bars.select("ticker", "date", "open", "close", "volume", "adj_close", *_flag(bars))
+    needed = _numbers(bars).select("ticker", "date", "open", "close", "volume", "adj_close", *_flag(bars))
     cut, series = _series(needed, lookback_rows(t), split_rows)
     marked = _own_rows(mark_bars(cut, DERIVED_TYPES, t, series))
     # The key stays out of the exploded part, so that a filter on ticker can
@@ -136,6 +136,12 @@ def detect_events(bars: DataFrame, t: Thresholds, run_date: date, split_rows: in
     return found.select(*EVENTS.names)
 
 
+def _numbers(bars: DataFrame) -> DataFrame:
+    """The bars with NaN read as NULL, as the loader does."""
+    doubles = [f.name for f in bars.schema if f.dataType.typeName() == "double"]
+    return bars.withColumns({c: nan_to_null(F.col(c)) for c in doubles})
+
+
 def _series(bars: DataFrame, lookback: int, split_rows: int | None) -> tuple[DataFrame, list[str]]:
     if split_rows is None or _flag(bars):
         return bars, ["ticker"]

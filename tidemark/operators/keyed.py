@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def request_list(
@@ -33,15 +34,34 @@ def missing_from_snapshot(requested: DataFrame, existing: DataFrame, key: str =
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the one that sorts last.
+    """One row per key: the one that sorts last by ``order``, then by its other columns.
 
-    The limit on row_number is applied on both sides of the shuffle, so the
+    So the result does not depend on the order of rows that arrive. The limit on row_number is applied on both sides of the shuffle, so the
     copies of a hot key are cut to one row per task before they travel.
     """
-    latest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    others = [f.name for f in df.schema if f.name not in {*keys, *order} and _is_orderable(f.dataType)]
+    latest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(f"`{c}`") for c in [*order, *others]])
     return df.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank")
 
 
+def _is_orderable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def newest_delivery(raw: DataFrame, key: str, column: str = "delivery") -> DataFrame:
+    """The rows of each key's newest delivery, which replaces earlier ones as a whole.
+
+    Without a delivery column all rows are one delivery; rows without a value
+    in it are older than all others. The newest per key is an aggregate of one
+    row per key, so that a key's rows only meet to be filtered.
+    """
+    if column not in raw.columns:
+        return raw
+    newest = raw.groupBy(F.col(key).alias("_key")).agg(F.max(column).alias("_newest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(column).eqNullSafe(F.col("_newest"))
+    return raw.join(newest, same, "left_semi").drop(column)
+
+
 def without(existing: DataFrame, refreshed: DataFrame, column: str = "ticker") -> DataFrame:
     """Existing rows whose value is not being refreshed."""
     return existing.join(refreshed.select(column), column, "left_anti").select(existing.columns)
@@ -88,10 +108,15 @@ def fingerprint(
 ) -> DataFrame:
     """Row count and an order-free content hash, for the table or per group.
 
-    Row hashes are added up in a decimal, as a bigint total would overflow.
+    A row's text holds each value behind its length, and a mark for NULL, so
+    that no two rows share one. The first 60 bits of its MD5 are added up in a
+    decimal, as a bigint total would overflow.
     """
     columns = sorted(c for c in df.columns if c not in ignore)
-    row_hash = F.xxhash64(*columns).cast("decimal(38,0)")
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
+    digest = F.substring(F.md5(F.concat_ws(",", *marked)), 1, 15)
+    row_hash = F.conv(digest, 16, 10).cast("decimal(38,0)")
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).alias("content_hash"),

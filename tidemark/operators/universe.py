@@ -43,7 +43,7 @@ def _fields(line: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), 1), unquoted)
 
 
-def holdings_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def holdings_records(lines: DataFrame, few_files: bool = False) -> tuple[DataFrame, DataFrame]:
     """Holdings lines (path, place, line) to records, and files without a table.
 
     Each file starts with an unspecified number of prelude lines; its table
@@ -52,7 +52,9 @@ def holdings_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     fields than the header, or with an unclosed quote, are skipped.
 
     Work is by line, so a large file is read by many tasks. Only the place of
-    each header is gathered per file.
+    each header is gathered per file. With ``few_files``, known to be so few
+    that a row for each fits in memory, these are sent to where the lines are
+    read; else both meet by path, where a skewed file is split by Spark.
     """
     line = F.regexp_replace("line", "^\uFEFF", "")
     lines = lines.select("path", "place", line.alias("line"))
@@ -61,8 +63,8 @@ def holdings_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     no_table = (
         lines.select("path")
         .distinct()
-        .join(headers, "path", "left_anti")
-        .select("path", F.lit("'Ticker,' header row not found").alias("reason"))
+        .join(F.broadcast(headers) if few_files else headers, "path", "left_anti")
+        .select("path", F.lit("no line begins with the column Ticker").alias("reason"))
     )
     with_header = headers.select(
         "path",
@@ -77,7 +79,7 @@ def holdings_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     records = (
         lines.filter(F.trim("line") != "")
-        .join(with_header, "path")
+        .join(F.broadcast(with_header) if few_files else with_header, "path")
         .filter(F.col("place") > F.col("header_place"))
         .filter((_n_fields(F.col("line")) <= F.col("n_names")) & ~_strip_quoted(F.col("line")).contains('"'))
         .withColumn("fields", _fields(F.col("line")))

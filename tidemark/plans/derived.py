@@ -25,10 +25,12 @@ from tidemark.schemas import BARS, CONTENT, DERIVED_TYPES, EVENTS, LAST_DATES, S
 from tidemark.sources.store import Batch, TableStore
 
 TABLE = "derived_events"
-# Longest series whose windows are left to one task.
-WHOLE_SERIES_ROWS = 1_000_000
-# Increments after which events are derived in full again, into one batch.
-MAX_INCREMENTS = 200
+# The day before all bars, for tickers of which none has been seen.
+NEVER = date(1000, 1, 1)
+# Longest list of tickers that is pushed to a scan as a filter.
+NAMED_TICKERS = 1_000
+# Batches after which the next refresh copies them into one.
+COMPACT_AFTER = 32
 
 
 def stored_last_dates(store: TableStore) -> DataFrame:
@@ -64,9 +66,7 @@ def refresh_all(
         return []
 
     bars, _ = B.load_bars(store.read("prices", BARS), requested, adjusted=False)
-    # Series are cut only where one is too long for a task.
-    split_rows = WHOLE_SERIES_ROWS if longest > WHOLE_SERIES_ROWS else None
-    found = detectors.detect_events(bars, t, run_date, split_rows)
+    found = detectors.detect_events(bars, t, run_date)
     # Bars are unique, and so are their events: nothing to de-duplicate.
     content = _write_events(store, batch, keyed.without(existing, requested).unionByName(found))
     if keep_tail:
@@ -82,10 +82,13 @@ def refresh_all(
 def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date: date) -> list[str]:
     """Add the events of bars stored since the last refresh; returns their types.
 
+    Now and then the batches are copied into one first, which changes no row.
     Where that is not possible, as after a change of thresholds or of stored
     history, all events of the requested tickers are replaced.
     """
     basis = _basis(store, t)
+    if len(store.batches(TABLE)) >= COMPACT_AFTER:
+        compact(store, t)
     past = _seen(store)
     if past is None or not past.filter(F.col("basis") != basis).isEmpty():
         return refresh_all(store, requested, t, run_date, keep_tail=True)
@@ -95,17 +98,24 @@ def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date
         .join(requested.select("ticker"), "ticker", "left_semi")
         .join(seen, "ticker", "left")
         .filter("seen_date IS NULL OR last_date > seen_date")
-        .select("ticker", "last_date", F.expr("coalesce(seen_date, DATE'0001-01-01')").alias("seen_date"))
+        .select("ticker", "last_date", F.coalesce("seen_date", F.lit(NEVER)).alias("seen_date"))
     )
-    since = stale.agg(F.min("seen_date")).first()[0]
-    if since is None:
+    # Tickers not seen before need all their bars; a few of them are named to the scan.
+    is_new = F.col("seen_date") == F.lit(NEVER)
+    since, new = stale.agg(F.min(F.when(~is_new, F.col("seen_date"))), F.count(F.when(is_new, 1))).first()
+    if since is None and not new:
         return []
+    wanted = F.lit(True)
+    if new <= NAMED_TICKERS:
+        names = [r["ticker"] for r in stale.filter(is_new).select("ticker").collect()] if new else []
+        later = F.col("date") > F.lit(since) if since else F.lit(False)
+        wanted = (later | F.col("ticker").isin(names)) if names else later
     unseen = stale.join(seen, "ticker", "left_anti")
     if not store.read(TABLE, EVENTS).join(unseen, "ticker", "left_semi").isEmpty():
         return refresh_all(store, requested, t, run_date, keep_tail=True)
 
-    # The bound on all dates lets the scan skip what every ticker has seen.
-    stored = B.clean_bars(store.read("prices", BARS).filter(f"date > DATE'{since}'"))
+    # The bounds let the scan skip what has been seen.
+    stored = B.clean_bars(store.read("prices", BARS).filter(wanted))
     fresh = stored.join(stale.select("ticker", "seen_date"), "ticker").filter("date > seen_date")
     tails = store.read(TABLE, BARS, part="tail").dropDuplicates(["ticker", "date"])
     tails = tails.join(stale.select("ticker"), "ticker", "left_semi")
@@ -122,6 +132,23 @@ def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date
     return [e for e in DERIVED_TYPES if e in found]
 
 
+def compact(store: TableStore, t: Thresholds) -> None:
+    """Copy the batches of events, and what is kept beside them, into one batch.
+
+    Rows keep what they have, also when they were created. Tables that were
+    not written by increments are left alone.
+    """
+    past = _seen(store)
+    if past is None or len(store.batches(TABLE)) < 2:
+        return
+    batch = store.new_batch(TABLE, replace=True)
+    _write_events(store, batch, store.read(TABLE, EVENTS))
+    tails = store.read(TABLE, BARS, part="tail").dropDuplicates(["ticker", "date"])
+    store.write(past.groupBy("ticker").agg(F.max_by("basis", "last_date").alias("basis"), F.max("last_date").alias("last_date")).select(*SEEN.names), batch, part="seen")
+    store.write(_last_rows(tails, t), batch, part="tail")
+    store.publish(batch)
+
+
 def _basis(store: TableStore, t: Thresholds) -> str:
     """What past events rest on: the generation of stored bars, and the thresholds."""
     batches = store.batches("prices")
@@ -131,7 +158,7 @@ def _basis(store: TableStore, t: Thresholds) -> str:
 def _seen(store: TableStore) -> DataFrame | None:
     """What the current events were derived from, if every batch has it on record."""
     batches = store.batches(TABLE)
-    if not 0 < len(batches) <= MAX_INCREMENTS or not all(store.has_part(b, "seen") for b in batches):
+    if not batches or not all(store.has_part(b, "seen") for b in batches):
         return None
     return store.read(TABLE, SEEN, part="seen")
 

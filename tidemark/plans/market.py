@@ -13,7 +13,7 @@ from datetime import date, datetime, timezone
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
@@ -157,13 +157,12 @@ def ingest_prices(
     end = _as_date(end_date) or _run_date(config)
     requested = _requested(config, tickers)
     raw = read_landing(store.spark, config.landing_dir, "raw_prices") if landed is None else landed
-    usable, rejects = B.split_rejects(B.normalise_bars(raw))
+    usable, rejects = B.split_rejects(B.read_bars(raw))
 
     stored_last = derived.stored_last_dates(store)
     windows = B.fetch_windows(requested, stored_last, start, end, force)
-    # The earliest day any ticker still needs, so that the scan can skip older ones.
-    earliest, asked = windows.agg(F.min("fetch_from"), F.count(F.lit(1))).first()
-    usable = B.in_range(usable, earliest, end)
+    asked, scan = _scan_bounds(windows, start)
+    usable = B.in_range(usable.filter(scan), end=end)
     new = B.price_increment(usable, windows, few=asked <= BROADCAST_TICKERS)
 
     if force:
@@ -184,6 +183,25 @@ def ingest_prices(
     return PriceIngest(B.price_status(windows, taken, force), rejects)
 
 
+def _scan_bounds(windows: DataFrame, start: date) -> tuple[int, Column]:
+    """How many tickers are asked for, and which landed rows a scan may skip.
+
+    Tickers that have bars bound the scan by the earliest day one of them
+    still needs. Those without any need all days: a few are named, so that
+    the rows of the others are skipped all the same.
+    """
+    known = F.col("last_date").isNotNull() & (F.col("fetch_from") > F.lit(start))
+    asked, since, new = windows.agg(
+        F.count(F.lit(1)), F.min(F.when(known, F.col("fetch_from"))), F.count(F.when(~known, 1))
+    ).first()
+    wanted = F.col("date") >= F.lit(start)
+    if since is not None and new <= PUSHED_TICKERS:
+        names = [r["ticker"] for r in windows.filter(~known).select("ticker").collect()] if new else []
+        later = F.col("date") >= F.lit(since)
+        wanted = wanted & (later | F.col("ticker").isin(names) if names else later)
+    return asked, wanted
+
+
 def _write_bars(store: TableStore, batch: Batch, bars: DataFrame) -> DataFrame:
     """Write a batch of bars with its last dates beside it; returns the latter."""
     written = store.write(bars.select(*BARS.names), batch, sort=["ticker", "date"], spread=True)
@@ -236,16 +254,20 @@ def ingest_sectors(tickers: Tickers = None, *, force: bool = False, config: Conf
     return _status("sectors", requested, pending, new, "no info delivered")
 
 
-def ingest_etf_metadata(etfs: Tickers = None, *, force: bool = False, config: Config) -> DataFrame:
+def ingest_etf_metadata(
+    etfs: Tickers = None, *, force: bool = False, retry_missing: bool = False, config: Config
+) -> DataFrame:
     """Metadata rows for requested ETFs that have none yet.
 
     An ETF without landed info is reported as skipped but still gets a row,
-    filled from the universe.
+    filled from the universe. With ``retry_missing``, ETFs whose row has no
+    inception date are taken up again.
     """
     store = _store(config)
     requested = _requested(config, etfs, "etfs")
     existing = store.read("etf_metadata", ETF_METADATA)
-    pending = requested if force else keyed.missing_from_snapshot(requested, existing)
+    complete = existing.filter("inception_date IS NOT NULL") if retry_missing else existing
+    pending = requested if force else keyed.missing_from_snapshot(requested, complete)
     info = _landed_info(config, pending)
     try:
         listed = files.read_etfs(store.spark, config.universe_dir)
@@ -262,14 +284,15 @@ def ingest_etf_metadata(etfs: Tickers = None, *, force: bool = False, config: Co
 def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config: Config) -> DataFrame:
     """Holdings of requested ETFs that have none yet; ``force`` replaces them.
 
-    An ETF without landed holdings is skipped and keeps what it has.
+    Where the landing table says which ``delivery`` rows belong to, an ETF has
+    the rows of its newest one only. An ETF without landed holdings is skipped and keeps what it has.
     """
     store = _store(config)
     requested = _requested(config, etfs, "etfs")
     existing = store.read("etf_holdings", ETF_HOLDINGS)
     held = existing.select(F.col("etf").alias("ticker")).distinct()
     pending = requested if force else keyed.missing_from_snapshot(requested, held)
-    raw = _landed_for(config, "raw_holdings", pending, key="etf")
+    raw = keyed.newest_delivery(_landed_for(config, "raw_holdings", pending, key="etf"), "etf")
     new = reference.normalise_holdings(raw, _run_date(config))
     done = new.select(F.col("etf").alias("ticker")).distinct()
     if not new.isEmpty():
@@ -336,14 +359,15 @@ def load_etf_constituents(etf: str, *, config: Config) -> DataFrame:
 def ingest_earnings(tickers: Tickers = None, *, force: bool = False, config: Config) -> DataFrame:
     """Earnings rows for requested tickers that have none yet.
 
-    ``force`` refreshes all requested tickers. A ticker without a readable
-    landed date is skipped.
+    ``force`` refreshes all requested tickers. Where the landing table says
+    which ``delivery`` rows belong to, a ticker has the dates of its newest one
+    only. A ticker without a readable landed date is skipped.
     """
     store = _store(config)
     requested = _requested(config, tickers)
     existing = store.read("earnings", EARNINGS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
-    raw = _landed_for(config, "raw_earnings", pending)
+    raw = keyed.newest_delivery(_landed_for(config, "raw_earnings", pending), "ticker")
     new = events.normalise_earnings(raw, _run_date(config))
     if not new.isEmpty():
         refreshed = requested if force else None
@@ -444,7 +468,7 @@ def load_universe(kind: str = "all", as_of: str | None = None, *, config: Config
     if as_of is not None:
         raise NotImplementedError("the universe has no history; pass as_of=None")
     if kind not in ("all", "sp500", "etfs"):
-        raise ValueError(f"unknown kind: {kind!r}")
+        raise ValueError(f"{kind!r} is no part of the universe")
     spark = _spark()
     if kind != "all":
         read = files.read_sp500 if kind == "sp500" else files.read_etfs
@@ -459,7 +483,8 @@ def load_universe(kind: str = "all", as_of: str | None = None, *, config: Config
 def build_sp500(holdings_path: str, *, config: Config) -> DataFrame:
     """Write sp500.csv from holdings files; returns files that had no table."""
     spark = _spark()
-    records, no_table = universe.holdings_records(files.read_holdings_lines(spark, holdings_path))
+    lines = files.read_holdings_lines(spark, holdings_path)
+    records, no_table = universe.holdings_records(lines, files.are_few(spark, holdings_path))
     rows = universe.sp500_rows(records, _run_date(config)).orderBy("ticker")
     files.write_csv(rows.select(*SP500.names), f"{config.universe_dir}/sp500.csv")
     return no_table

@@ -108,6 +108,28 @@ EARNINGS = f"""
     FROM events WHERE event_type = 'signup') r
   WHERE rn = 1"""
 
+LATER_EARNINGS = EARNINGS.replace(
+    "event_type = 'signup'", "event_type = 'signup' AND (user_id % 3 <> 0 OR event_id % 4 <> 0)"
+)
+
+HASHED = {
+    "orders": "o_custkey o_orderdate o_orderkey o_orderpriority o_orderstatus o_totalprice",
+    "lineitem": "l_discount l_extendedprice l_linenumber l_linestatus l_orderkey l_partkey l_quantity l_returnflag "
+    "l_shipdate l_suppkey l_tax",
+    "events": "event_id event_type props ts user_id value",
+}
+
+
+def _fingerprint(table: str, columns: str) -> str:
+    """Rows and summed leading bits of the MD5 of each row's text."""
+    texts = ", ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'null')" for c in columns.split()
+    )
+    bits = f"CAST('0x' || substr(md5(concat_ws(',', {texts})), 1, 15) AS BIGINT)"
+    return f"""SELECT '{table}' AS "table", count(*) AS n_rows,
+      CAST(CAST(sum(CAST({bits} AS HUGEINT)) AS HUGEINT) AS VARCHAR) AS content_hash FROM {table}"""
+
+
 ALL_EVENTS = f"SELECT {_columns('earnings', True)} FROM ({EARNINGS}) earnings UNION ALL {_derived(STANDARD)}"
 
 
@@ -127,10 +149,11 @@ last AS (SELECT ticker, max(date) AS last_date FROM bars
 fetched AS (SELECT r.ticker, last_date, coalesce(last_date + 1, DATE '1999-01-01') AS fetch_from
   FROM request r LEFT JOIN last l ON r.ticker = l.ticker),
 increment AS (SELECT b.* FROM bars b JOIN fetched f ON b.ticker = f.ticker
-  WHERE b.date BETWEEN f.fetch_from AND DATE '2000-06-30' AND b.date >= DATE '1998-12-22'),
+  WHERE b.date BETWEEN f.fetch_from AND DATE '2024-02-01' AND b.date >= DATE '1998-12-22'),
 status AS (SELECT 'prices' AS dataset, f.ticker,
     CASE WHEN f.ticker IN (SELECT ticker FROM increment) THEN 'updated'
-         WHEN last_date IS NOT NULL THEN 'already_current' ELSE 'skipped' END AS status
+         WHEN last_date >= DATE '2024-02-01' THEN 'already_current'
+         WHEN last_date IS NOT NULL THEN 'no_new_bars' ELSE 'skipped' END AS status
   FROM fetched f)"""
 
 INFO = """
@@ -262,5 +285,28 @@ ORACLES: dict[str, str] = {
         DATE '2001-11-04' AS retrieved_at
       FROM ranked JOIN supplier ON ticker = s_name JOIN nation ON s_nationkey = n_nationkey
       WHERE rank <= 50""",
+    "store_events_many": f"""WITH {BARS} SELECT * REPLACE (
+        DATE '2024-01-01' + CAST(greatest(year(date) - 1992, 0) AS INTEGER) AS created_at)
+      FROM ({_derived(STRICT)}) e""",
+    "store_holdings": f"""WITH {HELD} SELECT etf, CAST(position AS BIGINT) AS position, ticker,
+        CASE WHEN etf < 'ASIB' THEN 'New ' ELSE '' END || 'Holding of ' || ticker AS name,
+        CAST(cents AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS weight_pct,
+        'yfinance funds_data.top_holdings' AS source, {RUN_DATE} AS retrieved_at
+      FROM held WHERE etf >= 'ASIB' OR position % 2 = 0""",
+    "store_earnings": f"SELECT {_columns('earnings', False)} FROM ({LATER_EARNINGS}) e",
+    "price_rejects": """
+      WITH raw AS (SELECT event_id AS position, CASE WHEN event_id % 17 <> 0 THEN event_type END AS ticker,
+          CASE event_id % 7 WHEN 0 THEN props WHEN 1 THEN '2024-13-01' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS day,
+          CASE event_id % 5 WHEN 0 THEN 'n/a' WHEN 1 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS price,
+          CASE WHEN event_id % 11 <> 0 THEN 7 END AS volume FROM events),
+        read AS (SELECT position, ticker, TRY_CAST(day AS DATE) AS date, TRY_CAST(price AS DOUBLE) AS close,
+          CAST(volume AS BIGINT) AS volume, day, price FROM raw),
+        judged AS (SELECT *, CASE WHEN date IS NULL THEN 'unreadable Date'
+            WHEN price IS NOT NULL AND close IS NULL THEN 'unreadable Close'
+            WHEN ticker IS NULL THEN 'no ticker' WHEN close IS NULL THEN 'no close'
+            WHEN volume IS NULL THEN 'no volume' END AS reason FROM read)
+      SELECT position, ticker, date, close, volume, reason FROM judged WHERE reason IS NOT NULL""",
+    "document_hashes": "SELECT doc_id, strlen(text) AS size_bytes, sha256(text) AS sha256 FROM documents",
+    "content_fingerprint": " UNION ALL ".join(_fingerprint(name, columns) for name, columns in HASHED.items()),
     "dirty_csv_holdings": _clean("name || ', \"x\"'"),
 }

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import detectors, events, keyed, reference, summary, universe
-from tidemark.plans import market, standins
-from tidemark.schemas import Config, Thresholds
+from tidemark.plans import derived, market, standins
+from tidemark.schemas import ETF_HOLDINGS, Config, Thresholds
 from tidemark.session import prepare, shared_folder
 from tidemark.sources import files
+from tidemark.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +29,11 @@ STRICT = Thresholds(drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
 # The price ingest: what is stored, and what is delivered on top of it.
 EARLIEST = date(1990, 1, 1)
 LAST_STORED = date(1998, 12, 31)
+# The last bars of the test tables are of 2001 or before.
+INCREMENT_YEARS = range(1992, 2005)
 CUTOFF = date(1999, 1, 1)
 DELIVERED_FROM = date(1998, 12, 22)
-DELIVERED_TO = date(2000, 6, 30)
+DELIVERED_TO = date(2024, 2, 1)
 UNSTORED = "Brand#7"
 
 RANKED_ON = date(2001, 11, 4)
@@ -137,12 +141,12 @@ def _price_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable, _ = B.split_rejects(B.normalise_bars(_delivered(spark, sf_dir)))
+    usable, _ = B.split_rejects(B.read_bars(_delivered(spark, sf_dir)))
     return B.price_increment(usable, _price_windows(spark, sf_dir))
 
 
 def price_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable, _ = B.split_rejects(B.normalise_bars(_delivered(spark, sf_dir)))
+    usable, _ = B.split_rejects(B.read_bars(_delivered(spark, sf_dir)))
     windows = _price_windows(spark, sf_dir)
     taken = B.price_increment(usable, windows).select("ticker").distinct()
     return B.price_status(windows, taken)
@@ -162,7 +166,8 @@ def last_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_to_long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars spread to a column per ticker and field, and folded back."""
-    tickers = [f"Brand#{i}" for i in range(1, 26)]
+    # A wide table has a column for each of them, so a list of them fits anywhere.
+    tickers = [r["ticker"] for r in brand_request(spark, sf_dir).orderBy("position").collect()]
     fields = {raw: name for raw, name in B.RAW_TO_BAR.items() if raw != "Date"}
     wide = (
         standins.bars(spark, sf_dir)
@@ -219,7 +224,7 @@ def snapshot_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = [
         keyed.fingerprint(standins.table(spark, sf_dir, name)).select(
-            F.lit(name).alias("table"), "n_rows", "content_hash"
+            F.lit(name).alias("table"), "n_rows", F.col("content_hash").cast("string").alias("content_hash")
         )
         for name in ("orders", "lineitem", "events")
     ]
@@ -293,9 +298,10 @@ def etf_rank_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ------------------------------------------------------------------
 
 # A feed file holds the parts of this many consecutive keys at most.
-PARTS_PER_FILE = 1_000_000
+PARTS_PER_FILE = 500
 HOLDINGS_PRELUDE = ["Holdings of a fund", 'Fund Holdings as of,"Feb 01, 2024"', ""]
-HOLDINGS_HEADER = "Ticker,Name,Sector,Asset Class,Weight (%)"
+# Files take turns with these columns.
+HOLDINGS_HEADERS = ["Ticker,Name,Sector,Asset Class,Weight (%)", "Ticker,Weight (%),Asset Class,Other,Sector,Name"]
 
 
 def write_holdings_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -303,11 +309,14 @@ def write_holdings_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
     records = standins.dirty_records(spark, sf_dir).withColumn(
         "file", F.floor(F.col("p_partkey") / PARTS_PER_FILE)
     )
-    row = F.concat_ws(
-        ",", "raw_ticker", F.concat(F.lit('"'), "name", F.lit(', ""x"""')), "sector", "asset_class", "weight_pct"
-    )
-    top = ["\ufeff" + HOLDINGS_PRELUDE[0], *HOLDINGS_PRELUDE[1:], HOLDINGS_HEADER]
-    above = F.posexplode(F.array(*[F.lit(line) for line in top]))
+    name = F.concat(F.lit('"'), "name", F.lit(', ""x"""'))
+    first = F.concat_ws(",", "raw_ticker", name, "sector", "asset_class", "weight_pct")
+    second = F.concat_ws(",", "raw_ticker", "weight_pct", "asset_class", F.lit("-"), "sector", name)
+    row = F.when(F.col("file") % 2 == 0, first).otherwise(second)
+    top = ["\ufeff" + HOLDINGS_PRELUDE[0], *HOLDINGS_PRELUDE[1:]]
+    header = F.when(F.col("file") % 2 == 0, HOLDINGS_HEADERS[0]).otherwise(HOLDINGS_HEADERS[1])
+    above = F.posexplode(F.array(*[F.lit(line) for line in top], header))
+    top.append("header")
     preludes = records.select("file").distinct().select("file", above.alias("place", "value"))
     lines = preludes.unionByName(
         records.select("file", (F.col("p_partkey") + len(top)).alias("place"), row.alias("value"))
@@ -319,7 +328,7 @@ def write_holdings_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
 def dirty_csv_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/holdings-{uuid.uuid4().hex}"
     write_holdings_feed(spark, sf_dir, path)
-    records, _ = universe.holdings_records(files.read_holdings_lines(spark, path))
+    records, _ = universe.holdings_records(files.read_holdings_lines(spark, path), files.are_few(spark, path))
     return universe.sp500_rows(records, RUN_DATE)
 
 
@@ -379,6 +388,70 @@ def store_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.load_sectors(config=config)
 
 
+def store_events_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars ingested year by year, events derived after each on another day, batches copied together between."""
+    config = _new_store(spark, STRICT)
+    asked = brand_request(spark, sf_dir)
+    for k, year in enumerate(INCREMENT_YEARS):
+        start, end = (EARLIEST if k == 0 else date(year, 1, 1)), date(year, 12, 31)
+        day = replace(config, run_date=date(2024, 1, 1 + k))
+        landed = _as_delivered(standins.bars(spark, sf_dir, start, end))
+        market.ingest_prices(asked, start_date=start, end_date=end, config=day, landed=landed)
+        market.ingest_derived_events(asked, config=day, incremental=True)
+        if k % 4 == 3:
+            derived.compact(TableStore(spark, config.data_dir), config.events)
+    return _rounded(market.load_events("all", config=config))
+
+
+def store_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings delivered, ingested, delivered anew for some funds with fewer rows, and refreshed."""
+    config = _new_store(spark)
+    raw = standins.raw_holdings(spark, sf_dir)
+    funds = raw.select(F.dense_rank().over(Window.orderBy("etf")).alias("position"), F.col("etf").alias("ticker")).distinct()
+    landing = f"{config.landing_dir}/raw_holdings"
+    raw.withColumn("delivery", F.lit(1)).write.parquet(landing)
+    market.ingest_etf_constituents(funds, config=config)
+    newer = raw.filter("etf < 'ASIB' AND position % 2 = 0").withColumn("Name", F.concat(F.lit("New "), "Name"))
+    newer.withColumn("delivery", F.lit(2)).write.mode("append").parquet(landing)
+    market.ingest_etf_constituents(funds, force=True, config=config)
+    return TableStore(spark, config.data_dir).read("etf_holdings", ETF_HOLDINGS)
+
+
+def store_earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earnings delivered, ingested, delivered anew for some users with some dates withdrawn, and refreshed."""
+    config = _new_store(spark)
+    raw = standins.raw_earnings(spark, sf_dir)
+    users = keyed.unique_ordered(raw.select("position", "ticker"))
+    landing = f"{config.landing_dir}/raw_earnings"
+    raw.withColumn("delivery", F.lit(1)).write.parquet(landing)
+    market.ingest_earnings(users, config=config)
+    newer = raw.filter("CAST(ticker AS BIGINT) % 3 = 0 AND position % 4 <> 0")
+    newer.withColumn("delivery", F.lit(2)).write.mode("append").parquet(landing)
+    market.ingest_earnings(users, force=True, config=config)
+    return market.load_events("earnings", config=config)
+
+
+def price_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as deliveries, some of whose cells cannot be read; what is turned away, and why."""
+    raw = standins.table(spark, sf_dir, "events").selectExpr(
+        "if(event_id % 17 = 0, NULL, event_type) AS ticker",
+        "CASE event_id % 7 WHEN 0 THEN props WHEN 1 THEN '2024-13-01' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS Date",
+        "'1' AS Open", "'1' AS High", "'1' AS Low",
+        "CASE event_id % 5 WHEN 0 THEN 'n/a' WHEN 1 THEN NULL ELSE CAST(user_id AS STRING) END AS Close",
+        "'1' AS `Adj Close`",
+        "if(event_id % 11 = 0, NULL, '7') AS Volume",
+        "event_id AS position",
+    )
+    _, rejects = B.split_rejects(B.read_bars(raw))
+    return rejects.select("position", "ticker", "date", "close", "volume", "reason")
+
+
+def document_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and SHA-256 of every document's text."""
+    docs = standins.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.octet_length("text").cast("bigint").alias("size_bytes"), F.sha2("text", 256).alias("sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "drawdowns": _detector(detectors.drawdowns, STANDARD),
     "drawdowns_strict": _detector(detectors.drawdowns, STRICT),
@@ -418,6 +491,11 @@ QUERIES: dict[str, Query] = {
     "store_prices": store_prices,
     "store_events": store_events,
     "store_sectors": store_sectors,
+    "store_events_many": store_events_many,
+    "store_holdings": store_holdings,
+    "store_earnings": store_earnings,
+    "price_rejects": price_rejects,
+    "document_hashes": document_hashes,
 }
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from tidemark.schemas import BARS, ETF_CANDIDATES, ETFS, SP500
 
 
+# Some 10 MB of headers.
+FEW_FILES = 20_000
+
+
 class UniverseSnapshotMissing(FileNotFoundError):
     """A universe file is absent; `build_sp500` and `build_etfs` write them."""
 
@@ -69,6 +73,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def are_few(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds so few files that a row for each can be broadcast."""
+    target, fs = _hadoop(spark, path)
+    return fs.exists(target) and fs.getContentSummary(target).getFileCount() <= FEW_FILES
+
+
 def read_holdings_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of holdings files as (path, place, line).
 
@@ -87,9 +97,10 @@ def read_holdings_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def data_store_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Relative path, size and SHA-256 of every file under a folder, by path.
+    """Relative path, size and SHA-256 of every file under a folder, unordered.
 
     Files whose name starts with ``_`` or ``.`` are not data and are left out.
+    A file is one row, so one above 2 GB is refused by Spark with an error.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], "path string, size_bytes bigint, sha256 string")
@@ -101,21 +112,29 @@ def data_store_manifest(spark: SparkSession, path: str) -> DataFrame:
         relative.alias("path"),
         F.col("length").alias("size_bytes"),
         F.sha2("content", 256).alias("sha256"),
-    ).orderBy("path")
+    )
 
 
 def write_manifest(spark: SparkSession, path: str, target: str) -> None:
-    """Write the manifest of a folder as CSV."""
-    write_csv(data_store_manifest(spark, path), target)
+    """Write the manifest of a folder as CSV, by path.
+
+    The hashes are written first: sorting samples its input, and would read
+    and hash all files again.
+    """
+    unsorted = f"{target.rstrip('/')}.unsorted"
+    data_store_manifest(spark, path).write.mode("overwrite").parquet(unsorted)
+    write_csv(spark.read.parquet(unsorted).orderBy("path"), target)
+    remove(spark, unsorted)
 
 
 def read_ticker_files(spark: SparkSession, path: str) -> DataFrame:
     """Bars from a folder with one Parquet file per ticker, named after it.
 
-    Such files hold nanosecond dates, which Spark reads as numbers only; the
-    session option for that is switched on.
+    Such files hold nanosecond dates, which Spark reads as numbers only where
+    the session says so; that changes other reads too and is left to the caller.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    if spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") != "true":
+        raise ValueError("set spark.sql.legacy.parquet.nanosAsLong to true to read per-ticker files")
     schema = T.StructType(
         [T.StructField("date", T.LongType())]
         + [f for f in BARS if f.name not in ("ticker", "date")]

@@ -67,10 +67,15 @@ class TableStore:
 
     def read(self, table: str, schema: T.StructType, part: str = "rows") -> DataFrame:
         """The current rows; an empty table with the schema if there are none."""
-        batches = [b for b in self.batches(table) if self.has_part(b, part)]
-        if not batches:
-            return self.spark.createDataFrame([], schema)
-        return self._read(batches, part, schema)
+        batches = self.batches(table)
+        if batches:  # one listing, however many batches there are
+            written = set(files.children(self.spark, f"{batches[0].generation}/{part}"))
+            batches = [b for b in batches if f"batch={b.number}" in written]
+        return self.read_batches(batches, schema, part)
+
+    def read_batches(self, batches: Sequence[Batch], schema: T.StructType, part: str = "rows") -> DataFrame:
+        """The rows of some batches of one generation."""
+        return self._read(batches, part, schema) if batches else self.spark.createDataFrame([], schema)
 
     def _read(self, batches: Sequence[Batch], part: str, schema: T.StructType) -> DataFrame:
         reader = self.spark.read.schema(schema).option("basePath", f"{batches[0].generation}/{part}")
