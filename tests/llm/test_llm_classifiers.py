@@ -52,7 +52,7 @@ def test_compiled_rules_are_the_rules(spark):
 
 @pytest.mark.parametrize("score, label, folds, held, least", [
     (quality.score_quality, "quality", 5, 0, 0.97),
-    (toxicity.score_toxicity, "toxic", 4, 2, 0.85),
+    (toxicity.score_toxicity, "toxic", 4, 2, 0.75),
 ])
 def test_held_out_documents(spark, score, label, folds, held, least):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
