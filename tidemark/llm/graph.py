@@ -11,28 +11,32 @@ from tidemark.llm.data import stored
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, of all nodes in ``edges(a, b)``.
 
-    Each round takes the smallest label among a node and its neighbours, then
-    the label of that label, so that the rounds grow with the logarithm of the
-    longest path. Labels are written after each round. Nodes without an edge
-    are absent; null ends and repeated edges change nothing.
+    Each round takes the smallest label among a node and its neighbours; from
+    the third on also the label of that label, so that long paths take a number
+    of rounds that grows with their logarithm. Labels are written after each
+    round; none has changed when their sum is the same. Null ends and repeated
+    edges change nothing.
     """
-    edges = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    edges = edges.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+    ends = [F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")]
+    both = stored(edges.select(F.inline(F.array(*ends))))
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+    before, rounds = _total(labels), 0
     while True:
-        near = (
+        new = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
+            .agg(F.min("component").alias("component"))
         )
-        lower = labels.join(near, "node").select(
-            "node", F.least("component", "near").alias("component"), F.col("component").alias("before")
-        )
-        # A label is itself a node, so its own label is a step further down.
-        further = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = stored(
-            lower.join(further, "component").select("node", F.least("component", "further").alias("component"), "before")
-        )
-        if new.filter("component <> before").isEmpty():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
+        if rounds >= 2:  # a label is itself a node, so its own label is a step further down
+            further = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+            new = new.join(further, "component").select("node", F.least("component", "further").alias("component"))
+        labels = stored(new)
+        now, rounds = _total(labels), rounds + 1
+        if now == before:
+            return labels
+        before = now
+
+
+def _total(labels: DataFrame):
+    return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]

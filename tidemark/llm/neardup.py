@@ -11,15 +11,13 @@ more than 20 positions with a probability of about 1 in 100,000.
 
 Only links between components matter, so pairs are not all listed. First each
 class is compared with one class of each of its keys, the key's centre, and
-the confirmed links give components; once more with the class of another
-component that has most links. Then all pairs that share a key but no component
-are compared. To spare most of these, sets are banded by size, and a
-class is only compared with a band of whose sets in other components enough
-hold its shingles: others have a similarity below 0.75 with it for certain.
-What is left is compared by bits that stand for the commonest shingles, which
-bounds the similarity closely. No join lists the pairs of a large group.
-Links are confirmed on full sets of 64-bit shingle hashes, with
-100 * common >= 75 * all.
+the confirmed links give components. Then all pairs that share a key but no
+component are compared. To spare most of these, sets are banded by size, and a
+class is left out if in no band the sets of other components hold enough of its
+shingles: its similarity to all of them is below 0.75 for certain. What is left
+is compared by bits that stand for the commonest shingles, which bounds the
+similarity closely. No join lists the pairs of a large group. Links are
+confirmed on full sets of 64-bit shingle hashes, with 100 * common >= 75 * all.
 """
 
 from __future__ import annotations
@@ -45,8 +43,6 @@ MAX_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 PERCENT = 75
 #: Shingles of a group that get a bit, and members of a block.
 BITS, BLOCK_MEMBERS = 256, 1024
-#: How often classes are compared with new centres before all pairs are.
-RECENTRED = 1
 #: Sizes of sets are banded by powers of this.
 BAND = 1.02
 #: Up to so many ids a filter of texts by id is broadcast; beyond, texts are shuffled.
@@ -282,12 +278,6 @@ class _Join:
         mixed = self._mixed(keyed).select("key")
         open_keys = stored(keyed.join(mixed, "key", "left_semi").select("key", "node"))
         sets = stored(self.sets(open_keys.select("node").distinct()))
-        for _ in range(RECENTRED):
-            more = self.recentred_links(open_keys, labels, links, sets)
-            if more.isEmpty():
-                break
-            links = stored(links.unionAll(more))
-            labels = components(links)
         more = self.cross_links(open_keys, labels, sets)
         return labels if more is None or more.isEmpty() else components(links.unionAll(more))
 
@@ -300,17 +290,6 @@ class _Join:
         ends = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         return ends.filter("lo <> hi")
 
-    def recentred_links(self, open_keys: DataFrame, labels: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links of classes with the best linked class of another component in each of their keys."""
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        keyed = self._labelled(open_keys, labels).join(degree, "node", "left")
-        best = F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), F.xxhash64("node").alias("order"), "node", "component"))
-        centres = keyed.groupBy("key").agg(best.alias("c")).select(
-            "key", F.col("c.node").alias("a"), F.col("c.component").alias("other")
-        )
-        pairs = keyed.join(centres, "key").filter("component <> other").select("a", F.col("node").alias("b")).distinct()
-        return stored(self.confirmed(stored(self.near(pairs)), sets))
-
     def cross_links(self, open_keys: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame | None:
         """Confirmed links between components, of all pairs that share a key."""
         keyed = self._labelled(open_keys, labels)
@@ -319,9 +298,8 @@ class _Join:
         band = F.floor(F.log(F.col("n_shingles")) / math.log(BAND)).cast("int")
         sized = self.classes.select("node", F.col("n_shingles").alias("n"), band.alias("band"))
         left = stored(left.join(sized, "node"))
-        for _ in range(3):
-            open_to = stored(self.open_bands(left, sets))
-            left = stored(left.join(open_to.select("node").distinct(), "node", "left_semi"))
+        open_to = self.open_bands(left, sets)
+        left = stored(left.join(open_to.select("node").distinct(), "node", "left_semi"))
         if left.isEmpty():
             return None
         left = left.join(self.groups(open_keys, left), "node")
