@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tidemark.llm.data import ready
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = str.maketrans(UPPER, UPPER.lower())
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -20,4 +22,4 @@ def words(text: str | None, pattern: re.Pattern = ALNUM) -> list[str]:
 def frame(spark, rows, schema="doc_id long, text string, id string, label string"):
     """Documents with extra columns whose names the operators use themselves."""
     width = len(schema.split(","))
-    return spark.createDataFrame([(*r, *["x"] * (width - len(r))) for r in rows], schema)
+    return ready(spark).createDataFrame([(*r, *["x"] * (width - len(r))) for r in rows], schema)

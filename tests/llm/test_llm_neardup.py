@@ -74,7 +74,6 @@ def test_groups_are_those_of_brute_force(spark, rows):
 def test_small_blocks_and_few_bits_change_nothing(spark, rows, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 7)
     monkeypatch.setattr(neardup, "BITS", 64)
-    monkeypatch.setattr(neardup, "RECENTRED", 0)
     monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
     got = neardup.near_duplicates(frame(spark, rows)).collect()
     assert sorted(map(repr, map(tuple, got))) == expected(rows)
@@ -108,3 +107,19 @@ def test_no_rows(spark):
     assert neardup.near_duplicates(frame(spark, [])).collect() == []
     alone = neardup.near_duplicates(frame(spark, [(5, "just one text of some words")])).collect()
     assert [tuple(r) for r in alone] == [(5, 2, 5, True)]
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    from tidemark.llm.graph import components
+
+    rng = random.Random(1)
+    names = rng.sample(range(10_000), 400)
+    edges = [(names[k], names[k + 1]) for k in range(150)] + [(names[200], names[k]) for k in range(201, 260)]
+    edges += [(names[260 + k], names[260 + (k + 1) % 40]) for k in range(40)] + [(7, 7), (None, 3), (names[0], names[1])]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {}
+    for group in (names[:151], names[200:260], names[260:300], [7]):
+        for n in group:
+            want[n] = min([*group])
+    assert {n: c for n, c in got.items() if n != 7 or 7 in want} == want
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
