@@ -104,8 +104,29 @@ def test_ticker_files_with_nanosecond_dates_are_read(spark, tmp_path):
         frame[name] = 1.5
     table = pa.Table.from_pandas(frame, schema=schema, preserve_index=False)
     pq.write_table(table, tmp_path / "BRK-B.parquet", version="2.6")
-    found = files.read_ticker_files(spark, str(tmp_path))
-    assert [(t, str(d), v) for t, d, v in rows(found, "ticker", "date", "volume")] == [
-        ("BRK-B", "1969-12-31", 8),
-        ("BRK-B", "2024-01-02", 7),
-    ]
+    with pytest.raises(ValueError, match="nanosAsLong"):
+        files.read_ticker_files(spark, str(tmp_path))
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    try:
+        found = files.read_ticker_files(spark, str(tmp_path))
+        assert [(t, str(d), v) for t, d, v in rows(found, "ticker", "date", "volume")] == [
+            ("BRK-B", "1969-12-31", 8),
+            ("BRK-B", "2024-01-02", 7),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+
+
+def test_headers_are_sent_to_the_lines(spark, feed):
+    def plan(few):
+        records, _ = universe.holdings_records(files.read_holdings_lines(spark, feed), few)
+        return records._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan(False)
+        sent = plan(True)
+        assert "BroadcastHashJoin" in sent and "SortMergeJoin" not in sent
+        assert files.are_few(spark, feed) and not files.are_few(spark, feed + "/absent")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -404,3 +404,90 @@ def test_build_etfs_ranks_candidates_by_dollar_volume(spark, landed, tmp_path):
         (0, "SPY", "broad", 1, (320.0 * 100 + 316.0 * 500) / 2, END),
         (1, "AAPL", "tech", 2, (80.0 * 100 + 79.0 * 500) / 2, END),
     ]
+
+
+def test_a_newer_delivery_of_holdings_replaces_the_older_one(spark, config):
+    def deliver(number, symbols, etf="SPY"):
+        data = [(etf, k, s, s, "0.1", number) for k, s in enumerate(symbols)]
+        schema = "etf string, position bigint, Symbol string, Name string, `Holding Percent` string, delivery int"
+        land(spark, config, "raw_holdings", data, schema)
+
+    deliver(1, ["AAPL", "MSFT"])
+    deliver(1, ["MSFT"], "QQQ")
+    tm.ingest_etf_constituents(["SPY", "QQQ"], config=config)
+    deliver(2, ["NVDA", "AAPL"])
+    tm.ingest_etf_constituents(["SPY", "QQQ"], force=True, config=config)
+    assert rows(tm.load_etf_holdings("SPY", config=config), "position", "ticker") == [(0, "NVDA"), (1, "AAPL")]
+    assert rows(tm.load_etf_holdings("QQQ", config=config), "position", "ticker") == [(0, "MSFT")]
+
+
+def test_withdrawn_earnings_dates_go(spark, config):
+    schema = "ticker string, position bigint, `Earnings Date` string, `Event Time` string, delivery int"
+    land(spark, config, "raw_earnings", [("AAPL", 0, "2024-01-25", "amc", 1), ("MSFT", 0, "2024-01-20", None, 1)], schema)
+    tm.ingest_earnings(["AAPL", "MSFT"], config=config)
+    land(spark, config, "raw_earnings", [("AAPL", 0, "2024-01-30", "amc", 2)], schema)
+    tm.ingest_earnings(["AAPL", "MSFT"], force=True, config=config)
+    assert rows(tm.load_events("earnings", config=config), "ticker", "date") == [
+        ("AAPL", date(2024, 1, 30)),
+        ("MSFT", date(2024, 1, 20)),
+    ]
+
+
+def test_copying_batches_together_keeps_every_row(spark, config, monkeypatch):
+    def run(compact_after):
+        monkeypatch.setattr(derived, "COMPACT_AFTER", compact_after)
+        own = replace(config, data_dir=f"{config.data_dir}{compact_after}")
+        for k in range(5):
+            first = START + timedelta(days=7 * k)
+            day = replace(own, run_date=RUN_DATE + timedelta(days=k))
+            landed = spark.createDataFrame(list(raw_rows("AAPL", 100.0 + k, first)), RAW_PRICES)
+            tm.ingest_prices(["AAPL"], start_date=START, end_date=first + timedelta(days=4), config=day, landed=landed)
+            tm.ingest_derived_events(["AAPL"], config=day, incremental=True)
+        batches = market._store(own).batches(derived.TABLE)
+        return rows(tm.load_events("all", config=own)), len(batches)
+
+    many, n_many = run(100)
+    few, n_few = run(2)
+    assert many == few and n_many == 5 and n_few <= 2
+    assert len({r[4] for r in many}) == 5  # created_at of each run
+
+
+def test_one_bad_cell_costs_one_row(spark, config):
+    schema = "ticker string, Date string, Open string, High string, Low string, Close string, `Adj Close` string, Volume string, position bigint"
+    landed = spark.createDataFrame(
+        [
+            ("AAPL", "2024-01-02", "1", "1", "1", "1", "1", "5", 0),
+            ("AAPL", "someday", "1", "1", "1", "1", "1", "5", 0),
+            ("MSFT", "2024-01-02", "1", "1", "1", "n/a", "1", "5", 0),
+            ("MSFT", "2024-01-03", "1", "1", "1", None, "1", "5", 0),
+        ],
+        schema,
+    )
+    done = tm.ingest_prices(["AAPL", "MSFT"], start_date=START, end_date=END, config=config, landed=landed)
+    assert rows(done.rejects, "ticker", "reason") == [
+        ("AAPL", "unreadable Date"),
+        ("MSFT", "no close"),
+        ("MSFT", "unreadable Close"),
+    ]
+    assert outcome(done.status) == [("prices", "AAPL", "updated"), ("prices", "MSFT", "skipped")]
+    again = tm.ingest_prices(["AAPL"], start_date=START, end_date=END, config=config, landed=landed)
+    assert outcome(again.status) == [("prices", "AAPL", "no_new_bars")]
+
+
+def test_old_landed_rows_are_skipped_despite_a_ticker_that_never_delivers(spark, landed):
+    tm.ingest_prices(["AAPL", "MSFT"], start_date=START, end_date=END, config=landed)
+    store = market._store(landed)
+    asked = market._requested(landed, ["AAPL", "MSFT", "NEVER"])
+    windows = market.B.fetch_windows(asked, derived.stored_last_dates(store), START, END + timedelta(days=9))
+    _, scan = market._scan_bounds(windows, START)
+    raw = spark.read.parquet(f"{landed.landing_dir}/raw_prices")
+    plan = market.B.read_bars(raw).filter(scan)._jdf.queryExecution().optimizedPlan().toString()
+    assert "NEVER" in plan and "2024-01-06" in plan
+
+
+def test_metadata_is_taken_up_again_if_asked(spark, config):
+    tm.ingest_etf_metadata(config=config)
+    land(spark, config, "raw_info", [("SPY", json.dumps({"longName": "SPDR", "fundInceptionDate": 727660800}), 0)], RAW_INFO)
+    assert outcome(tm.ingest_etf_metadata(config=config)) == [("etf_metadata", "SPY", "already_current")]
+    assert outcome(tm.ingest_etf_metadata(retry_missing=True, config=config)) == [("etf_metadata", "SPY", "updated")]
+    assert rows(tm.load_etf_metadata(config=config), "inception_date") == [(date(1993, 1, 22),)]

@@ -345,3 +345,27 @@ def test_ranking_agrees_with_brute_force(spark):
     )
     assert rows(found, "rank", "ticker") == [(i + 1, t) for i, (t, _) in enumerate(expected)]
     assert [v for _, v in rows(found, "rank", "avg_dollar_volume")] == pytest.approx([m for _, m in expected])
+
+
+def test_content_hashes_tell_nulls_apart(spark):
+    schema = "industry string, sector string"
+    hashes = [
+        keyed.fingerprint(spark.createDataFrame([row], schema)).first()["content_hash"]
+        for row in [(None, "X"), ("X", None), ("X", ""), ("", "X"), ("1:X", None), (None, None), ("null", None), ("a,1:b", "c"), ("a", "b,1:c")]
+    ]
+    assert len(set(hashes)) == len(hashes)
+
+
+def test_keep_last_does_not_depend_on_arrival(spark):
+    data = [("A", 0, x) for x in ("b", "c", "a")]
+    for rotated in (data, data[1:] + data[:1], data[2:] + data[:2]):
+        df = spark.createDataFrame(rotated, "k string, position int, v string").repartition(3)
+        assert rows(keyed.keep_last(df, ["k"], ["position"]), "v") == [("c",)]
+
+
+def test_absent_wide_tickers_are_left_out(spark):
+    fields = ["Open", "High", "Low", "Close", "Adj Close", "Volume"]
+    wide = spark.createDataFrame([("2024-01-02", *[1.0] * 6)], "Date string, " + ", ".join(f"`A|{f}` double" for f in fields))
+    assert rows(B.wide_to_long(wide, ["A", "B"]), "ticker", "close") == [("A", 1.0)]
+    assert B.absent_tickers(wide, ["A", "B"]) == ["B"]
+    assert B.wide_to_long(wide, ["B"]).isEmpty()
