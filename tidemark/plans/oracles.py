@@ -197,6 +197,15 @@ ranked AS (SELECT ticker, round(avg_dollar_volume, 6) AS avg_dollar_volume, CAST
     ORDER BY avg_dollar_volume DESC, ticker) AS INTEGER) AS rank FROM means)"""
 
 
+METADATA = f"""WITH {INFO} SELECT CAST(c_custkey AS VARCHAR) AS ticker,
+        CASE WHEN k % 5 <> 0 THEN 'Long ' || k WHEN k % 7 <> 0 THEN 'Short ' || k ELSE c_name END AS name,
+        c_mktsegment AS category,
+        CASE WHEN k <> 0 THEN DATE '1970-01-01' + CAST(k AS INTEGER)
+          WHEN event_id <> 0 THEN DATE '1970-01-01' + CAST(event_id // 86400 AS INTEGER) END AS inception_date,
+        'yfinance .info' AS source, {RUN_DATE} AS retrieved_at
+      FROM customer LEFT JOIN info ON c_custkey = user_id"""
+
+
 ORACLES: dict[str, str] = {
     "drawdowns": _detector("drawdowns", STANDARD),
     "drawdowns_strict": _detector("drawdowns", STRICT),
@@ -259,13 +268,7 @@ ORACLES: dict[str, str] = {
       kept AS (SELECT * FROM bars WHERE date < DATE '1999-01-01' AND ticker <> 'Brand#7'
         UNION ALL SELECT * REPLACE (close * CAST(1.01 AS DOUBLE) AS close) FROM increment)
       SELECT position, kept.* FROM kept JOIN request r ON kept.ticker = r.ticker""",
-    "metadata_from_info": f"""WITH {INFO} SELECT CAST(c_custkey AS VARCHAR) AS ticker,
-        CASE WHEN k % 5 <> 0 THEN 'Long ' || k WHEN k % 7 <> 0 THEN 'Short ' || k ELSE c_name END AS name,
-        c_mktsegment AS category,
-        CASE WHEN k <> 0 THEN DATE '1970-01-01' + CAST(k AS INTEGER)
-          WHEN event_id <> 0 THEN DATE '1970-01-01' + CAST(event_id // 86400 AS INTEGER) END AS inception_date,
-        'yfinance .info' AS source, {RUN_DATE} AS retrieved_at
-      FROM customer LEFT JOIN info ON c_custkey = user_id""",
+    "metadata_from_info": METADATA,
     "holdings_normalized": f"""WITH {HELD} SELECT etf, CAST(position AS BIGINT) AS position, ticker,
         'Holding of ' || ticker AS name,
         CAST(cents AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS weight_pct,
@@ -294,6 +297,24 @@ ORACLES: dict[str, str] = {
         'yfinance funds_data.top_holdings' AS source, {RUN_DATE} AS retrieved_at
       FROM held WHERE etf >= 'ASIB' OR position % 2 = 0""",
     "store_earnings": f"SELECT {_columns('earnings', False)} FROM ({LATER_EARNINGS}) e",
+    "store_universe": f"""WITH {RECORDS}, {_ranked(90)} SELECT ticker FROM checked WHERE valid
+      UNION ALL SELECT ticker FROM ranked WHERE rank <= 50""",
+    "store_metadata": METADATA,
+    "store_all": f"""WITH {BARS}, {BRANDS},
+      users AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker FROM events),
+      earning AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker FROM events WHERE event_type = 'signup'),
+      asked AS (SELECT ticker FROM brands UNION SELECT ticker FROM users),
+      found AS ({_derived(STRICT)})
+      SELECT 'prices' AS dataset, ticker, CASE WHEN ticker IN (SELECT ticker FROM bars) THEN 'updated' ELSE 'skipped' END AS status,
+        CASE WHEN ticker NOT IN (SELECT ticker FROM bars) THEN 'no bars delivered in range' END AS reason FROM asked
+      UNION ALL SELECT 'sectors', ticker, CASE WHEN ticker IN (SELECT ticker FROM users) THEN 'updated' ELSE 'skipped' END,
+        CASE WHEN ticker NOT IN (SELECT ticker FROM users) THEN 'no info delivered' END FROM asked
+      UNION ALL SELECT 'earnings', ticker, CASE WHEN ticker IN (SELECT ticker FROM earning) THEN 'updated' ELSE 'skipped' END,
+        CASE WHEN ticker NOT IN (SELECT ticker FROM earning) THEN 'no readable earnings dates delivered' END FROM asked
+      UNION ALL SELECT type, NULL, CASE WHEN type IN (SELECT event_type FROM found) THEN 'updated' ELSE 'already_current' END, NULL
+        FROM (VALUES {", ".join(f"('{t}')" for t in DERIVED_TYPES)}) AS types(type)
+      UNION ALL SELECT 'derived_events', ticker, 'skipped', 'no bars stored' FROM asked
+        WHERE ticker NOT IN (SELECT ticker FROM bars)""",
     "price_rejects": """
       WITH raw AS (SELECT event_id AS position, CASE WHEN event_id % 17 <> 0 THEN event_type END AS ticker,
           CASE event_id % 7 WHEN 0 THEN props WHEN 1 THEN '2024-13-01' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS day,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bars as B
 from tidemark.operators import detectors, events, keyed, reference, summary, universe
 from tidemark.plans import derived, market, standins
-from tidemark.schemas import ETF_HOLDINGS, Config, Thresholds
+from tidemark.schemas import ETF_HOLDINGS, ETFS, Config, Thresholds
 from tidemark.session import prepare, shared_folder
 from tidemark.sources import files
 from tidemark.sources.store import TableStore
@@ -431,6 +431,47 @@ def store_earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.load_events("earnings", config=config)
 
 
+def store_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both universe files written, from a holdings feed and from landed prices; all tickers loaded."""
+    config = replace(_new_store(spark), run_date=RANKED_ON)
+    feed = f"{config.landing_dir}/feed"
+    write_holdings_feed(spark, sf_dir, feed)
+    market.build_sp500(feed, config=config)
+    daily = standins.etf_bars(spark, sf_dir, start=date(2001, 8, 6), end=RANKED_ON)
+    _as_delivered(daily).withColumn("position", F.lit(0)).write.parquet(f"{config.landing_dir}/raw_prices")
+    files.write_csv(standins.etf_candidates(spark, sf_dir), f"{config.universe_dir}/etf_candidates.csv")
+    market.build_etfs(config=config)
+    return market.load_universe("all", config=config).select("ticker")
+
+
+def store_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as ETFs, ingested before any info has landed, and taken up again after."""
+    config = _new_store(spark)
+    listed = standins.table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS ticker", "c_name AS name", "c_mktsegment AS category",
+        "CAST(NULL AS DOUBLE) AS avg_dollar_volume", "CAST(NULL AS INT) AS rank",
+        "CAST(NULL AS STRING) AS source", "CAST(NULL AS DATE) AS retrieved_at",
+    )
+    files.write_csv(listed, f"{config.universe_dir}/etfs.csv")
+    market.ingest_etf_metadata(config=config)
+    standins.raw_info(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_info")
+    market.ingest_etf_metadata(retry_missing=True, config=config)
+    return market.load_etf_metadata(config=config)
+
+
+def store_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything ingested for brands, which have prices, and users, who have info and earnings; the outcome of each."""
+    config = _new_store(spark, STRICT)
+    _as_delivered(standins.bars(spark, sf_dir)).withColumn("position", F.lit(0)).write.parquet(f"{config.landing_dir}/raw_prices")
+    standins.raw_info(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_info")
+    standins.raw_earnings(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_earnings")
+    spark.createDataFrame([], ETFS).write.option("header", True).csv(f"{config.universe_dir}/etfs.csv")
+    users = standins.table(spark, sf_dir, "events").selectExpr("user_id AS position", "CAST(user_id AS STRING) AS ticker")
+    asked = keyed.unique_ordered(brand_request(spark, sf_dir).unionByName(users))
+    done = market.ingest_all(asked, start_date=EARLIEST, config=config)
+    return done.prices.status.unionByName(done.reference).unionByName(done.events)
+
+
 def price_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as deliveries, some of whose cells cannot be read; what is turned away, and why."""
     raw = standins.table(spark, sf_dir, "events").selectExpr(
@@ -494,6 +535,9 @@ QUERIES: dict[str, Query] = {
     "store_events_many": store_events_many,
     "store_holdings": store_holdings,
     "store_earnings": store_earnings,
+    "store_universe": store_universe,
+    "store_metadata": store_metadata,
+    "store_all": store_all,
     "price_rejects": price_rejects,
     "document_hashes": document_hashes,
 }
