@@ -37,7 +37,8 @@ WORDS_PER_EDIT = 4
 SHORT_WORDS = 8
 WALKS, SAMPLES, SAMPLED_STEPS = 2, 6, 3
 MAX_STEPS = 64
-_FILTER_BITS = 22
+#: Slots of a filter per key, as a power of two, and slots at most.
+FILTER_SPARE, FILTER_BITS = 6, 24
 
 
 def allowed_edits(words: int) -> int:
@@ -55,6 +56,7 @@ class _Class:
     keys: list[list[np.ndarray]] = field(default_factory=list)  # by walk and sample, sorted
     owners: list[list[np.ndarray]] = field(default_factory=list)  # item << 32 | offset
     filters: list[list[np.ndarray]] = field(default_factory=list)
+    filter_bits: int = 0
 
 
 def _samples(steps: int, seed: int) -> list[list[int]]:
@@ -98,6 +100,7 @@ class ItemIndex:
         data, offsets = text_bytes(pa.array([t for _, t in items], pa.string()))
         words = find_words(data, offsets, ALNUM)
         self.words = [words.hash[a:b] for a, b in zip(words.first, words.first[1:])]
+        self.lists = [w.tolist() for w in self.words]
         self.short: dict[int, dict[int, list[int]]] = {}  # by length, by key: items
         self.classes: list[_Class] = []
         by_size: dict[int, list[int]] = {}
@@ -122,6 +125,7 @@ class ItemIndex:
             flat += [w, draws(steps + 1, i + 1000)]
             base += len(w) + steps + 1
         flat, starts, owners = np.concatenate(flat), np.concatenate(starts), np.concatenate(owners)
+        found.filter_bits = min(max(len(starts).bit_length() + FILTER_SPARE, 10), FILTER_BITS)
         for walk in range(WALKS):
             emitted = _walk(flat, starts, found.samples, walk)
             keys = [_sample_keys(emitted, s) for s in found.samples]
@@ -130,8 +134,8 @@ class ItemIndex:
             found.owners.append([owners[o] for o in orders])
             filters = []
             for k in keys:
-                present = np.zeros(1 << _FILTER_BITS, bool)
-                present[k >> np.uint64(64 - _FILTER_BITS)] = True
+                present = np.zeros(1 << found.filter_bits, bool)
+                present[k >> np.uint64(64 - found.filter_bits)] = True
                 filters.append(np.packbits(present))
             found.filters.append(filters)
         return found
@@ -154,7 +158,7 @@ class ItemIndex:
                 emitted = _walk(padded, starts, c.samples, walk)
                 for s, steps in enumerate(c.samples):
                     key = _sample_keys(emitted, steps)
-                    slot = key >> np.uint64(64 - _FILTER_BITS)
+                    slot = key >> np.uint64(64 - c.filter_bits)
                     bit = np.uint8(128) >> (slot & np.uint64(7)).astype(np.uint8)
                     maybe = np.flatnonzero(c.filters[walk][s][slot >> np.uint64(3)] & bit)
                     if not len(maybe):
@@ -188,8 +192,8 @@ class ItemIndex:
             low, high = max(a, start - edits), min(b, last + len(self.words[item]) + edits)
             if high <= low:
                 continue
-            found = np.isin(self.words[item], words.hash[low:high])
-            if len(found) - int(found.sum()) > edits:  # so many words at least are not there
+            there = set(words.hash[low:high].tolist())
+            if sum(w not in there for w in self.lists[item]) > edits:  # each takes an edit
                 continue
             distance, first = best_stretch(self.words[item], words.hash[low:high])
             best = (distance, low + first - a)
