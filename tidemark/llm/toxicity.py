@@ -87,27 +87,37 @@ def windows(word: str) -> list[str]:
     return [word[k : k + WINDOW] for k in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word index, code and weight of each distinct subsequence of each word."""
+def places(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word index, code and weight of each place of a subsequence in each word."""
     marked = [BEGIN + w + END for w in words]
     char = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
     word = np.repeat(np.arange(len(words)), [len(m) for m in marked])
     owners, codes, weights = [], [], []
     with np.errstate(over="ignore"):
-        for places, weight in PATTERNS:
-            n = len(char) - places[-1]
+        for offsets, weight in PATTERNS:
+            n = len(char) - offsets[-1]
             if n <= 0:
                 continue
-            inside = word[:n] == word[places[-1] :]
-            code = np.full(n, len(places), np.uint64)
-            for mark, at in zip(_MARK, places):
+            inside = word[:n] == word[offsets[-1] :]
+            code = np.full(n, len(offsets), np.uint64)
+            for mark, at in zip(_MARK, offsets):
                 code += char[at : at + n] * mark
             owners.append(word[:n][inside])
             codes.append(mix(code[inside]))
             weights.append(np.full(len(codes[-1]), weight))
     if not owners:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0)
-    owner, code, weight = np.concatenate(owners), np.concatenate(codes), np.concatenate(weights)
+    return np.concatenate(owners), np.concatenate(codes), np.concatenate(weights)
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word index, code and weight of each distinct subsequence of each word."""
+    return _summed(*places(words))
+
+
+def _summed(owner: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not len(owner):
+        return owner, code, weight
     # Equal subsequences of a word are summed. Sorting by a mixture of both
     # puts them side by side.
     with np.errstate(over="ignore"):
@@ -156,13 +166,20 @@ class WordModel:
     shift: float = 0.0
 
     def margins(self, words: list[str]) -> np.ndarray:
-        """Of each word; of a long one the largest of its windows."""
+        """Of each word; of a long one the largest of its windows.
+
+        A word more unlike than like the insults has the offset, whatever its
+        length, so that only the others' lengths are worked out.
+        """
         parts = [windows(w) for w in words]
         flat = [p for ps in parts for p in ps]
-        owner, code, weight = subsequences(flat)
+        owner, code, weight = places(flat)
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         value = np.where(self.codes[at] == code, self.weights[at], 0.0) * weight
-        margin = np.bincount(owner, value, len(flat)) / norms(owner, weight, len(flat)) + self.offset
+        total = np.bincount(owner, value, len(flat))
+        some = (total > 0)[owner]
+        owner, _, weight = _summed(owner[some], code[some], weight[some])
+        margin = np.maximum(total, 0) / norms(owner, weight, len(flat)) + self.offset
         first = np.cumsum([0, *(len(p) for p in parts)])[:-1]
         return np.maximum.reduceat(margin, first) if len(flat) else np.zeros(0)
 
