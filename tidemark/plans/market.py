@@ -8,7 +8,7 @@ more than a driver should hold.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timezone
 from functools import reduce
 from typing import NamedTuple
@@ -37,7 +37,7 @@ from tidemark.schemas import (
     TOP_ETFS,
     Config,
 )
-from tidemark.session import prepare
+from tidemark.session import prepare, settled
 from tidemark.sources import files
 from tidemark.sources.landing import read_landing
 from tidemark.sources.store import Batch, TableStore
@@ -117,7 +117,10 @@ def _landed_info(config: Config, requested: DataFrame) -> DataFrame:
 
 
 def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFrame, reason) -> DataFrame:
-    """Not pending is current; pending and done is updated; else it is skipped."""
+    """Not pending is current; pending and done is updated; else it is skipped.
+
+    Worked out at once, before the tables it is read from are replaced.
+    """
     marked = (
         requested.select("ticker")
         .join(pending.select("ticker", F.lit(True).alias("pending")), "ticker", "left")
@@ -125,14 +128,32 @@ def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFr
     )
     status = F.when(F.col("pending").isNull(), "already_current").when(F.col("done"), "updated")
     status = status.otherwise("skipped")
-    return marked.select(
-        F.lit(dataset).alias("dataset"),
-        "ticker",
-        status.alias("status"),
-        F.when(status == "skipped", F.lit(reason)).alias("reason"),
+    return settled(
+        marked.select(
+            F.lit(dataset).alias("dataset"),
+            "ticker",
+            status.alias("status"),
+            F.when(status == "skipped", F.lit(reason)).alias("reason"),
+        )
     )
 
 
+def _put(
+    store: TableStore, table: str, new: DataFrame, merge: Callable[[DataFrame], DataFrame], replace: bool = True, **layout
+) -> DataFrame:
+    """Write the new rows beside a batch, what they merge into as its rows, and
+    publish both; nothing if there are none. Returns the new rows as written,
+    so that landed data are read once."""
+    batch = store.new_batch(table, replace=replace)
+    written = store.write(new, batch, part="new")
+    if written.isEmpty():
+        store.discard(batch)
+        return store.spark.createDataFrame([], new.schema)
+    store.write(merge(written), batch, **layout)
+    store.publish(batch)
+    return written
+
+
 # --- prices -----------------------------------------------------------------
 
 
@@ -180,7 +201,7 @@ def ingest_prices(
             taken = store.spark.createDataFrame([], LAST_DATES)
         else:
             store.publish(batch)
-    return PriceIngest(B.price_status(windows, taken, force), rejects)
+    return PriceIngest(settled(B.price_status(windows, taken, force)), rejects)
 
 
 def _scan_bounds(windows: DataFrame, start: date) -> tuple[int, Column]:
@@ -246,11 +267,12 @@ def ingest_sectors(tickers: Tickers = None, *, force: bool = False, config: Conf
     existing = store.read("sectors", SECTORS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
     info = _landed_info(config, pending)
-    new = reference.sector_rows(info, _run_date(config))
-    if not new.isEmpty():
-        refreshed = requested if force else None
-        merged = keyed.merge_snapshot(existing, new, SECTORS.names, ["ticker"], refreshed)
-        store.replace("sectors", merged, sort=["ticker"])
+    refreshed = requested if force else None
+
+    def merged(new: DataFrame) -> DataFrame:
+        return keyed.merge_snapshot(existing, new, SECTORS.names, ["ticker"], refreshed)
+
+    new = _put(store, "sectors", reference.sector_rows(info, _run_date(config)), merged, sort=["ticker"])
     return _status("sectors", requested, pending, new, "no info delivered")
 
 
@@ -273,12 +295,16 @@ def ingest_etf_metadata(
         listed = files.read_etfs(store.spark, config.universe_dir)
     except files.UniverseSnapshotMissing:
         listed = store.spark.createDataFrame([], ETFS).withColumn("position", F.lit(0))
-    new = reference.metadata_rows(pending, info, listed, _run_date(config))
-    if not new.isEmpty():
-        refreshed = requested if force else None
-        merged = keyed.merge_snapshot(existing, new, ETF_METADATA.names, ["ticker"], refreshed)
-        store.replace("etf_metadata", merged, sort=["ticker"])
-    return _status("etf_metadata", requested, pending, info, "no info delivered")
+    informed = info.withColumn("informed", F.lit(True))
+    rows = reference.metadata_rows(pending, info, listed, _run_date(config))
+    rows = rows.join(informed.select("ticker", "informed"), "ticker", "left")
+    refreshed = requested if force else None
+
+    def merged(new: DataFrame) -> DataFrame:
+        return keyed.merge_snapshot(existing, new, ETF_METADATA.names, ["ticker"], refreshed)
+
+    new = _put(store, "etf_metadata", rows, merged, sort=["ticker"])
+    return _status("etf_metadata", requested, pending, new.filter("informed"), "no info delivered")
 
 
 def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config: Config) -> DataFrame:
@@ -293,16 +319,16 @@ def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config
     held = existing.select(F.col("etf").alias("ticker")).distinct()
     pending = requested if force else keyed.missing_from_snapshot(requested, held)
     raw = keyed.newest_delivery(_landed_for(config, "raw_holdings", pending, key="etf"), "etf")
-    new = reference.normalise_holdings(raw, _run_date(config))
+
+    def merged(new: DataFrame) -> DataFrame:
+        if not force:
+            return new
+        kept = existing.join(new.select("etf").distinct(), "etf", "left_anti")
+        return kept.select(*ETF_HOLDINGS.names).unionByName(new)
+
+    layout = {"sort": ["etf", "position"], "spread": True, "partition_by": ["etf"]}
+    new = _put(store, "etf_holdings", reference.normalise_holdings(raw, _run_date(config)), merged, force, **layout)
     done = new.select(F.col("etf").alias("ticker")).distinct()
-    if not new.isEmpty():
-        layout = {"sort": ["etf", "position"], "spread": True, "partition_by": ["etf"]}
-        if force:
-            kept = existing.join(new.select("etf").distinct(), "etf", "left_anti")
-            rows = kept.select(*ETF_HOLDINGS.names).unionByName(new)
-            store.replace("etf_holdings", rows, **layout)
-        else:
-            store.append("etf_holdings", new, **layout)
     return _status("etf_holdings", requested, pending, done, "no holdings delivered")
 
 
@@ -368,11 +394,13 @@ def ingest_earnings(tickers: Tickers = None, *, force: bool = False, config: Con
     existing = store.read("earnings", EARNINGS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
     raw = keyed.newest_delivery(_landed_for(config, "raw_earnings", pending), "ticker")
-    new = events.normalise_earnings(raw, _run_date(config))
-    if not new.isEmpty():
-        refreshed = requested if force else None
-        merged = keyed.merge_snapshot(existing, new, EARNINGS.names, ["ticker", "date"], refreshed)
-        store.replace("earnings", merged, sort=["ticker", "date"])
+    refreshed = requested if force else None
+
+    def merged(new: DataFrame) -> DataFrame:
+        return keyed.merge_snapshot(existing, new, EARNINGS.names, ["ticker", "date"], refreshed)
+
+    rows = events.normalise_earnings(raw, _run_date(config))
+    new = _put(store, "earnings", rows, merged, sort=["ticker", "date"])
     return _status("earnings", requested, pending, new, "no readable earnings dates delivered")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,6 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the folder all executors see.
+
+    It stays valid whatever becomes of the tables it was made from.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def local_session(app: str, cpus: str | int = "*", memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark."""
     spark = (
