@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 from helpers import ODD_TEXTS, frame, words
 
 from tidemark.llm import decontaminate
 from tidemark.llm.data import table
+from tidemark.llm.textbuf import ALNUM, find_words, text_bytes
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,6 +70,19 @@ def test_edited_items_are_found(spark):
         assert got <= {(d, i) for d, t in docs for i, x in items if least_edits(words(x), words(t)) <= len(words(x)) // 4}
 
 
+def test_unchanged_items_are_found_at_every_place():
+    rng = random.Random(8)
+    vocabulary = [f"v{k}" for k in range(3000)] + ["the", "of"] * 60
+    lengths = [*range(1, 20), 31, 32, 33, 34, 47, 63, 64, 65, 66, 90, 127, 128, 129, 130, 200]
+    items = [(n, " ".join(rng.choices(vocabulary, k=n))) for n in lengths]
+    index = decontaminate.ItemIndex(items)
+    for before in range(17):
+        docs = [" ".join([*rng.choices(vocabulary, k=before), text, *rng.choices(vocabulary, k=9)]) for _, text in items]
+        data, offsets = text_bytes(pa.array(docs))
+        found = {(t, i) for t, i, edits, _ in index.occurrences(find_words(data, offsets, ALNUM)) if edits == 0}
+        assert {(k, k) for k in range(len(items))} <= found
+
+
 def test_odd_rows(spark):
     items = [(1, None), (2, ""), (3, "one two three"), (4, "word " * 3000), (5, "one two three")]
     items = spark.createDataFrame(items, "item_id int, text string")

@@ -118,8 +118,9 @@ class ItemIndex:
         flat, starts, owners, base = [], [], [], 0
         for i in members:
             w = self.words[i]
-            # Walks need about half as many words as steps.
-            offsets = np.arange(len(w) - steps * 5 // 8)
+            # Walks need about half as many words as steps. As many beginnings
+            # as the stride at least, so that one meets a document's windows.
+            offsets = np.arange(max(len(w) - steps * 5 // 8, found.stride))
             starts.append(base + offsets)
             owners.append((np.int64(i) << 32) | offsets)
             flat += [w, draws(steps + 1, i + 1000)]
@@ -148,8 +149,11 @@ class ItemIndex:
             keys = _run_keys(words.hash, size)
             wanted = np.array(sorted(table), np.uint64)
             at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-            for p in np.flatnonzero(wanted[at] == keys).tolist():
-                found += [np.array([[words.doc[p], i, p]]) for i in table[int(keys[p])]]
+            places = np.flatnonzero(wanted[at] == keys)
+            # Of a text's places of a key the first is enough.
+            _, firsts = np.unique(words.doc[places] * len(wanted) + at[places], return_index=True)
+            rows = [(words.doc[p], i, p) for p in places[firsts].tolist() for i in table[int(keys[p])]]
+            found.append(np.array(rows, np.int64).reshape(-1, 3))
         within = np.arange(n) - words.first[:-1][words.doc] if n else np.zeros(0, np.int64)
         for c in self.classes:
             starts = np.flatnonzero(within % c.stride == 0)
@@ -189,6 +193,10 @@ class ItemIndex:
                 last = rows[at][2]
                 at += 1
             a, b = int(words.first[text]), int(words.first[text + 1])
+            own = self.words[item]
+            if start == last and start >= a and np.array_equal(words.hash[start : min(start + len(own), b)], own):
+                out[text, item] = min((0, start - a), out.get((text, item), (1, 0)))
+                continue
             low, high = max(a, start - edits), min(b, last + len(self.words[item]) + edits)
             if high <= low:
                 continue
