@@ -19,9 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of text that go to a Python worker at once; whole texts wait there and in Spark.
+BATCH_ROWS, BATCH_BYTES = "1000", "16m"
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """The session set up, and this package sent to its Python workers once."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if context.applicationId not in _shipped:
         _ship(context)
         _shipped.add(context.applicationId)

@@ -30,7 +30,7 @@ from tidemark.llm.textbuf import pieces
 
 SPACE = "▁"
 #: Encoded words a worker remembers; when full it starts anew.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 150_000
 _NONE = np.int64(1 << 40)
 
 

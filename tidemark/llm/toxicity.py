@@ -41,7 +41,7 @@ POSITIVE_WORDS, CLEAN_WORDS, LANDMARKS = 1_000, 2_000, 600
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Margins a worker remembers; when full it starts anew.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 
 DECAY = 0.6
 #: Offsets of a subsequence's characters, and its weight: of three characters
