@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pytest
 from helpers import LOWER
 
 from tidemark.llm import chat, urls
@@ -55,6 +56,29 @@ def test_urls_without_labels(spark):
     assert len(urls.judge_urls(pages, []).collect()) == 2
 
 
+def test_statistics_count_all_pages(spark, monkeypatch):
+    labelled = [(f"http://a.com/{'x' if k % 4 else 'y'}/{k}", int(k % 4 == 0), 1) for k in range(80)]
+    others = [(f"http://b{k % 9}.org/z/{k}", None, 1) for k in range(50)] + [("http://b0.org/z/0", None, 1)] * 30
+    others += [("http://c.net/z/1", 1, 0), ("http://c.net/z/2", 7, 0), (None, 1, 1)]
+    seen = spark.createDataFrame(labelled + others, "url string, label int, pages int")
+    pages = [("http://a.com/y/0", "a.com", "/y/0"), ("http://b3.org/z/3", "b3.org", "/z/3"), ("http://c.net/z/1", "c.net", "/z/1"), ("http://d.de/", "d.de", "/")]
+    rows = spark.createDataFrame(pages * 2, "url string, host string, path string")
+    prior = 21 / 81
+    want = {
+        "a.com": (80.0, (20 + 4 * prior) / 84, (20 + 4 * prior) / 84, 24 / 24 - 4 * (1 - prior) / 24),
+        "b3.org": (50.0, prior, prior, (1 + 4 * prior) / 5),
+        "c.net": (0.0, (1 + 4 * prior) / 5, (1 + 4 * prior) / 5, (1 + 4 * prior) / 5),
+        "d.de": (0.0, prior, prior, prior),
+    }
+    for often in (urls.OFTEN_KEYS, 4, 1):  # broadcast, both, exchanged
+        monkeypatch.setattr(urls, "OFTEN_KEYS", often)
+        got = urls.UrlModel(seen, sample_rows=10).features(rows).collect()
+        assert len(got) == 8
+        for r in got:
+            found = (r["suffix_urls"], r["suffix_blocked"], r["first_label_blocked"], r["segment_blocked"])
+            assert found == pytest.approx(want[r["host"]]), (often, r["host"])
+
+
 def rendered(rows):
     """Maximal conversations by comparing each with each."""
     turns = defaultdict(lambda: defaultdict(set))

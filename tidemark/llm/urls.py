@@ -3,6 +3,7 @@
 The rules' verdicts are the labels that the trees learn from, or any labelled
 urls. Features, their joining with suffix statistics, and the fitted trees are
 DataFrame expressions; the trees are fitted on a bounded sample of distinct
+labelled urls. The statistics count all urls of all pages, and block rates all
 labelled urls.
 """
 
@@ -49,6 +50,8 @@ FEATURES = (
 
 #: What urls are grouped by for statistics.
 STATISTICS = ("suffix", "first_label", "segment")
+#: Keys of a statistic that are broadcast at most.
+OFTEN_KEYS = 100_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -89,8 +92,19 @@ def _counted(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """What ``host`` and ``path`` are grouped by for statistics."""
+    host, path = F.col("host"), F.col("path")
+    names = {
+        "suffix": F.substring_index(host, ".", -1),
+        "first_label": F.substring_index(host, ".", 1),
+        "segment": F.regexp_extract(path, r"^/([^/]*)", 1),
+    }
+    return rows.withColumns(names)
+
+
 def lexical(rows: DataFrame) -> DataFrame:
-    """Features of ``url``, ``host`` and ``path``, but for the suffix statistics."""
+    """Features of ``url``, ``host`` and ``path``, but for the statistics."""
     url = F.coalesce(F.col("url"), F.lit(""))
     host, path = F.col("host"), F.col("path")
     length = F.greatest(F.length(url), F.lit(1)).cast("double")
@@ -109,50 +123,72 @@ def lexical(rows: DataFrame) -> DataFrame:
         "fragment": F.instr(url, "#").cast("boolean").cast("double"),
         "secure": url.startswith("https").cast("double"),
     }
-    names = {
-        "suffix": F.substring_index(host, ".", -1),
-        "first_label": F.substring_index(host, ".", 1),
-        "segment": F.regexp_extract(path, r"^/([^/]*)", 1),
-    }
-    return rows.withColumns({**values, **names})
+    return rows.withColumns(values)
 
 
-def _block_rate(sample: DataFrame, name: str, prior: float) -> DataFrame:
-    """Smoothed share of blocked urls; at most as many rows as the sample."""
-    rate = (F.sum("label") + 4 * prior) / (F.count("*") + 4)
-    return sample.groupBy(name).agg(rate.alias(f"{name}_blocked"), F.count("*").cast("double").alias(f"{name}_urls"))
+class Statistic:
+    """Urls and smoothed share of blocked ones by one key, over all urls.
+
+    Of more than ``OFTEN_KEYS`` keys only those with more than that part of the
+    pages are broadcast; the others have few rows each and are joined by exchange.
+    """
+
+    def __init__(self, known: DataFrame, name: str, prior: float, pages: int):
+        self.name = name
+        rate = (F.coalesce(F.sum("label"), F.lit(0)) + 4 * prior) / (F.count("label") + 4)
+        counted = known.groupBy(name).agg(
+            rate.alias(f"{name}_blocked"),
+            F.count_if(F.col("pages") > 0).cast("double").alias(f"{name}_urls"),
+            F.sum("pages").alias("key_pages"),
+        )
+        counted = stored(counted)
+        often = F.col("key_pages") > pages / OFTEN_KEYS
+        few = counted.count() <= OFTEN_KEYS
+        self.often = (counted if few else counted.filter(often)).drop("key_pages")
+        self.seldom = None if few else counted.filter(~often).drop("key_pages")
+
+    def joined(self, rows: DataFrame) -> DataFrame:
+        name, values = self.name, [f"{self.name}_blocked", f"{self.name}_urls"]
+        rows = rows.join(F.broadcast(self.often), name, "left")
+        if self.seldom is None:
+            return rows
+        # Rows that are served already go anywhere; no other key is frequent.
+        rows = rows.withColumn("spread", F.when(F.col(values[0]).isNotNull(), F.monotonically_increasing_id()).otherwise(0))
+        others = self.seldom.withColumnsRenamed({v: f"seldom_{v}" for v in values}).withColumn("spread", F.lit(0).cast("long"))
+        rows = rows.join(others, [name, "spread"], "left")
+        rows = rows.withColumns({v: F.coalesce(v, f"seldom_{v}") for v in values})
+        return rows.drop("spread", *[f"seldom_{v}" for v in values])
 
 
 class UrlModel:
     """Trees and the statistics they need, fitted on labelled urls."""
 
-    def __init__(self, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS):
-        """``labelled(url, label)``, label 1 for urls to block; nulls are left out,
-        repeated urls count once. Without rows nothing is blocked."""
-        known = labelled.filter("url IS NOT NULL AND label IN (0, 1)")
-        once = known.groupBy("url").agg(F.max("label").cast("int").alias("label"))
-        once = once.orderBy(F.xxhash64("url"), "url").limit(sample_rows)
+    def __init__(self, seen: DataFrame, sample_rows: int = SAMPLE_ROWS):
+        """``seen(url, label, pages)``, label 1 for urls to block and 0 for others,
+        pages 1 for rows of the pages and 0 for further labels; nulls are left
+        out, repeated urls count once. Without labels nothing is blocked."""
+        label = F.when(F.col("label").isin(0, 1), F.col("label")).cast("int")
+        seen = seen.filter("url IS NOT NULL").select("url", label.alias("label"), F.col("pages").cast("long").alias("pages"))
+        once = seen.groupBy("url").agg(F.max("label").alias("label"), F.sum("pages").alias("pages"))
         host, path = host_and_path(F.col("url"))
-        sample = stored(lexical(once.withColumns({"host": host, "path": path})))
-        totals = sample.agg(F.avg("label").alias("share")).first()
+        known = stored(keyed(once.withColumns({"host": host, "path": path})))
+        totals = known.agg(F.avg("label").alias("share"), F.sum("pages").alias("pages")).first()
         self.prior = float(totals["share"] or 0.0)
-        self.rates = {n: stored(_block_rate(sample, n, self.prior)) for n in STATISTICS}
+        self.statistics = [Statistic(known, n, self.prior, totals["pages"] or 0) for n in STATISTICS]
+        sample = stored(known.filter("label IS NOT NULL").orderBy(F.xxhash64("url"), "url").limit(sample_rows))
         rows = self.features(sample).select("url", *FEATURES, "label").collect()  # at most sample_rows
         rows.sort()
         x = np.array([r[1:-1] for r in rows], np.float64).reshape(len(rows), len(FEATURES))
         self.start, self.trees = boost(x, np.array([r[-1] for r in rows], np.float64), rounds=12, depth=3)
 
     def features(self, rows: DataFrame) -> DataFrame:
-        """All features; suffixes not in the sample have the overall share of blocked urls."""
-        for name, rates in self.rates.items():
-            rows = rows.join(F.broadcast(rates), name, "left")
-            rows = rows.withColumns(
-                {
-                    f"{name}_blocked": F.coalesce(f"{name}_blocked", F.lit(self.prior)),
-                    f"{name}_urls": F.coalesce(f"{name}_urls", F.lit(0.0)),
-                }
-            )
-        return rows
+        """All features; keys without labels have the overall share of blocked urls."""
+        rows = keyed(rows)
+        for statistic in self.statistics:
+            rows = statistic.joined(rows)
+        filled = {f"{n}_blocked": F.coalesce(f"{n}_blocked", F.lit(self.prior)) for n in STATISTICS}
+        filled |= {f"{n}_urls": F.coalesce(f"{n}_urls", F.lit(0.0)) for n in STATISTICS}
+        return lexical(rows.withColumns(filled))
 
     def score(self) -> Column:
         """The chance that a url is to be blocked, over the features."""
@@ -193,9 +229,13 @@ def judge_urls(
     found = fitting_rule(F.col("host"), F.col("path"), rules)
     rows = stored(rows.withColumn("found", found).select("*", "found.rule", F.col("found.verdict").alias("ruled")).drop("found"))
     if labelled is None:
-        labelled = rows.select("url", F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int")).alias("label"))
-    model = UrlModel(labelled)
-    features = stored(model.features(lexical(rows)).select("id", "host", "path", "rule", "ruled", *FEATURES))
+        label = F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int"))
+        seen = rows.select("url", label.alias("label"), F.lit(1).alias("pages"))
+    else:
+        seen = rows.select("url", F.lit(None).cast("int").alias("label"), F.lit(1).alias("pages"))
+        seen = seen.unionAll(labelled.select("url", F.col("label").cast("int"), F.lit(0).alias("pages")))
+    model = UrlModel(seen)
+    features = stored(model.features(rows).select("id", "host", "path", "rule", "ruled", *FEATURES))
     scored = features.withColumn("score", model.score())
     learned = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select(
