@@ -76,6 +76,31 @@ def test_blocks_name_the_place(spark):
     assert [tuple(b) for b in row["blocks"]] == [(2, 7, "mit", 1.0)]
 
 
+def test_wrapped_notices(spark):
+    rows = {
+        1: ("Released under the\nMIT License", "mit", 1.0),
+        2: ("x\n# This work is licensed under the GNU\n# General Public License,\n# version 2.\ny", "gpl,gpl-2.0", 1.0),
+        3: ("a b c\n * licensed under a creative\n * commons attribution 4.0 global\n * license", "cc-by-4.0", 0.9),
+        4: ("licensed under a creative\r\ncommons attribution 4.0\r\ninternational license", "cc-by-4.0", 1.0),
+        5: ("use of this source code is governed\nby some bsd style license", "bsd", 11 / 12),
+        6: ("under the mit\nfiller released\nlicense", "", 0.0),
+        7: ("Released under the", "", 0.0),
+        8: ("MIT License", "", 0.0),
+    }
+    got = licenses.scan_licenses(frame(spark, [(k, v[0]) for k, v in rows.items()])).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {k: v[1:] for k, v in rows.items()}
+    assert [tuple(b) for b in got[0]["blocks"]] == [(0, 5, "mit", 1.0)]
+
+
+def test_templates_of_many_words(spark):
+    body = [f"w{k}" for k in range(170)]
+    rows = [(k, " ".join(f"f{j}" for j in range(37 * k)) + " " + " ".join(body) + " z" * 400) for k in range(12)]
+    rows += [(100 + k, "\n".join(" ".join(body[j : j + 9 + k]) for j in range(0, 170, 9 + k))) for k in range(9)]
+    rows += [(200, " ".join(body[:152])), (201, "\n".join(body[:153])), (202, "\n".join(body[:152]))]
+    got = licenses.scan_licenses(frame(spark, rows), {"long": [" ".join(body)]}).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {k: "" if k in (200, 202) else "long" for k, _ in rows}
+
+
 def signature_set(text):
     own = words(text)
     anchors = set(spotsigs.ANCHORS)

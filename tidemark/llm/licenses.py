@@ -1,9 +1,13 @@
 """License notices: an exact set-similarity join of text blocks with templates.
 
 A block is a line, or a stretch of 64 words of a longer one, each beginning 32
-words after the last. A template is the word set of a notice. A block holds a
+words after the last; with a template of more than 32 words, twice and once its
+words. A template is the word set of a notice. A block holds a
 template if it has at least nine tenths of its words, and gets the label of
-those of which it has the largest share. Words of templates are
+those of which it has the largest share. A notice wrapped over several lines is
+a stretch of the text, across line breaks, of as many words as the notice and
+with nine tenths of its words; of stretches that share more than half of their
+words the one with the larger share counts. Words of templates are
 ordered by the number of documents that have them, rarest first. Templates are
 indexed by a prefix: so many of their rarest words that a block without any of
 these cannot hold them. A block is compared with the templates whose prefix
@@ -29,7 +33,7 @@ PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
-# Usual wordings of license notices. A template has at most 32 words.
+# Usual wordings of license notices.
 TEMPLATES = {
     "agpl-3.0": ["licensed under the gnu affero general public license version 3"],
     "apache-2.0": ["licensed under the apache license version 2.0", "released under the apache license 2.0"],
@@ -46,6 +50,7 @@ TEMPLATES = {
 }
 #: A block holds a template with at least this percentage of its distinct words.
 PERCENT = 90
+#: Words of a block, and from one block's start to the next, unless a template has more words than the step.
 BLOCK_WORDS, BLOCK_STEP = 64, 32
 
 _NOT_BREAK = np.ones(256, bool)
@@ -63,6 +68,7 @@ class Templates:
 
     labels: list[str]
     sets: list[np.ndarray]  # sorted places in the vocabulary
+    sizes: list[int]  # words, repeated ones too
     needed: list[int]
     sorted_hashes: np.ndarray
     place: np.ndarray  # of each sorted hash in the vocabulary
@@ -73,9 +79,8 @@ class Templates:
     def ordered(cls, wordings: dict[str, list[str]], frequency: dict[int, int]) -> Templates:
         """``frequency``: in how many documents each word hash occurs."""
         named = sorted((label, text) for label, texts in wordings.items() for text in texts)
+        sizes = [len(_hashes(text)) for _, text in named]
         words = [np.unique(_hashes(text)) for _, text in named]
-        if any(len(_hashes(text)) > BLOCK_STEP for _, text in named):
-            raise ValueError(f"templates have at most {BLOCK_STEP} words")
         vocabulary = sorted({int(h) for w in words for h in w}, key=lambda h: (frequency.get(h, 0), h))
         place_of = {h: i for i, h in enumerate(vocabulary)}
         sets = [np.sort(np.array([place_of[int(h)] for h in w], np.int64)) for w in words]
@@ -88,7 +93,7 @@ class Templates:
         order = np.argsort(hashes)
         in_prefix = np.zeros(len(vocabulary), bool)
         in_prefix[list(prefix)] = True
-        return cls([label for label, _ in named], sets, needed, hashes[order], order, prefix, in_prefix)
+        return cls([label for label, _ in named], sets, sizes, needed, hashes[order], order, prefix, in_prefix)
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each word in the vocabulary, or -1."""
@@ -97,6 +102,33 @@ class Templates:
         at = np.minimum(np.searchsorted(self.sorted_hashes, hashes), len(self.sorted_hashes) - 1)
         return np.where(self.sorted_hashes[at] == hashes, self.place[at], -1)
 
+    @property
+    def step(self) -> int:
+        return max([BLOCK_STEP, *self.sizes])
+
+    def stretch(self, t: int, places: list[int]) -> tuple[int, int, int]:
+        """Common words, first and last + 1 of the best stretch for a template in ``places``.
+
+        A stretch has as many words as the template at most, and begins and
+        ends with a word of it. Of equally good ones the first counts.
+        """
+        wanted = set(self.sets[t].tolist())
+        inside: dict[int, int] = {}
+        best, last = 0, 0
+        for k, word in enumerate(places):
+            if word in wanted:
+                inside[word] = inside.get(word, 0) + 1
+            if k >= self.sizes[t] and (gone := places[k - self.sizes[t]]) in wanted:
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+            if len(inside) > best:
+                best, last = len(inside), k
+        first = max(last + 1 - self.sizes[t], 0)
+        while first < last and places[first] not in wanted:
+            first += 1
+        return best, first, last + 1
+
     def held(self, block: np.ndarray) -> list[tuple[int, int]]:
         """(template, common words) of all templates that a block holds.
 
@@ -117,17 +149,47 @@ class Templates:
         return [(t, c) for t, c in found.items() if c]
 
 
-def blocks(words: Words, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def blocks(words: Words, lines: Words, step: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last + 1 word of each block that has words."""
-    lines = find_words(data, offsets, _NOT_BREAK, lower=False)
+    width = step * BLOCK_WORDS // BLOCK_STEP
     first = np.searchsorted(words.start, lines.start)
     last = np.searchsorted(words.start, lines.end)
     size = last - first
     first, size = first[size > 0], size[size > 0]
-    parts = np.where(size <= BLOCK_WORDS, 1, -(-(size - BLOCK_STEP) // BLOCK_STEP))
+    parts = np.where(size <= width, 1, -(-(size - step) // step))
     number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    begin = np.repeat(first, parts) + number * BLOCK_STEP
-    return begin, np.minimum(begin + BLOCK_WORDS, np.repeat(first + size, parts))
+    begin = np.repeat(first, parts) + number * step
+    return begin, np.minimum(begin + width, np.repeat(first + size, parts))
+
+
+def wrapped(words: Words, lines: Words, place: np.ndarray, known: np.ndarray, index: Templates) -> list[tuple[int, int, int, int]]:
+    """(first word, last + 1, template, common words) of notices that go on over a line break."""
+    line = np.searchsorted(lines.start, words.start, "right")
+    found = set()
+    for at in np.flatnonzero(known).tolist():
+        a, b = int(words.first[words.doc[at]]), int(words.first[words.doc[at] + 1])
+        for t, _ in index.prefix[int(place[at])]:
+            low, high = max(a, at + 1 - index.sizes[t]), min(b, at + index.sizes[t])
+            own = place[low:high].tolist()
+            if len(set(own)) < index.needed[t]:
+                continue
+            common, first, last = index.stretch(t, own)
+            if common >= index.needed[t]:
+                found.add((low + first, low + last, t, common))
+    # The better ones first; each is compared with those that begin close to it.
+    near: dict[int, list[tuple[int, int, int, float]]] = {}
+    out = []
+    for first, last, t, common in sorted(found, key=lambda f: (-f[3] / len(index.sets[f[2]]), f)):
+        share = common / len(index.sets[t])
+        others = [o for k in (-1, 0, 1) for o in near.get(first // index.step + k, ())]
+        if any(
+            2 * (min(last, e) - max(first, s)) > last - first and (share < other or t == u) for s, e, u, other in others
+        ):
+            continue
+        near.setdefault(first // index.step, []).append((first, last, t, share))
+        if line[first] != line[last - 1]:
+            out.append((first, last, t, common))
+    return out
 
 
 def _phrase_starts(words: Words) -> list[tuple[str, np.ndarray]]:
@@ -178,9 +240,9 @@ def scan_licenses(
     Returns ``id_column``, ``n_words``, ``n_base`` (all places of phrases),
     ``first_word`` and ``last_word`` (their smallest and largest first word,
     counted from 0, else null), ``base_labels``, ``labels`` (with those of
-    templates of which some block has the most), ``score`` (1 with a phrase, else the
+    templates of which some block has the most, and of wrapped notices), ``score`` (1 with a phrase, else the
     largest share of a held template, else 0) and ``blocks``, the words of the
-    blocks that hold a template: start word, end word, label, share. Null and
+    blocks that hold a template and of wrapped notices: start word, end word, label, share. Null and
     empty texts have no words and no labels. One row per input row; other
     columns are not read.
     """
@@ -222,7 +284,8 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
     known = place >= 0
     known[known] = index.in_prefix[place[known]]
     telling = np.cumsum(np.append(0, known))
-    begin, end = blocks(words, data, offsets)
+    lines = find_words(data, offsets, _NOT_BREAK, lower=False)
+    begin, end = blocks(words, lines, index.step)
     for k in np.flatnonzero(telling[end] > telling[begin]).tolist():
         own = place[begin[k] : end[k]]
         text = int(words.doc[begin[k]])
@@ -236,6 +299,17 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
                 }
             )
     labels = [b | _best(hs) for b, hs in zip(base, held)]
+    for first, last, t, common in wrapped(words, lines, place, known, index):
+        text = int(words.doc[first])
+        labels[text].add(index.labels[t])
+        held[text].append(
+            {
+                "start_word": int(first - words.first[text]),
+                "end_word": int(last - words.first[text]),
+                "label": index.labels[t],
+                "share": common / len(index.sets[t]),
+            }
+        )
     score = [1.0 if b else max((h["share"] for h in hs), default=0.0) for b, hs in zip(base, held)]
     return pa.RecordBatch.from_arrays(
         [
@@ -262,7 +336,7 @@ def _best(held: list[dict]) -> set[str]:
 
 
 def oracle() -> str:
-    """The same result in SQL, by comparing every block with every template."""
+    """The same result in SQL, but for wrapped notices, by comparing every block with every template."""
     listed = ", ".join(
         f"({i}, '{label}', {sorted(set(text.replace('.', ' ').split()))})"
         for i, (label, text) in enumerate((label, text) for label, texts in sorted(TEMPLATES.items()) for text in texts)
