@@ -92,6 +92,18 @@ def test_wrapped_notices(spark):
     assert [tuple(b) for b in got[0]["blocks"]] == [(0, 5, "mit", 1.0)]
 
 
+def test_lesser_notices_of_a_line(spark):
+    gpl = "this work is licensed under the gnu general public license version"
+    rows = {
+        1: ("Released under the MIT License, or use of this source code is governed by some BSD style license", "bsd,mit"),
+        2: (f"{gpl} 2", "gpl,gpl-2.0"),
+        3: (f"{gpl} 2 or {gpl} 3", "gpl,gpl-2.0,gpl-3.0"),
+        4: ("some work is licensed under the gnu affero general public license version 3", "agpl-3.0,gpl"),
+    }
+    got = licenses.scan_licenses(frame(spark, [(k, v[0]) for k, v in rows.items()])).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {k: v[1] for k, v in rows.items()}
+
+
 def test_templates_of_many_words(spark):
     body = [f"w{k}" for k in range(170)]
     rows = [(k, " ".join(f"f{j}" for j in range(37 * k)) + " " + " ".join(body) + " z" * 400) for k in range(12)]

@@ -4,8 +4,9 @@ A block is a line, or a stretch of 64 words of a longer one, each beginning 32
 words after the last; with a template of more than 32 words, twice and once its
 words. A template is the word set of a notice. A block holds a
 template if it has at least nine tenths of its words, and gets the label of
-those of which it has the largest share. A notice wrapped over several lines is
-a stretch of the text, across line breaks, of as many words as the notice and
+those of which it has the largest share. A block may have several notices, and
+a notice may be wrapped over several lines: labels are also given for every
+stretch of the text, across line breaks, of as many words as the notice and
 with nine tenths of its words; of stretches that share more than half of their
 words the one with the larger share counts. Words of templates are
 ordered by the number of documents that have them, rarest first. Templates are
@@ -162,9 +163,8 @@ def blocks(words: Words, lines: Words, step: int) -> tuple[np.ndarray, np.ndarra
     return begin, np.minimum(begin + width, np.repeat(first + size, parts))
 
 
-def wrapped(words: Words, lines: Words, place: np.ndarray, known: np.ndarray, index: Templates) -> list[tuple[int, int, int, int]]:
-    """(first word, last + 1, template, common words) of notices that go on over a line break."""
-    line = np.searchsorted(lines.start, words.start, "right")
+def stretches(words: Words, place: np.ndarray, known: np.ndarray, index: Templates) -> list[tuple[int, int, int, int]]:
+    """(first word, last + 1, template, common words) of notices, wherever lines end."""
     found = set()
     for at in np.flatnonzero(known).tolist():
         a, b = int(words.first[words.doc[at]]), int(words.first[words.doc[at] + 1])
@@ -187,8 +187,7 @@ def wrapped(words: Words, lines: Words, place: np.ndarray, known: np.ndarray, in
         ):
             continue
         near.setdefault(first // index.step, []).append((first, last, t, share))
-        if line[first] != line[last - 1]:
-            out.append((first, last, t, common))
+        out.append((first, last, t, common))
     return out
 
 
@@ -240,7 +239,7 @@ def scan_licenses(
     Returns ``id_column``, ``n_words``, ``n_base`` (all places of phrases),
     ``first_word`` and ``last_word`` (their smallest and largest first word,
     counted from 0, else null), ``base_labels``, ``labels`` (with those of
-    templates of which some block has the most, and of wrapped notices), ``score`` (1 with a phrase, else the
+    templates of which some block has the most, and of all stretches), ``score`` (1 with a phrase, else the
     largest share of a held template, else 0) and ``blocks``, the words of the
     blocks that hold a template and of wrapped notices: start word, end word, label, share. Null and
     empty texts have no words and no labels. One row per input row; other
@@ -299,9 +298,12 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
                 }
             )
     labels = [b | _best(hs) for b, hs in zip(base, held)]
-    for first, last, t, common in wrapped(words, lines, place, known, index):
+    line = np.searchsorted(lines.start, words.start, "right")
+    for first, last, t, common in stretches(words, place, known, index):
         text = int(words.doc[first])
         labels[text].add(index.labels[t])
+        if line[first] == line[last - 1]:  # in a block already
+            continue
         held[text].append(
             {
                 "start_word": int(first - words.first[text]),
@@ -336,7 +338,7 @@ def _best(held: list[dict]) -> set[str]:
 
 
 def oracle() -> str:
-    """The same result in SQL, but for wrapped notices, by comparing every block with every template."""
+    """The same result in SQL, but for stretches, by comparing every block with every template."""
     listed = ", ".join(
         f"({i}, '{label}', {sorted(set(text.replace('.', ' ').split()))})"
         for i, (label, text) in enumerate((label, text) for label, texts in sorted(TEMPLATES.items()) for text in texts)
