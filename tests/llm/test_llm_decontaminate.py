@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 from helpers import ODD_TEXTS, frame, words
 
 from tidemark.llm import decontaminate
@@ -70,6 +71,22 @@ def test_edited_items_are_found(spark):
         assert got <= {(d, i) for d, t in docs for i, x in items if least_edits(words(x), words(t)) <= len(words(x)) // 4}
 
 
+@pytest.mark.parametrize("length", [8, 9, 16, 17, 18, 32, 33, 34, 37, 64, 66, 128, 256])
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.25])
+def test_recall_at_each_length_and_edit_share(length, share):
+    rng = random.Random(4)
+    vocabulary = [f"v{k}" for k in range(3000)] + ["the", "of"] * 60
+    items = [(i, rng.choices(vocabulary, k=length)) for i in range(60)]
+    index = decontaminate.ItemIndex([(i, " ".join(w)) for i, w in items])
+    docs = [
+        " ".join([*rng.choices(vocabulary, k=rng.randrange(40)), *edit(w, int(share * length), vocabulary, rng), *rng.choices(vocabulary, k=20)])
+        for _, w in items * 4
+    ]
+    data, offsets = text_bytes(pa.array(docs))
+    found = {(t, i) for t, i, *_ in index.occurrences(find_words(data, offsets, ALNUM))}
+    assert sum((k, k % 60) in found for k in range(240)) >= 0.96 * 240
+
+
 def test_unchanged_items_are_found_at_every_place():
     rng = random.Random(8)
     vocabulary = [f"v{k}" for k in range(3000)] + ["the", "of"] * 60

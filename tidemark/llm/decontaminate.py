@@ -7,9 +7,10 @@ small edit distance soon walk in step again after an edit, so that their
 embeddings agree in most steps: edit distance becomes Hamming distance. Of
 several walks, several samples of few steps each are hashed; windows of a
 document and of an item with an equal sample are candidates. Windows begin at
-every word of an item, and in a document at every t-th word, where t grows with
-the size of the items looked for, so that each occurrence holds several windows
-that begin at the same word of the item. Candidates are confirmed by the exact
+every word of an item that leaves room for a sample, and in a document at every
+t-th word, where t grows with the size of the items looked for, so that each
+occurrence of the shortest item of a size, too, holds three windows or more that
+begin at the same word of the item. Candidates are confirmed by the exact
 edit distance between the item and the best stretch of the document there.
 
 Items are a query set: they are taken in blocks of bounded size, and each block
@@ -35,7 +36,11 @@ BLOCK_WORDS = 400_000
 WORDS_PER_EDIT = 4
 #: Items with fewer words must occur unchanged.
 SHORT_WORDS = 8
-WALKS, SAMPLES, SAMPLED_STEPS = 2, 6, 3
+SAMPLES, SAMPLED_STEPS = 6, 3
+#: By the least size of a class: from one window of a document to the next, and walks.
+#: Larger classes have an eighth of their size, and the walks of the last.
+#: Chosen so that of occurrences with the most edits 98 % are found at every length.
+WINDOWS = {8: (1, 2), 16: (2, 2), 32: (2, 2), 64: (8, 2)}
 MAX_STEPS = 64
 #: Slots of a filter per key, as a power of two, and slots at most.
 FILTER_SPARE, FILTER_BITS = 6, 24
@@ -51,6 +56,7 @@ class _Class:
 
     size: int
     stride: int
+    walks: int
     steps: int
     samples: list[list[int]]  # steps of each sample
     keys: list[list[np.ndarray]] = field(default_factory=list)  # by walk and sample, sorted
@@ -71,7 +77,7 @@ def _samples(steps: int, seed: int) -> list[list[int]]:
 
 def _walk(words: np.ndarray, starts: np.ndarray, samples: list[list[int]], walk: int) -> dict[int, np.ndarray]:
     """The words emitted at the sampled steps, for each start; ``words`` has entries to spare."""
-    bits = mix(words + draws(WALKS, 301)[walk])
+    bits = mix(words + draws(walk + 1, 301)[walk])
     at = starts.astype(np.int64)
     wanted = {j for s in samples for j in s}
     out = {}
@@ -114,20 +120,21 @@ class ItemIndex:
 
     def _class(self, size: int, members: list[int]) -> _Class:
         steps = min(size * 3 // 2, MAX_STEPS)
-        found = _Class(size, max(1, size // 8), steps, _samples(steps, size))
+        stride, walks = WINDOWS.get(size, (size // 8, WINDOWS[max(WINDOWS)][1]))
+        found = _Class(size, stride, walks, steps, _samples(steps, size))
         flat, starts, owners, base = [], [], [], 0
         for i in members:
             w = self.words[i]
-            # Walks need about half as many words as steps. As many beginnings
-            # as the stride at least, so that one meets a document's windows.
-            offsets = np.arange(max(len(w) - steps * 5 // 8, found.stride))
+            # Walks need about half as many words as steps, short samples less.
+            # More beginnings than the stride, so that several meet a document's windows.
+            offsets = np.arange(max(len(w) - steps * 3 // 8, 2 * found.stride))
             starts.append(base + offsets)
             owners.append((np.int64(i) << 32) | offsets)
             flat += [w, draws(steps + 1, i + 1000)]
             base += len(w) + steps + 1
         flat, starts, owners = np.concatenate(flat), np.concatenate(starts), np.concatenate(owners)
         found.filter_bits = min(max(len(starts).bit_length() + FILTER_SPARE, 10), FILTER_BITS)
-        for walk in range(WALKS):
+        for walk in range(found.walks):
             emitted = _walk(flat, starts, found.samples, walk)
             keys = [_sample_keys(emitted, s) for s in found.samples]
             orders = [np.argsort(k, kind="stable") for k in keys]
@@ -158,7 +165,7 @@ class ItemIndex:
         for c in self.classes:
             starts = np.flatnonzero(within % c.stride == 0)
             padded = np.concatenate([words.hash, draws(c.steps + 1, 7)])
-            for walk in range(WALKS):
+            for walk in range(c.walks):
                 emitted = _walk(padded, starts, c.samples, walk)
                 for s, steps in enumerate(c.samples):
                     key = _sample_keys(emitted, steps)
