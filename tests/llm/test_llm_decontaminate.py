@@ -119,3 +119,13 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
     whole = sorted(map(tuple, decontaminate.find_items(docs, items).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 300)
     assert sorted(map(tuple, decontaminate.find_items(docs, items).collect())) == whole
+
+
+def test_one_block_is_held_at_a_time(spark, monkeypatch):
+    docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    kept = sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 1500)
+    found, rest = decontaminate.find_items(docs, items), decontaminate.drop_contaminated(docs, items)
+    for frame_ in (found, rest):
+        assert frame_._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["doc_id"] for r in rest.collect()) == kept

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidemark.llm.data import stored
 from tidemark.llm.textbuf import ALNUM, Words, draws, find_words, mix, pieces, text_bytes
 
 #: Words of items looked up in one pass; items beyond form further blocks.
@@ -250,17 +251,19 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(best[end]), int(row[end] % scale)
 
 
-def _blocks(items: DataFrame) -> Iterator[ItemIndex]:
+def _blocks(items: DataFrame) -> Iterator[tuple[ItemIndex, bool]]:
+    """Each block, and whether it is the last; built when it is asked for."""
     block: list[tuple[object, str | None]] = []
     words = 0
-    for row in items.toLocalIterator():
+    rows = items.toLocalIterator()
+    row = next(rows, None)
+    while row is not None:
         block.append((row["id"], row["text"]))
         words += (row["text"] or "").count(" ") + 1
-        if words >= BLOCK_WORDS:
-            yield ItemIndex(block)
-            block, words = [], 0
-    if block:
-        yield ItemIndex(block)
+        row = next(rows, None)
+        if words >= BLOCK_WORDS or row is None:
+            whole, block, words = block, [], 0
+            yield ItemIndex(whole), row is None
 
 
 def _items(items: DataFrame, item_column: str, text_column: str) -> DataFrame:
@@ -323,9 +326,12 @@ def find_items(
 
         return run
 
+    # Each block is done and written before the next is built, so that one is held at a time.
     out = None
-    for index in _blocks(_items(items, item_column, item_text_column)):
+    for index, last in _blocks(_items(items, item_column, item_text_column)):
         part = rows.mapInArrow(finder(index), schema)
+        del index
+        part = part if last else stored(part)
         out = part if out is None else out.unionAll(part)
     if out is None:
         out = rows.sparkSession.createDataFrame([], schema)
@@ -356,6 +362,8 @@ def drop_contaminated(
         return run
 
     out = docs.withColumn(text_column, F.col(text_column).cast("string")) if dict(docs.dtypes)[text_column] != "string" else docs
-    for index in _blocks(_items(items, item_text_column, item_text_column)):
+    for index, last in _blocks(_items(items, item_text_column, item_text_column)):
         out = out.mapInArrow(keeper(index), schema)
+        del index
+        out = out if last else stored(out)
     return out.select(*[F.col(f"`{c}`") for c in columns])
