@@ -15,6 +15,7 @@ from tidemark.llm import (
     quality,
     sentencepiece,
     spotsigs,
+    tokencount,
     toxicity,
     urls,
 )
@@ -74,6 +75,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered_digest(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """``model``: path of a SentencePiece model the driver can read. Nulls, empty
+    texts and repeated rows as in ``count_tokens``."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), read_model(model))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_sentencepiece": op2_sentencepiece,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_spotsigs": op9_spotsigs,
     "op10_chat": op10_chat,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
