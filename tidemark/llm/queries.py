@@ -12,6 +12,7 @@ from tidemark.llm import (
     licenses,
     lmscore,
     neardup,
+    periodic,
     quality,
     sentencepiece,
     spotsigs,
@@ -75,6 +76,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered_digest(table(spark, sf_dir, "conversations"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, one in ten of them made periodic. Nulls, empty texts
+    and repeated rows as in ``planted`` and ``find_runs``."""
+    return periodic.run_digest(periodic.find_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """``model``: path of a SentencePiece model the driver can read. Nulls, empty
     texts and repeated rows as in ``count_tokens``."""
@@ -92,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_spotsigs": op9_spotsigs,
     "op10_chat": op10_chat,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_token_counts": op13_token_counts,
 }
 
