@@ -18,6 +18,7 @@ from tidemark.llm import (
     spotsigs,
     tokencount,
     toxicity,
+    trie,
     urls,
 )
 from tidemark.llm.data import table
@@ -76,6 +77,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered_digest(table(spark, sf_dir, "conversations"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the rebuilt conversations. Nulls, repeated rows and conversations
+    without turns as in ``numbered``, ``rebuilt`` and ``prefix_trie``."""
+    turns, members = trie.rebuilt(trie.numbered(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(turns, members).drop("p1", "p2")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the documents, one in ten of them made periodic. Nulls, empty texts
     and repeated rows as in ``planted`` and ``find_runs``."""
@@ -99,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_spotsigs": op9_spotsigs,
     "op10_chat": op10_chat,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_counts": op13_token_counts,
 }
