@@ -115,4 +115,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op8_licenses": licenses.oracle(),
     "op10_chat": chat.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
 }

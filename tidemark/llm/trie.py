@@ -421,3 +421,53 @@ def prefix_trie(turns: DataFrame, members: DataFrame | None = None) -> DataFrame
 
 def _top(room: int):
     return F.col("below").isNull() | (F.col("below") > room)
+
+
+ORACLE = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS own,
+           xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT),
+                            list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+               lambda crc, byte: list_reduce(
+                   [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+    FROM turns GROUP BY conv_id
+), members AS (
+    SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.own, 0)) AS taken
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), rebuilt AS (
+    SELECT m.conv_id, t.pos - m.h + m.taken AS pos, t.role, t.text FROM members m JOIN turns t USING (conv_id) WHERE t.pos > m.h
+    UNION ALL
+    SELECT m.conv_id, t.pos, t.role, t.text FROM members m JOIN turns t ON t.conv_id = m.base WHERE t.pos <= m.taken
+), hashed AS (
+    SELECT conv_id, pos, octet_length(encode(text)) AS bytes, sha256(length(role) || ':' || role || text) AS said FROM rebuilt
+), paths AS (
+    SELECT conv_id, pos AS depth, bytes, sha256(string_agg(said, '') OVER w) AS path,
+           sha256(string_agg(said, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS parent,
+           pos = max(pos) OVER (PARTITION BY conv_id) AS last
+    FROM hashed WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+    UNION ALL
+    SELECT conv_id, 0, 0, '', NULL, conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM members
+), nodes AS (
+    SELECT depth, path, any_value(coalesce(parent, '')) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(bytes) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+    FROM paths GROUP BY depth, path
+), children AS (
+    SELECT depth - 1 AS depth, parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (  -- each node beside those on the way to it, itself included, as its smallest member has them
+    SELECT a.depth, a.path, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves
+    FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+    LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path
+    GROUP BY a.depth, a.path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+       b.saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (depth, path) LEFT JOIN children c USING (depth, path)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.parent
+"""
