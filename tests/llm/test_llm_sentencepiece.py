@@ -39,7 +39,7 @@ def test_broken_bytes_and_control_pieces_decode_as_in_the_library(both):
 
 def test_forgetting_words_changes_nothing(both, monkeypatch):
     known, own, _ = both
-    monkeypatch.setattr(sentencepiece, "REMEMBERED_WORDS", 3)
+    monkeypatch.setattr(sentencepiece, "REMEMBERED_BYTES", 1000)
     for text in ["a few words here", "other words here", "a few more"] * 3:
         assert own.encode(text) == known.encode(text)
 

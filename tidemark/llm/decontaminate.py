@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.data import stored
-from tidemark.llm.textbuf import ALNUM, Words, draws, find_words, mix, pieces, text_bytes
+from tidemark.llm.textbuf import ALNUM, Words, draws, find_words, freed, mix, pieces, text_bytes
 
 #: Words of items looked up in one pass; items beyond form further blocks.
 BLOCK_WORDS = 400_000
@@ -329,7 +329,7 @@ def find_items(
     # Each block is done and written before the next is built, so that one is held at a time.
     out = None
     for index, last in _blocks(_items(items, item_column, item_text_column)):
-        part = rows.mapInArrow(finder(index), schema)
+        part = rows.mapInArrow(freed(finder(index)), schema)
         del index
         part = part if last else stored(part)
         out = part if out is None else out.unionAll(part)
@@ -363,7 +363,7 @@ def drop_contaminated(
 
     out = docs.withColumn(text_column, F.col(text_column).cast("string")) if dict(docs.dtypes)[text_column] != "string" else docs
     for index, last in _blocks(_items(items, item_text_column, item_text_column)):
-        out = out.mapInArrow(keeper(index), schema)
+        out = out.mapInArrow(freed(keeper(index)), schema)
         del index
         out = out if last else stored(out)
     return out.select(*[F.col(f"`{c}`") for c in columns])

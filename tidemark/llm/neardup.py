@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
 from tidemark.llm.graph import components
-from tidemark.llm.textbuf import NOT_SPACE, draws, find_words, mix, ngrams, per_text, pieces, text_bytes
+from tidemark.llm.textbuf import NOT_SPACE, draws, find_words, freed, mix, ngrams, per_text, pieces, text_bytes
 
 SHINGLE_WORDS = 5
 CHUNKS, CHUNK_SIZE, CHUNK_ERRORS = 7, 5, 2
@@ -222,7 +222,7 @@ class _Join:
         self.docs = docs
         self.signed = stored(
             docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-                _signed, f"id {kind}, text_hash long, n_shingles long, h1 long, h2 long, signature binary"
+                freed(_signed), f"id {kind}, text_hash long, n_shingles long, h1 long, h2 long, signature binary"
             )
         )
         filled = self.signed.filter("n_shingles > 0 AND id IS NOT NULL")
@@ -247,7 +247,7 @@ class _Join:
         ids = wanted.select("id").distinct()
         ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         texts = self.docs.join(ids, "id", "left_semi").select("text")
-        full = texts.mapInArrow(_full_sets, "h1 long, h2 long, shingles binary")
+        full = texts.mapInArrow(freed(_full_sets), "h1 long, h2 long, shingles binary")
         # Rows of one id may differ in text; of equal sets one is enough.
         return full.join(wanted.select("node", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["node"]).select("node", "shingles")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textbuf import draws, mix, pieces
+from tidemark.llm.textbuf import draws, freed, mix, pieces
 
 MODULUS = 13
 #: Every difference modulo 13 is that of two of these.
@@ -251,7 +251,7 @@ def find_runs(
 
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     shape = f"id {kind}, n_words long, runs array<struct<start: long, length: long, period: long>>, collapsed string"
-    return chosen.mapInArrow(run, shape).withColumnRenamed("id", id_column)
+    return chosen.mapInArrow(freed(run), shape).withColumnRenamed("id", id_column)
 
 
 def _rows(texts: list[list[bytes]], text, start, length, period) -> list[pa.Array]:

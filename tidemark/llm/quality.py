@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
 from tidemark.llm.samples import fold, training_sample
-from tidemark.llm.textbuf import NOT_SPACE, find_words, pieces, text_bytes
+from tidemark.llm.textbuf import NOT_SPACE, find_words, freed, pieces, text_bytes
 from tidemark.llm.trees import Condition, boost, paths
 
 #: Labelled rows the model is fitted on at most.
@@ -148,7 +148,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
                 names=["id", *STATISTICS],
             )
 
-    return docs.mapInArrow(run, ", ".join([f"id {kind}", *(f"{s} double" for s in STATISTICS)]))
+    return docs.mapInArrow(freed(run), ", ".join([f"id {kind}", *(f"{s} double" for s in STATISTICS)]))
 
 
 @dataclass
@@ -262,4 +262,4 @@ def filter_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
         for piece in pieces(batches, text_column):
             yield piece.filter(pa.array(model.scores(statistics(piece.column(text_column))) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)

@@ -32,8 +32,7 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     """``model``: path of a SentencePiece model the driver can read."""
-    coded = sentencepiece.encode_decode(table(spark, sf_dir, "documents"), read_model(model))
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return sentencepiece.encode_decode(table(spark, sf_dir, "documents"), read_model(model), with_text=False)
 
 
 def read_model(path: str | None = None) -> bytes:

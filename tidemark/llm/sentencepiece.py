@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textbuf import pieces
+from tidemark.llm.textbuf import freed, pieces
 
 SPACE = "▁"
-#: Encoded words a worker remembers; when full it starts anew.
-REMEMBERED_WORDS = 150_000
+#: Bytes of encoded words a task remembers, with as much of older ones; when full it starts anew.
+REMEMBERED_BYTES = 32 << 20
+#: Of each word, beside its characters and ids.
+_WORD_BYTES = 300
 _NONE = np.int64(1 << 40)
 
 
@@ -140,6 +142,7 @@ class Encoder:
         self.decimal = [str(i) for i in range(len(vocabulary.texts))]
         self.seen: dict[str, tuple[str, int, str]] = {}
         self.older: dict[str, tuple[str, int, str]] = {}
+        self.held = 0
 
     def _space_runs(self, id_of: dict[str, int]) -> list[list[int]]:
         """Ids of a run of n spaces for n up to L, where longer runs are cut
@@ -249,20 +252,24 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Have all the words in ``seen``: ids, their number, and their text."""
-        if len(self.seen) > REMEMBERED_WORDS:
-            self.older, self.seen = self.seen, {}
+        if self.held > REMEMBERED_BYTES:
+            self.older, self.seen, self.held = self.seen, {}, 0
         new = []
         for w in words:
             if w not in self.seen:
                 if w in self.older:
-                    self.seen[w] = self.older[w]
+                    self._keep(w, self.older[w])
                 else:
                     new.append(w)
         decimal = self.decimal
         for at in range(0, len(new), 50_000):
             some = new[at : at + 50_000]
             for w, ids in zip(some, self.encode_words(some)):
-                self.seen[w] = (",".join([decimal[i] for i in ids]), len(ids), decode(self.vocabulary, ids, False))
+                self._keep(w, (",".join([decimal[i] for i in ids]), len(ids), decode(self.vocabulary, ids, False)))
+
+    def _keep(self, word: str, known: tuple[str, int, str]) -> None:
+        self.seen[word] = known
+        self.held += _WORD_BYTES + 4 * len(word) + len(known[0])
 
     def split(self, text: str) -> list[str]:
         """The normalised text cut before each space that follows something else."""
@@ -318,19 +325,22 @@ def decode(vocabulary: Vocabulary, ids: list[int], strip: bool = True) -> str:
     return text.replace(SPACE, " ")
 
 
-def encode_decode(docs: DataFrame, model: bytes, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def encode_decode(
+    docs: DataFrame, model: bytes, id_column: str = "doc_id", text_column: str = "text", with_text: bool = True
+) -> DataFrame:
     """Token ids of every whole text, and what they decode to.
 
     Returns ``id_column``, ``n_tokens``, ``ids_sha256`` (of the decimal ids
-    joined by commas), ``decoded`` and ``decoded_sha256``. One row per input
-    row, repeated ids included; a null or empty text has no tokens. Other
-    columns of ``docs`` are not read. Unicode lone surrogates cannot occur in
-    Spark strings.
+    joined by commas), ``decoded`` (only ``with_text``) and ``decoded_sha256``.
+    One row per input row, repeated ids included; a null or empty text has no
+    tokens. Other columns of ``docs`` are not read. Unicode lone surrogates
+    cannot occur in Spark strings. The vocabulary is prepared on the driver;
+    each task has a copy and remembers a bounded number of bytes of words.
     """
     kind = docs.schema[id_column].dataType.simpleString()
+    encoder = Encoder(Vocabulary.load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model)
         for piece in pieces(batches, "text"):
             texts = [t or "" for t in piece.column("text").to_pylist()]
             cut = [encoder.split(t) for t in texts]
@@ -342,32 +352,18 @@ def encode_decode(docs: DataFrame, model: bytes, id_column: str = "doc_id", text
                 hashes.append(hashlib.sha256(",".join([k[0] for k in known]).encode()).hexdigest())
                 text = "".join([k[2] for k in known])
                 text = text[1:] if encoder.vocabulary.dummy_prefix else text
-                decoded.append(text)
+                if with_text:
+                    decoded.append(text)
                 decoded_hashes.append(hashlib.sha256(text.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("id"),
-                    pa.array(numbers, pa.int64()),
-                    pa.array(hashes, pa.string()),
-                    pa.array(decoded, pa.string()),
-                    pa.array(decoded_hashes, pa.string()),
-                ],
-                names=["id", "n_tokens", "ids_sha256", "decoded", "decoded_sha256"],
-            )
+            out = {
+                "id": piece.column("id"),
+                "n_tokens": pa.array(numbers, pa.int64()),
+                "ids_sha256": pa.array(hashes, pa.string()),
+                **({"decoded": pa.array(decoded, pa.string())} if with_text else {}),
+                "decoded_sha256": pa.array(decoded_hashes, pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    out = chosen.mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded string, decoded_sha256 string"
-    )
-    return out.withColumnRenamed("id", id_column)
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(model: bytes) -> Encoder:
-    """One encoder per worker and model."""
-    name = hashlib.sha256(model).hexdigest()
-    if name not in _encoders:
-        _encoders[name] = Encoder(Vocabulary.load(model))
-    return _encoders[name]
+    shape = f"id {kind}, n_tokens long, ids_sha256 string, {'decoded string, ' if with_text else ''}decoded_sha256 string"
+    return chosen.mapInArrow(freed(run), shape).withColumnRenamed("id", id_column)

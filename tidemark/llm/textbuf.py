@@ -7,7 +7,9 @@ a bounded number of text bytes (one text at least), which bounds memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,6 +104,27 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = to
 
 
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The batch function, after which a reused worker gives its memory back.
+
+    Otherwise what one task held stays with the process through all later stages.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lower: bool = True) -> Words:
     """Maximal runs of bytes in the table ``inside``; never across texts."""
     n = len(data)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.sentencepiece import SPACE, Vocabulary
-from tidemark.llm.textbuf import draws, mix, pieces
+from tidemark.llm.textbuf import draws, freed, mix, pieces
 
 #: Characters run through at once, and of a chunk.
 BLOCK, CHUNK = 1 << 21, 256
@@ -450,7 +450,7 @@ def count_tokens(
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         text.alias("text"),
     )
-    counted = chosen.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    counted = chosen.mapInArrow(freed(run), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
 from tidemark.llm.samples import fold, training_sample
-from tidemark.llm.textbuf import draws, mix, pieces
+from tidemark.llm.textbuf import draws, freed, mix, pieces
 
 #: Labelled rows the model is fitted on at most.
 SAMPLE_ROWS = 20_000
@@ -314,7 +314,7 @@ def with_margins(docs: DataFrame, model: WordModel, whole: bool = False) -> Data
             yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), pa.array(values)], names=[*kept, "margin"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "margin double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(freed(run), schema)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> WordModel:
@@ -332,7 +332,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
         model.slope, model.shift = 1e-3, float(np.log(share / (1 - share)))
         return model
     # Of copies one text counts, else any word of a copied text looks like an insult.
-    sets = texts.filter("NOT for_curve").select("text", "label").mapInArrow(_word_sets, "label int, sketch long, words array<string>")
+    sets = texts.filter("NOT for_curve").select("text", "label").mapInArrow(freed(_word_sets), "label int, sketch long, words array<string>")
     once = sets.groupBy("label", "sketch").agg(F.min("words").alias("words"))
     words = stored(
         once.select("label", F.explode("words").alias("word"))
@@ -401,4 +401,4 @@ def filter_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
             score = model.score(margins.of(piece.column(text_column).to_pylist()))
             yield piece.filter(pa.array(score < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)
