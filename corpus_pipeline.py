@@ -40,8 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document and the hash of what they decode to."""
     ready(spark)
-    coded = encode_decode(docs, read_model())
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return encode_decode(docs, read_model(), with_text=False)
 
 
 STAGES = [
