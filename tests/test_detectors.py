@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -195,3 +196,33 @@ def test_a_ticker_filter_moves_below_the_windows(spark, make_bars, tmp_path):
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "In(ticker, [AAPL,MSFT])" in plan[plan.index("PushedFilters") :]
     assert chosen.count() == 4
+
+
+@pytest.mark.parametrize("frame_rows", [1, 3, 128])
+def test_sliding_maxima_equal_frames(spark, monkeypatch, frame_rows):
+    rng = random.Random(frame_rows)
+    data = [
+        (ticker, date(2020, 1, 1) + timedelta(days=d), rng.choice([None, float("nan"), 1.0, 2.0, 3.0, 4.0, 5.0]))
+        for ticker in "ABC"
+        for d in sorted(rng.sample(range(400), rng.randint(1, 60)))
+    ]
+    bars = spark.createDataFrame(data, "ticker string, date date, adj_close double")
+    for window in (2, 4, 7, 30, 100):
+        t = replace(SMALL, drawdown_window_days=window)
+        monkeypatch.setattr(detectors, "FRAME_ROWS", 10**6)
+        want = rows(detectors.drawdowns(bars, t, RUN_DATE))
+        monkeypatch.setattr(detectors, "FRAME_ROWS", frame_rows)
+        assert rows(detectors.drawdowns(bars, t, RUN_DATE)) == want
+
+
+def test_volume_moments_do_not_depend_on_what_stands_before(spark):
+    large = 10**15
+    days = [date(2020, 1, 1) + timedelta(days=d) for d in range(12)]
+    quiet, loud = [100, 101, 102, 5000], [large, large + 7, large - 3, large, 1, 2, 9 * large, 4]
+    alone = spark.createDataFrame([("A", d, v) for d, v in zip(days[8:], quiet)], "ticker string, date date, volume bigint")
+    behind = spark.createDataFrame([("A", d, v) for d, v in zip(days, loud + quiet)], "ticker string, date date, volume bigint")
+    t = replace(SMALL, volume_spike_window_days=3, volume_spike_zscore=2.0)
+    got = rows(detectors.volume_spikes(alone, t, RUN_DATE), "date", "trailing_mean", "trailing_std", "volume_zscore")
+    assert got == [(days[11], 101.0, 1.0, 4899.0)]
+    last = detectors.volume_spikes(behind, t, RUN_DATE).filter(F.col("date") == days[11])
+    assert rows(last, "date", "trailing_mean", "trailing_std", "volume_zscore") == got

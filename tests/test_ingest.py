@@ -12,6 +12,7 @@ from conftest import SMALL, RUN_DATE, rows
 
 import tidemark as tm
 from tidemark.plans import derived, market
+from tidemark.plans.tables import DERIVED, EARNINGS_ROWS, HOLDINGS, METADATA, PRICES, SECTOR_ROWS
 from tidemark.schemas import RAW_EARNINGS, RAW_HOLDINGS, RAW_INFO, RAW_PRICES
 from tidemark.sources import files
 
@@ -186,7 +187,7 @@ def test_increment_takes_only_days_after_the_last(spark, landed):
         (date(2024, 1, d), c) for d, c in zip(range(1, 6), [100.0, 105.0, 100.0, 7.0, 79.0])
     ]
     store = market._store(landed)
-    assert len(store.batches("prices")) == 2
+    assert len(store.batches(PRICES)) == 2
     assert rows(derived.stored_last_dates(store)) == [("AAPL", END, 5)]
 
 
@@ -211,7 +212,7 @@ def test_a_bar_without_volume_is_rejected(spark, config):
     done = tm.ingest_prices(["AAPL"], start_date=START, end_date=END, config=config)
     assert rows(done.rejects, "ticker", "date", "volume") == [("AAPL", START, None)]
     assert rows(done.status, "status") == [("skipped",)]
-    assert not market._store(config).exists("prices")
+    assert not market._store(config).exists(PRICES)
 
 
 def test_load_prices_repeats_what_is_asked_twice(ingested):
@@ -290,8 +291,8 @@ def test_derived_events_of_a_requested_ticker_without_bars_go(spark, ingested):
     later = tm.Config(landed.data_dir + "2", landed.landing_dir, landed.universe_dir, SMALL, RUN_DATE)
     tm.ingest_prices(["AAPL"], start_date=START, end_date=END, config=later)
     store = market._store(later)
-    old = market._store(landed).read("derived_events", market.EVENTS)
-    batch = store.new_batch("derived_events", replace=True)
+    old = market._store(landed).read(DERIVED)
+    batch = store.new_batch(DERIVED)
     derived._write_events(store, batch, old)
     store.publish(batch)
     detected = tm.ingest_derived_events(["AAPL", "MSFT"], config=later)
@@ -309,7 +310,8 @@ def test_another_day_rewrites_events_unless_told_not_to(landed):
     assert tm.ingest_derived_events(config=tomorrow).updated == ["drawdowns", "gaps", "volume_spikes"]
 
 
-def test_new_bars_give_the_events_that_a_full_run_gives(spark, config):
+def test_new_bars_give_the_events_that_a_full_run_gives(spark, config, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.store.FAN", 100)
     rng = random.Random(9)
 
     def deliver(tickers, days):
@@ -326,7 +328,7 @@ def test_new_bars_give_the_events_that_a_full_run_gives(spark, config):
         return tm.ingest_derived_events(list(tickers), config=config, incremental=True).updated
 
     def batches():
-        return len(market._store(config).batches("derived_events"))
+        return len(market._store(config).batches(DERIVED))
 
     deliver("AB", range(20))
     refresh()
@@ -346,11 +348,17 @@ def test_new_bars_give_the_events_that_a_full_run_gives(spark, config):
     # Other thresholds: all events are derived anew.
     strict = replace(config, events=replace(SMALL, gap_threshold_pct=0.5))
     done = tm.ingest_derived_events(["A", "B", "C"], config=strict, incremental=True)
-    assert done.updated == ["gaps"] and batches() == 1
-    # Revised history: likewise.
+    assert done.updated == ["gaps"]
+    assert tm.ingest_derived_events(["A", "B", "C"], config=strict, incremental=True).updated == []
+    # Replaced history: that ticker's events are derived anew, the others stay as they were.
+    before = rows(tm.load_events("all", ["B", "C"], config=strict))
     tm.ingest_prices(["A"], start_date=START + timedelta(days=40), end_date=END.replace(year=2025), force=True, config=config)
-    done = tm.ingest_derived_events(["A", "B", "C"], config=strict, incremental=True)
-    assert "drawdowns" in done.updated and batches() == 1
+    later = replace(strict, run_date=RUN_DATE + timedelta(days=1))
+    done = tm.ingest_derived_events(["A", "B", "C"], config=later, incremental=True)
+    assert "drawdowns" in done.updated
+    assert rows(tm.load_events("all", ["B", "C"], config=strict)) == before
+    assert {r[0] for r in rows(tm.load_events("drawdowns", ["A"], config=strict), "created_at")} <= {later.run_date}
+    assert tm.ingest_derived_events(["A", "B", "C"], config=later, ignore_created_at=True).updated == []
 
 
 def test_load_events_filters_by_ticker_and_day(ingested):
@@ -382,10 +390,10 @@ def test_universe(config):
 def test_an_unfinished_batch_is_never_read(spark, ingested):
     landed, _ = ingested
     store = market._store(landed)
-    half = store.new_batch("prices", replace=False)
-    store.write(store.read("prices", market.BARS), half)
+    half = store.new_batch(PRICES)
+    store.write(PRICES, store.read(PRICES), half)
     assert tm.load_prices(list(BASES), config=landed).df.count() == 15
-    assert store.new_batch("prices", replace=False).number > half.number
+    assert store.new_batch(PRICES).last > half.last
     assert not files.exists(spark, half.marker)
 
 
@@ -433,23 +441,24 @@ def test_withdrawn_earnings_dates_go(spark, config):
     ]
 
 
-def test_copying_batches_together_keeps_every_row(spark, config, monkeypatch):
-    def run(compact_after):
-        monkeypatch.setattr(derived, "COMPACT_AFTER", compact_after)
-        own = replace(config, data_dir=f"{config.data_dir}{compact_after}")
+def test_merging_batches_keeps_every_row(spark, config, monkeypatch):
+    def run(fan):
+        monkeypatch.setattr("tidemark.sources.store.FAN", fan)
+        own = replace(config, data_dir=f"{config.data_dir}{fan}")
         for k in range(5):
             first = START + timedelta(days=7 * k)
             day = replace(own, run_date=RUN_DATE + timedelta(days=k))
             landed = spark.createDataFrame(list(raw_rows("AAPL", 100.0 + k, first)), RAW_PRICES)
             tm.ingest_prices(["AAPL"], start_date=START, end_date=first + timedelta(days=4), config=day, landed=landed)
             tm.ingest_derived_events(["AAPL"], config=day, incremental=True)
-        batches = market._store(own).batches(derived.TABLE)
-        return rows(tm.load_events("all", config=own)), len(batches)
+        store = market._store(own)
+        loaded = rows(tm.load_prices("AAPL", adjusted=False, config=own).df)
+        return (rows(tm.load_events("all", config=own)), loaded), [len(store.batches(t)) for t in (DERIVED, PRICES)]
 
     many, n_many = run(100)
     few, n_few = run(2)
-    assert many == few and n_many == 5 and n_few <= 2
-    assert len({r[4] for r in many}) == 5  # created_at of each run
+    assert many == few and n_many == [5, 5] and max(n_few) <= 2
+    assert len({r[4] for r in many[0]}) == 5  # created_at of each run
 
 
 def test_one_bad_cell_costs_one_row(spark, config):
@@ -491,3 +500,152 @@ def test_metadata_is_taken_up_again_if_asked(spark, config):
     assert outcome(tm.ingest_etf_metadata(config=config)) == [("etf_metadata", "SPY", "already_current")]
     assert outcome(tm.ingest_etf_metadata(retry_missing=True, config=config)) == [("etf_metadata", "SPY", "updated")]
     assert rows(tm.load_etf_metadata(config=config), "inception_date") == [(date(1993, 1, 22),)]
+
+
+def batch_count(config, table):
+    return len(market._store(config).batches(table))
+
+
+def files_under(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+
+
+def test_force_writes_only_the_rows_of_its_tickers(spark, landed, tmp_path):
+    tm.ingest_prices(start_date=START, end_date=END, config=landed)
+    tm.ingest_etf_constituents(config=landed)
+    store = market._store(landed)
+    before = files_under(tmp_path / "store")
+    tm.ingest_prices(["AAPL"], start_date=date(2024, 1, 4), end_date=END, force=True, config=landed)
+    newest = store.batches(PRICES)[-1]
+    assert rows(spark.read.parquet(newest.part("rows")), "ticker", "date") == [("AAPL", date(2024, 1, d)) for d in (4, 5)]
+    assert rows(store.replaced([newest])) == [("AAPL", 2)]
+    assert set(before) <= set(files_under(tmp_path / "store"))  # nothing was rewritten
+    assert rows(derived.stored_last_dates(store)) == [("AAPL", END, 2), ("MSFT", END, 5), ("SPY", END, 5)]
+    # Replaced again, then merged: what older batches held stays gone.
+    tm.ingest_prices(["AAPL"], start_date=END, end_date=END, force=True, config=landed)
+    counts = [("AAPL", 1), ("MSFT", 5), ("SPY", 5)]
+    assert rows(tm.load_prices(list(BASES), config=landed).df.groupBy("ticker").count()) == counts
+    store.merge_newest(PRICES, 2)
+    assert rows(tm.load_prices(list(BASES), config=landed).df.groupBy("ticker").count()) == counts
+    store.merge_newest(PRICES, 2)
+    assert rows(tm.load_prices(list(BASES), config=landed).df.groupBy("ticker").count()) == counts
+    assert rows(derived.stored_last_dates(store)) == [("AAPL", END, 1), ("MSFT", END, 5), ("SPY", END, 5)]
+
+
+def test_upserts_write_only_their_own_rows(spark, landed):
+    tm.ingest_sectors(["AAPL", "MSFT"], config=landed)
+    tm.ingest_sectors(["AAPL", "MSFT", "SPY"], config=landed)
+    store = market._store(landed)
+    assert [rows(spark.read.parquet(b.part("rows")), "ticker") for b in store.batches(SECTOR_ROWS)] == [
+        [("AAPL",), ("MSFT",)],
+        [("SPY",)],
+    ]
+    tm.ingest_sectors(["MSFT"], force=True, config=landed)
+    assert rows(spark.read.parquet(store.batches(SECTOR_ROWS)[-1].part("rows")), "ticker") == [("MSFT",)]
+    assert rows(tm.load_sectors(config=landed), "ticker") == [("AAPL",), ("MSFT",), ("SPY",)]
+
+
+def test_a_rerun_of_everything_writes_no_file(landed, tmp_path):
+    tm.ingest_all(start_date=START, end_date=END, config=landed)
+    before = files_under(tmp_path / "store")
+    done = tm.ingest_all(start_date=START, end_date=END, config=landed)
+    assert {r[1] for r in rows(done.prices.status, "ticker", "status")} == {"already_current"}
+    assert files_under(tmp_path / "store") == before
+
+
+def opened(config, table, name, tickers, start=START, end=END):
+    """Landed files that an ingest would open: new ones, and old ones."""
+    store = market._store(config)
+    asked = market._requested(config, tickers)
+    dated = (start, end) if table is PRICES else ()
+    taken = market.landing.take(store, table, config.landing_dir, [name], asked, *dated)
+    return len(taken.new.get(name, [])), len(taken.old.get(name, []))
+
+
+def land_one(spark, config, name, data, schema):
+    spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(f"{config.landing_dir}/{name}")
+
+
+def test_a_rerun_opens_no_old_file(spark, config):
+    silent = [f"S{k}" for k in range(2000)]
+    land_one(spark, config, "raw_prices", raw_rows("AAPL", 100.0), RAW_PRICES)
+    tm.ingest_prices(["AAPL", *silent], start_date=START, end_date=END, config=config)
+    assert opened(config, PRICES, "raw_prices", ["AAPL", *silent]) == (0, 0)
+    # A later end: the file holds no such day. A ticker not asked for before: all files.
+    later = END + timedelta(days=30)
+    assert opened(config, PRICES, "raw_prices", ["AAPL", *silent], end=later) == (0, 0)
+    assert opened(config, PRICES, "raw_prices", ["AAPL", "MSFT"], end=later) == (0, 1)
+    land_one(spark, config, "raw_prices", raw_rows("MSFT", 50.0, START + timedelta(days=5)), RAW_PRICES)
+    assert opened(config, PRICES, "raw_prices", ["AAPL", *silent], end=later) == (1, 0)
+    done = tm.ingest_prices(["AAPL", "MSFT"], start_date=START, end_date=later, config=config)
+    assert outcome(done.status) == [("prices", "AAPL", "no_new_bars"), ("prices", "MSFT", "updated")]
+    assert opened(config, PRICES, "raw_prices", ["AAPL", "MSFT"], end=later) == (0, 0)
+    # Those who were not asked for when the second file was taken need it, and only it.
+    assert opened(config, PRICES, "raw_prices", silent, end=later) == (0, 1)
+
+
+def test_days_outside_the_request_are_taken_when_they_are_asked_for(spark, config):
+    land_one(spark, config, "raw_prices", raw_rows("AAPL", 100.0), RAW_PRICES)
+    middle = date(2024, 1, 3)
+    tm.ingest_prices(["AAPL"], start_date=START, end_date=middle, config=config)
+    assert opened(config, PRICES, "raw_prices", ["AAPL"], end=middle) == (0, 0)
+    assert opened(config, PRICES, "raw_prices", ["AAPL"]) == (1, 0)
+    done = tm.ingest_prices(["AAPL"], start_date=START, end_date=END, config=config)
+    assert outcome(done.status) == [("prices", "AAPL", "updated")]
+    assert tm.load_prices("AAPL", config=config).df.count() == 5
+
+
+def test_snapshots_open_only_files_their_tickers_need(spark, config):
+    info = json.dumps({"sector": "Technology", "quoteType": "EQUITY"})
+    land_one(spark, config, "raw_info", [("AAPL", info, 0)], RAW_INFO)
+    tm.ingest_sectors(["AAPL", "LATE"], config=config)
+    assert opened(config, SECTOR_ROWS, "raw_info", ["LATE"]) == (0, 0)
+    assert opened(config, SECTOR_ROWS, "raw_info", ["OTHER"]) == (0, 1)
+    land_one(spark, config, "raw_info", [("LATE", info, 1)], RAW_INFO)
+    assert opened(config, SECTOR_ROWS, "raw_info", ["LATE"]) == (1, 0)
+    done = tm.ingest_sectors(["AAPL", "LATE"], config=config)
+    assert rows(done, "ticker", "status") == [("AAPL", "already_current"), ("LATE", "updated")]
+    for table, ingest, name in ((HOLDINGS, tm.ingest_etf_constituents, "raw_holdings"), (EARNINGS_ROWS, tm.ingest_earnings, "raw_earnings")):
+        data = [("SPY", 0, "AAPL", "Apple", "0.07")] if table is HOLDINGS else [("SPY", 0, "2024-01-25", "amc")]
+        land_one(spark, config, name, data, RAW_HOLDINGS if table is HOLDINGS else RAW_EARNINGS)
+        ingest(["SPY", "QQQ"], config=config)
+        assert opened(config, table, name, ["SPY", "QQQ"]) == (0, 0)
+    assert batch_count(config, METADATA) == 0
+
+
+def test_many_ingests_leave_few_batches(spark, config):
+    for k in range(20):
+        landed = spark.createDataFrame(list(raw_rows("AAPL", 100.0 + k, START + timedelta(days=5 * k))), RAW_PRICES)
+        last = START + timedelta(days=5 * k + 4)
+        tm.ingest_prices(["AAPL"], start_date=START, end_date=last, config=config, landed=landed)
+    assert batch_count(config, PRICES) <= 4
+    assert tm.load_prices("AAPL", config=config).df.count() == 100
+    assert rows(derived.stored_last_dates(market._store(config))) == [("AAPL", START + timedelta(days=99), 100)]
+
+
+def test_wide_and_per_ticker_landings(spark, config, tmp_path):
+    fields = ["Open", "High", "Low", "Close", "Adj Close", "Volume"]
+
+    def wide(tickers, day, names):
+        columns = ", ".join(f"`{n}` double" for t in tickers for n in names(t))
+        row = (day, *[float(k + 1) for k, _ in enumerate(tickers) for _ in fields])
+        land_one(spark, config, "raw_prices_wide", [row], f"Date date, {columns}")
+
+    wide(["AAPL", "A|B"], START, lambda t: [f"{t}|{f}" for f in fields])
+    wide(["MSFT"], START, lambda t: [f"{f}|{t}" for f in fields])  # another set of columns
+    folder = tmp_path / "landing" / "raw_prices_by_ticker"
+    folder.mkdir(parents=True)
+    one = spark.createDataFrame([(START, *[9.0] * 6)], "Date date, " + ", ".join(f"`{f}` double" for f in fields))
+    one.toPandas().to_parquet(folder / "BRK-B.parquet")
+    asked = ["AAPL", "A|B", "MSFT", "BRK-B", "NONE"]
+    done = tm.ingest_prices(asked, start_date=START, end_date=END, config=config)
+    assert rows(done.status, "ticker", "status") == [
+        ("AAPL", "updated"), ("A|B", "updated"), ("BRK-B", "updated"), ("MSFT", "updated"), ("NONE", "skipped"),
+    ]
+    loaded = rows(tm.load_prices(asked, adjusted=False, config=config).df, "ticker", "date", "close", "volume")
+    assert loaded == [("AAPL", START, 1.0, 1), ("A|B", START, 2.0, 2), ("BRK-B", START, 9.0, 9), ("MSFT", START, 1.0, 1)]
+    wide(["AAPL"], END, lambda t: [f"{t}|{f}" for f in fields])
+    assert opened(config, PRICES, "raw_prices_wide", asked) == (1, 0)
+    done = tm.ingest_prices(asked, start_date=START, end_date=END, config=config)
+    assert ("prices", "AAPL", "updated") in outcome(done.status)
+    assert tm.load_prices("AAPL", config=config).df.count() == 2

@@ -228,7 +228,8 @@ def test_table_diff_and_fingerprint(spark):
     assert rows(keyed.table_diff(old, new)) == [("A", 1.0, -1), ("C", 2.0, 1)]
     assert rows(keyed.fingerprint(old)) == rows(keyed.fingerprint(same))
     assert rows(keyed.fingerprint(old)) != rows(keyed.fingerprint(new))
-    assert rows(keyed.fingerprint(old, ignore=["v"]), "n_rows") == [(3,)]
+    without = [rows(keyed.fingerprint(df, also_without=["v"]), "n_rows", "other_hash") for df in (old, same)]
+    assert without[0] == without[1] != rows(keyed.fingerprint(new, also_without=["v"]), "n_rows", "other_hash")
 
 
 def test_run_summary(spark):
@@ -347,10 +348,11 @@ def test_ranking_agrees_with_brute_force(spark):
     assert [v for _, v in rows(found, "rank", "avg_dollar_volume")] == pytest.approx([m for _, m in expected])
 
 
-def test_content_hashes_tell_nulls_apart(spark):
+@pytest.mark.parametrize("hashed", [keyed.fingerprint, keyed.portable_fingerprint])
+def test_content_hashes_tell_nulls_apart(spark, hashed):
     schema = "industry string, sector string"
     hashes = [
-        keyed.fingerprint(spark.createDataFrame([row], schema)).first()["content_hash"]
+        hashed(spark.createDataFrame([row], schema)).first()["content_hash"]
         for row in [(None, "X"), ("X", None), ("X", ""), ("", "X"), ("1:X", None), (None, None), ("null", None), ("a,1:b", "c"), ("a", "b,1:c")]
     ]
     assert len(set(hashes)) == len(hashes)

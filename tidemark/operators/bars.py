@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import adjust_ratio, nan_to_null, require_columns
 from tidemark.operators.keyed import keep_last
-from tidemark.schemas import BARS
+from tidemark.schemas import BARS, RAW_PRICES
 
 # Delivered column names and their names in the store.
 RAW_TO_BAR = {
@@ -72,25 +72,46 @@ def split_rejects(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
 def wide_to_long(
     wide: DataFrame, tickers: Sequence[str], date_column: str = "Date", sep: str = "|"
 ) -> DataFrame:
-    """One column per (ticker, field) to one row per (ticker, date).
+    """One column per (ticker, field) to one bar per (ticker, date).
 
-    Column names hold ticker and field in either order. Every wide row is
-    unfolded where it is, without a shuffle; days on which a ticker has no
-    close are dropped, as are tickers that lack a column (see `absent_tickers`).
+    Column names hold ticker and field in either order. Days on which a ticker
+    has no close are dropped, as are tickers that lack a column (see
+    `absent_tickers`).
     """
     require_columns(wide.columns, [date_column], "wide prices")
+    named = wide.withColumnRenamed(date_column, "Date")
+    if not any(_wide_names(named, t, sep) for t in tickers):
+        return wide.sparkSession.createDataFrame([], BARS)
+    return normalise_bars(unfold(named, tickers, sep)).drop("position")
+
+
+def unfold(wide: DataFrame, tickers: Sequence[str], sep: str = "|") -> DataFrame:
+    """A wide delivery under the names of one with a row per ticker and day.
+
+    Every wide row is unfolded where it is, without a shuffle. A ticker's days
+    without any cell filled in are dropped. ``position`` is kept.
+    """
     rows = []
     for ticker in tickers:
         names = _wide_names(wide, ticker, sep)
         if names is None:
             continue
-        label = ticker.replace("'", r"\'")
-        fields = [f"TRY_CAST(`{n}` AS DOUBLE) AS `{f}`" for f, n in names.items()]
+        label = ticker.replace("\\", "\\\\").replace("'", r"\'")
+        fields = [f"CAST(`{n.replace('`', '``')}` AS STRING) AS `{f}`" for f, n in names.items()]
         rows.append(f"struct('{label}' AS ticker, {', '.join(fields)})")
+    position = "`position`" if "position" in wide.columns else "0L AS position"
     if not rows:
-        return wide.sparkSession.createDataFrame([], BARS)
-    long = wide.selectExpr(f"`{date_column}` AS Date", f"inline(array({', '.join(rows)}))")
-    return normalise_bars(long).drop("position")
+        return wide.sparkSession.createDataFrame([], RAW_PRICES)
+    long = wide.selectExpr("`Date`", position, f"inline(array({', '.join(rows)}))")
+    return long.filter(F.coalesce(*[F.col(f"`{f}`") for f in PRICE_FIELDS]).isNotNull())
+
+
+def wide_tickers(wide: DataFrame, sep: str = "|") -> list[str]:
+    """The tickers of which a wide delivery has all columns, in their order."""
+    halves = [c.split(sep) for c in wide.columns if sep in c]
+    named = [h for parts in halves for h in (sep.join(parts[:-1]), sep.join(parts[1:]))]
+    once = dict.fromkeys(t for t in named if t not in PRICE_FIELDS)
+    return [t for t in once if _wide_names(wide, t, sep)]
 
 
 def _wide_names(wide: DataFrame, ticker: str, sep: str) -> dict[str, str] | None:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import nan_to_null, ratio_change, zscore
@@ -19,6 +19,10 @@ from tidemark.operators.series import SERIES, split_series
 from tidemark.schemas import DERIVED_TYPES, EVENT_COLUMNS, EVENTS, SOURCE_DERIVED, Thresholds
 
 
+#: Longest peak window that is taken as a frame, row by row.
+FRAME_ROWS = 128
+
+
 def lookback_rows(t: Thresholds) -> int:
     """How many earlier rows an event on a bar can depend on."""
     return max(t.drawdown_window_days - 1, t.volume_spike_window_days, 1)
@@ -34,15 +38,22 @@ def mark_bars(
     - volume_spikes: mean and sample deviation of volume over the rows before,
       and the z-score; NULL unless the full number of volumes is there
 
-    All frames are taken in one step, over one sort of each series.
+    All frames are taken in one step, over one sort of each series; only a long
+    peak window takes further sorts, but no exchange. Volumes are summed as
+    integers, so that mean and deviation do not depend on what stands before
+    their frame; running sums of squares hold volumes up to some 10^16.
     """
     in_order = Window.partitionBy(*series).orderBy("date")
-    frames, marks = [], []
+    frames, marks, columns = [], [], bars.columns
     if "drawdowns" in types:
         # One maximum gives peak and date together: it ranks by price, then by
         # the earlier date. NULL prices rank lowest, so they are never a peak.
         ranked = F.struct(F.col("adj_close").alias("price"), F.expr("-unix_date(date)").alias("earliness"))
-        frames.append(F.max(ranked).over(in_order.rowsBetween(1 - t.drawdown_window_days, 0)).alias("_peak"))
+        if t.drawdown_window_days <= FRAME_ROWS:
+            peak = F.max(ranked).over(in_order.rowsBetween(1 - t.drawdown_window_days, 0))
+        else:
+            bars, peak = _sliding_max(bars, ranked, t.drawdown_window_days, series)
+        frames.append(peak.alias("_peak"))
         marks.append(F.expr("date_from_unix_date(-_peak.earliness)").alias("peak_date"))
         marks.append(ratio_change(F.col("adj_close"), F.col("_peak.price")).alias("drawdown_pct"))
     if "gaps" in types:
@@ -50,17 +61,44 @@ def mark_bars(
         marks.append(F.col("prior_close"))
         marks.append(ratio_change(F.col("open"), F.col("prior_close")).alias("gap_pct"))
     if "volume_spikes" in types:
-        before = in_order.rowsBetween(-t.volume_spike_window_days, -1)
-        frames.append(F.count("volume").over(before).alias("_volumes"))
-        frames.append(F.avg("volume").over(before).alias("_mean"))
-        frames.append(F.stddev_samp("volume").over(before).alias("_std"))
-        full = f"_volumes = {t.volume_spike_window_days}"
-        marks.append(F.expr(f"if({full}, _mean, NULL)").alias("trailing_mean"))
-        marks.append(F.expr(f"if({full}, _std, NULL)").alias("trailing_std"))
-        marks.append(
-            F.when(F.expr(full), zscore(F.col("volume"), F.col("_mean"), F.col("_std"))).alias("volume_zscore")
-        )
-    return bars.select("*", *frames).select(*bars.columns, *marks)
+        n = t.volume_spike_window_days
+        square = F.col("volume").cast("decimal(19,0)") * F.col("volume").cast("decimal(19,0)")
+        summed = {
+            "_volumes": F.count("volume"),
+            "_sum": F.sum(F.col("volume").cast("decimal(38,0)")),
+            "_squares": F.sum(square.cast("decimal(38,0)")),
+        }
+        # What was summed up to the row before, less what was n rows earlier:
+        # both frames only grow, so that a row costs the same for any n.
+        for name, total in summed.items():
+            until, past = (
+                F.coalesce(total.over(in_order.rowsBetween(Window.unboundedPreceding, to)), F.lit(0)) for to in (-1, -n - 1)
+            )
+            frames.append((until - past).cast("bigint" if name == "_volumes" else "decimal(38,0)").alias(name))
+        full = f"_volumes = {n}"
+        spread = f"CAST({n} * _squares AS DECIMAL(38, 0)) - CAST(_sum * _sum AS DECIMAL(38, 0))"
+        mean, std = F.expr(f"CAST(_sum AS DOUBLE) / {n}"), F.expr(f"sqrt(CAST({spread} AS DOUBLE) / {n * (n - 1)}.0D)")
+        marks.append(F.when(F.expr(full), mean).alias("trailing_mean"))
+        marks.append(F.when(F.expr(full), std).alias("trailing_std"))
+        marks.append(F.when(F.expr(full), zscore(F.col("volume"), mean, std)).alias("volume_zscore"))
+    return bars.select("*", *frames).select(*columns, *marks)
+
+
+def _sliding_max(bars: DataFrame, value: Column, rows: int, series: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Bars with what is needed for the maximum over the last ``rows`` rows, and that maximum.
+
+    Series are cut into blocks of that many rows, with running maxima from both
+    ends; a frame is the end of one block and the beginning of the next, so that
+    its maximum is the larger of two values, however many rows it has.
+    """
+    in_order = Window.partitionBy(*series).orderBy("date")
+    block = F.floor((F.row_number().over(in_order) - 1) / rows)
+    blocks = Window.partitionBy(*series, "_block")
+    to_here = (Window.unboundedPreceding, 0)
+    cut = bars.withColumn("_block", block)
+    cut = cut.withColumn("_up", F.max(value).over(blocks.orderBy("date").rowsBetween(*to_here)))
+    cut = cut.withColumn("_down", F.max(value).over(blocks.orderBy(F.desc("date")).rowsBetween(*to_here)))
+    return cut, F.greatest("_up", F.lag("_down", rows - 1).over(in_order))
 
 
 def event_tests(t: Thresholds) -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,20 +104,55 @@ def table_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def fingerprint(
-    df: DataFrame, by: Sequence[str] = (), ignore: Sequence[str] = ()
+    df: DataFrame, by: Sequence[str] = (), also_without: Sequence[str] = (), prefix: str = "other"
 ) -> DataFrame:
     """Row count and an order-free content hash, for the table or per group.
 
-    A row's text holds each value behind its length, and a mark for NULL, so
-    that no two rows share one. The first 60 bits of its MD5 are added up in a
-    decimal, as a bigint total would overflow.
+    A row's hash is an xxHash64 of its values, sorted by column name, behind a
+    mark for each NULL, so that a NULL and a value never stand for each other.
+    The hashes are added up in a decimal, as a bigint total would overflow.
+    With ``also_without``, ``<prefix>_hash`` leaves those columns out, in the
+    same pass.
     """
-    columns = sorted(c for c in df.columns if c not in ignore)
-    texts = [F.col(f"`{c}`").cast("string") for c in columns]
-    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
-    digest = F.substring(F.md5(F.concat_ws(",", *marked)), 1, 15)
-    row_hash = F.conv(digest, 16, 10).cast("decimal(38,0)")
-    return df.groupBy(*by).agg(
+
+    def total(columns: Sequence[str]) -> Column:
+        values = [F.col(f"`{c}`") for c in columns]
+        marks = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
+        hashed = F.xxhash64(marks, *[_hashable(df, c) for c in columns])
+        return F.coalesce(F.sum(hashed.cast("decimal(20,0)")).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
+    columns = sorted(df.columns)
+    out = [F.count(F.lit(1)).alias("n_rows"), total(columns).alias("content_hash")]
+    if also_without:
+        out.append(total([c for c in columns if c not in also_without]).alias(f"{prefix}_hash"))
+    return df.groupBy(*by).agg(*out)
+
+
+def _hashable(df: DataFrame, name: str) -> Column:
+    """The column in a form that is hashed by value: -0.0 as 0.0, any NaN as one."""
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(column == 0, F.lit(0.0)).when(F.isnan(column), F.lit(float("nan"))).otherwise(column)
+    return column
+
+
+def portable_fingerprint(df: DataFrame) -> DataFrame:
+    """Row count and a content hash that other engines can work out as well.
+
+    A row's text holds each value, texts behind their length, and a mark for
+    NULL, so that no two rows share one. The first 60 bits of its MD5 are added
+    up in a decimal, as a bigint total would overflow.
+    """
+
+    def marked(name: str) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        if isinstance(df.schema[name].dataType, T.StringType):
+            text = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        return F.coalesce(text, F.lit("null"))
+
+    digest = F.substring(F.md5(F.concat_ws(",", *[marked(c) for c in sorted(df.columns)])), 1, 15)
+    row_hash = F.conv(digest, 16, 10).cast("bigint").cast("decimal(20,0)")
+    return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).alias("content_hash"),
+        F.coalesce(F.sum(row_hash), F.lit(0)).cast("decimal(38,0)").alias("content_hash"),
     )

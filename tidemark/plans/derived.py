@@ -1,19 +1,16 @@
 """Refreshing the derived events, in full or by the bars that are new.
 
-A batch of events keeps small tables beside its rows:
-
-- content: row count and hashes per event type, to tell whether a refresh
-  changes anything without reading the old events
-- seen: the last bar of each ticker that events were derived from
-- tail: the last bars of each ticker, as many as an event can look back on
-
-With the last two, a refresh reads only bars that were stored since, however
-long the history is. Earlier events stand, as no frame looks ahead.
+Events are hashed and compared per bucket of tickers; only buckets whose hash
+differs are written, so that a refresh that changes nothing writes nothing.
+Beside events stands what they were derived from: the last bar of each ticker,
+the batch of bars that last replaced its history, and its last bars, as many as
+an event can look back on. So an incremental refresh reads only bars stored
+since, however long the history is, and derives anew only tickers whose history
+was replaced. Earlier events stand, as no frame looks ahead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -21,85 +18,130 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import detectors, keyed
-from tidemark.schemas import BARS, CONTENT, DERIVED_TYPES, EVENTS, LAST_DATES, SEEN, Thresholds
+from tidemark.plans.tables import BUCKET, DERIVED, PRICES, newest_version
+from tidemark.schemas import BARS, DERIVED_TYPES, EVENTS, Thresholds
 from tidemark.sources.store import Batch, TableStore
 
-TABLE = "derived_events"
 # The day before all bars, for tickers of which none has been seen.
 NEVER = date(1000, 1, 1)
 # Longest list of tickers that is pushed to a scan as a filter.
 NAMED_TICKERS = 1_000
-# Batches after which the next refresh copies them into one.
-COMPACT_AFTER = 32
+# What events written without state were derived from.
+UNKNOWN = "unknown"
 
 
 def stored_last_dates(store: TableStore) -> DataFrame:
     """The last stored date per ticker, from what each batch keeps beside it."""
-    lasts = store.read("prices", LAST_DATES, part="last")
+    lasts = store.read(PRICES, "last")
     return lasts.groupBy("ticker").agg(
         F.max("last_date").alias("last_date"), F.sum("bars").alias("bars")
     )
 
 
+def _known(store: TableStore, requested: DataFrame) -> DataFrame:
+    """Requested tickers with bars: their last date, and the batch that replaced their history."""
+    replaced = store.replaced(store.batches(PRICES)).select(F.col("key").alias("ticker"), "by")
+    lasts = stored_last_dates(store).join(requested.select("ticker"), "ticker", "left_semi")
+    return lasts.join(replaced, "ticker", "left").select(
+        "ticker", "last_date", F.coalesce("by", F.lit(0)).cast("bigint").alias("replaced_by")
+    )
+
+
 def refresh_all(
     store: TableStore,
     requested: DataFrame,
     t: Thresholds,
     run_date: date,
-    force: bool = False,
     ignore_created_at: bool = False,
-    keep_tail: bool = False,
+    keep_state: bool = False,
 ) -> list[str]:
     """Replace all events of the requested tickers; returns the types that changed.
 
-    Nothing is published if no type has changed. ``keep_tail`` prepares for
+    Nothing is written if no type has changed. ``keep_state`` prepares for
     `refresh_new`, at the price of a second pass over the bars.
     """
-    existing = store.read(TABLE, EVENTS)
-    known = stored_last_dates(store).join(requested.select("ticker"), "ticker", "left_semi")
-    longest = known.agg(F.max("bars")).first()[0]
-    batch = store.new_batch(TABLE, replace=True)
-    if longest is None:
-        if force or not store.exists(TABLE):
-            _write_events(store, batch, existing)
+    known = _known(store, requested)
+    if known.isEmpty():
+        if not store.exists(DERIVED):
+            batch = store.new_batch(DERIVED)
+            _write_events(store, batch, store.read(DERIVED))
             store.publish(batch)
         return []
-
-    bars, _ = B.load_bars(store.read("prices", BARS), requested, adjusted=False)
+    bars, _ = B.load_bars(store.read(PRICES), requested.select("position", "ticker"), adjusted=False)
+    tail = _last_rows(bars, t) if keep_state else None
     found = detectors.detect_events(bars, t, run_date)
-    # Bars are unique, and so are their events: nothing to de-duplicate.
-    content = _write_events(store, batch, keyed.without(existing, requested).unionByName(found))
-    if keep_tail:
-        _write_state(store, batch, known, _last_rows(bars, t), _basis(store, t))
-    changed = _changed(store, content, "undated_hash" if ignore_created_at else "content_hash")
-    if changed or keep_tail or not store.exists(TABLE):
-        store.publish(batch)
-    else:
-        store.discard(batch)
-    return changed
+    return _replace(store, requested, found, known, tail, basis(store, t), ignore_created_at)
+
+
+def _replace(
+    store: TableStore,
+    tickers: DataFrame,
+    found: DataFrame,
+    known: DataFrame,
+    tail: DataFrame | None,
+    settings: str,
+    ignore_created_at: bool = False,
+) -> list[str]:
+    """Have ``found`` be all events of some tickers, written where that differs."""
+    events = found.select(*EVENTS.names, F.expr(BUCKET).alias("bucket"))
+    first = not store.exists(DERIVED)
+    changed: set[str] = set(DERIVED_TYPES)
+    if not first:
+        buckets = tickers.select(F.expr(BUCKET).alias("bucket")).distinct()
+        rest = keyed.without(store.read(DERIVED).join(buckets, "bucket", "left_semi"), tickers)
+        events = events.unionByName(rest.select(events.columns))
+        hash_column = "undated_hash" if ignore_created_at else "content_hash"
+        compared = ["event_type", "bucket", "n_rows", hash_column]
+        before = DERIVED.reduce["content"](store.read(DERIVED, "content")).join(buckets, "bucket", "left_semi")
+        # One row per event type and bucket at most.
+        differing = keyed.table_diff(before.select(compared), _content(events).select(compared)).collect()
+        changed = {r["event_type"] for r in differing}
+        of = {r["bucket"] for r in differing}
+        events = events.filter(F.col("bucket").isin(sorted(of)))
+        if not changed and tail is None:
+            return []
+    batch = store.new_batch(DERIVED)
+    if first or changed:
+        content = _write_events(store, batch, events)
+        if first:
+            changed = {r["event_type"] for r in content.select("event_type").distinct().collect()}
+        else:
+            spark = store.spark
+            store.write_replaced(spark.createDataFrame([(str(b),) for b in sorted(of)], "key string"), batch)
+    _write_state(store, batch, known, tail, settings if tail is not None else UNKNOWN)
+    store.publish(batch)
+    store.merge(DERIVED)
+    return [e for e in DERIVED_TYPES if e in changed]
 
 
 def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date: date) -> list[str]:
     """Add the events of bars stored since the last refresh; returns their types.
 
-    Now and then the batches are copied into one first, which changes no row.
-    Where that is not possible, as after a change of thresholds or of stored
-    history, all events of the requested tickers are replaced.
+    Tickers whose stored history was replaced are derived anew. After a change
+    of settings, or a refresh that kept no state, all requested tickers are.
     """
-    basis = _basis(store, t)
-    if len(store.batches(TABLE)) >= COMPACT_AFTER:
-        compact(store, t)
-    past = _seen(store)
-    if past is None or not past.filter(F.col("basis") != basis).isEmpty():
-        return refresh_all(store, requested, t, run_date, keep_tail=True)
-    seen = past.groupBy("ticker").agg(F.max("last_date").alias("seen_date"))
-    stale = (
-        stored_last_dates(store)
-        .join(requested.select("ticker"), "ticker", "left_semi")
-        .join(seen, "ticker", "left")
-        .filter("seen_date IS NULL OR last_date > seen_date")
-        .select("ticker", "last_date", F.coalesce("seen_date", F.lit(NEVER)).alias("seen_date"))
-    )
+    settings = basis(store, t)
+    seen = newest_version(store.read(DERIVED, "seen")).join(requested.select("ticker"), "ticker", "left_semi")
+    if not store.exists(DERIVED) or not seen.filter(F.col("basis") != settings).isEmpty():
+        return refresh_all(store, requested, t, run_date, keep_state=True)
+    past = seen.select("ticker", F.col("last_date").alias("seen_date"), F.col("replaced_by").alias("seen_by"))
+    known = _known(store, requested).join(past, "ticker", "left")
+    is_redone = F.col("replaced_by") > F.coalesce("seen_by", F.col("replaced_by"))
+    stale = known.filter(~is_redone & (F.col("seen_date").isNull() | (F.col("last_date") > F.col("seen_date"))))
+    changed = set(_add(store, stale, t, run_date, settings))
+    # What was added above belongs to tickers that are not among these.
+    redone = known.filter(is_redone)
+    if not redone.isEmpty():
+        tickers = redone.select(F.lit(0).cast("bigint").alias("position"), "ticker")
+        bars, _ = B.load_bars(store.read(PRICES), tickers, adjusted=False)
+        found = detectors.detect_events(bars, t, run_date)
+        changed |= set(_replace(store, tickers, found, redone, _last_rows(bars, t), settings))
+    return [e for e in DERIVED_TYPES if e in changed]
+
+
+def _add(store: TableStore, stale: DataFrame, t: Thresholds, run_date: date, settings: str) -> list[str]:
+    """Add the events of the bars that tickers have got since they were seen."""
+    stale = stale.select("ticker", "last_date", "replaced_by", F.coalesce("seen_date", F.lit(NEVER)).alias("seen_date"))
     # Tickers not seen before need all their bars; a few of them are named to the scan.
     is_new = F.col("seen_date") == F.lit(NEVER)
     since, new = stale.agg(F.min(F.when(~is_new, F.col("seen_date"))), F.count(F.when(is_new, 1))).first()
@@ -110,96 +152,53 @@ def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date
         names = [r["ticker"] for r in stale.filter(is_new).select("ticker").collect()] if new else []
         later = F.col("date") > F.lit(since) if since else F.lit(False)
         wanted = (later | F.col("ticker").isin(names)) if names else later
-    unseen = stale.join(seen, "ticker", "left_anti")
-    if not store.read(TABLE, EVENTS).join(unseen, "ticker", "left_semi").isEmpty():
-        return refresh_all(store, requested, t, run_date, keep_tail=True)
-
     # The bounds let the scan skip what has been seen.
-    stored = B.clean_bars(store.read("prices", BARS).filter(wanted))
+    stored = B.clean_bars(store.read(PRICES).filter(wanted))
     fresh = stored.join(stale.select("ticker", "seen_date"), "ticker").filter("date > seen_date")
-    tails = store.read(TABLE, BARS, part="tail").dropDuplicates(["ticker", "date"])
-    tails = tails.join(stale.select("ticker"), "ticker", "left_semi")
+    tails = store.read(DERIVED, "tail").join(stale.select("ticker"), "ticker", "left_semi")
     bars = (
-        _last_rows(tails, t)
-        .withColumn("borrowed", F.lit(True))
+        newest_version(tails)
+        .select(*BARS.names, F.lit(True).alias("borrowed"))
         .unionByName(fresh.select(*BARS.names, F.lit(False).alias("borrowed")))
     )
-    batch = store.new_batch(TABLE, replace=False)
-    content = _write_events(store, batch, detectors.detect_events(bars, t, run_date))
-    _write_state(store, batch, stale, _last_rows(bars, t), basis)
+    batch = store.new_batch(DERIVED)
+    found = detectors.detect_events(bars, t, run_date).withColumn("bucket", F.expr(BUCKET))
+    content = _write_events(store, batch, found)
+    _write_state(store, batch, stale, _last_rows(bars, t), settings)
     store.publish(batch)
-    found = {row.event_type for row in content.select("event_type").collect()}
-    return [e for e in DERIVED_TYPES if e in found]
-
+    types = [r["event_type"] for r in content.select("event_type").distinct().collect()]
+    store.merge(DERIVED)
+    return types
 
-def compact(store: TableStore, t: Thresholds) -> None:
-    """Copy the batches of events, and what is kept beside them, into one batch.
 
-    Rows keep what they have, also when they were created. Tables that were
-    not written by increments are left alone.
-    """
-    past = _seen(store)
-    if past is None or len(store.batches(TABLE)) < 2:
-        return
-    batch = store.new_batch(TABLE, replace=True)
-    _write_events(store, batch, store.read(TABLE, EVENTS))
-    tails = store.read(TABLE, BARS, part="tail").dropDuplicates(["ticker", "date"])
-    store.write(past.groupBy("ticker").agg(F.max_by("basis", "last_date").alias("basis"), F.max("last_date").alias("last_date")).select(*SEEN.names), batch, part="seen")
-    store.write(_last_rows(tails, t), batch, part="tail")
-    store.publish(batch)
-
-
-def _basis(store: TableStore, t: Thresholds) -> str:
+def basis(store: TableStore, t: Thresholds) -> str:
     """What past events rest on: the generation of stored bars, and the thresholds."""
-    batches = store.batches("prices")
+    batches = store.batches(PRICES)
     return f"{batches[0].generation.rsplit('/', 1)[1] if batches else None} {t}"
 
 
-def _seen(store: TableStore) -> DataFrame | None:
-    """What the current events were derived from, if every batch has it on record."""
-    batches = store.batches(TABLE)
-    if not batches or not all(store.has_part(b, "seen") for b in batches):
-        return None
-    return store.read(TABLE, SEEN, part="seen")
-
-
 def _last_rows(bars: DataFrame, t: Thresholds) -> DataFrame:
     newest = Window.partitionBy("ticker").orderBy(F.desc("date"))
     age = bars.withColumn("_age", F.row_number().over(newest))
     return age.filter(F.col("_age") <= detectors.lookback_rows(t)).select(*BARS.names)
 
 
+def _content(events: DataFrame) -> DataFrame:
+    """Rows and hashes of events per event type and bucket."""
+    return keyed.fingerprint(events, ["event_type", "bucket"], also_without=["created_at"], prefix="undated")
+
+
 def _write_events(store: TableStore, batch: Batch, rows: DataFrame) -> DataFrame:
     """Write events and their content hashes; returns the latter."""
-    order = ["event_type", "ticker", "date"]
-    written = store.write(
-        rows.select(*EVENTS.names), batch, sort=order, partition_by=["event_type"]
-    )
-    undated = keyed.fingerprint(written, ["event_type"], ignore=["created_at"])
-    content = keyed.fingerprint(written, ["event_type"]).join(
-        undated.select("event_type", F.col("content_hash").alias("undated_hash")), "event_type"
-    )
-    return store.write(content.select(*CONTENT.names).coalesce(1), batch, part="content")
+    written = store.write(DERIVED, rows, batch)
+    return store.write(DERIVED, _content(written).coalesce(1), batch, "content")
 
 
 def _write_state(
-    store: TableStore, batch: Batch, lasts: DataFrame, tail: DataFrame, basis: str
+    store: TableStore, batch: Batch, known: DataFrame, tail: DataFrame | None, settings: str
 ) -> None:
-    seen = lasts.select("ticker", "last_date", F.lit(basis).alias("basis"))
-    store.write(seen, batch, part="seen")
-    store.write(tail, batch, part="tail")
-
-
-def _changed(store: TableStore, content: DataFrame, hash_column: str) -> Sequence[str]:
-    """Event types whose rows differ from the current ones."""
-
-    def totals(df: DataFrame) -> DataFrame:
-        return df.groupBy("event_type").agg(
-            F.sum("n_rows").alias("n_rows"), F.sum(hash_column).alias("content_hash")
-        )
-
-    before = totals(store.read(TABLE, CONTENT, part="content"))
-    differing = keyed.table_diff(before, totals(content)).select("event_type").distinct()
-    # At most as many rows as there are event types.
-    found = {row.event_type for row in differing.collect()}
-    return [e for e in DERIVED_TYPES if e in found]
+    version = F.lit(batch.last).cast("bigint").alias("version")
+    seen = known.select("ticker", "last_date", "replaced_by", F.lit(settings).alias("basis"), version)
+    store.write(DERIVED, seen, batch, "seen")
+    if tail is not None:
+        store.write(DERIVED, tail.withColumn("version", version), batch, "tail")

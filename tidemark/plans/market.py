@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import events, keyed, reference, universe
-from tidemark.plans import derived
+from tidemark.plans import derived, tables
+from tidemark.plans.tables import DERIVED, EARNINGS_ROWS, HOLDINGS, METADATA, PRICES, SECTOR_ROWS
 from tidemark.schemas import (
     BARS,
     DEFAULT_START,
@@ -39,8 +40,9 @@ from tidemark.schemas import (
 )
 from tidemark.session import prepare, settled
 from tidemark.sources import files
-from tidemark.sources.landing import read_landing
-from tidemark.sources.store import Batch, TableStore
+from tidemark.sources import landing
+from tidemark.sources.landing import Taken, read_landing
+from tidemark.sources.store import Batch, Table, TableStore
 
 Tickers = str | Sequence[str] | DataFrame | None
 
@@ -96,24 +98,43 @@ def _are_few(tickers: DataFrame) -> bool:
     return tickers.limit(BROADCAST_TICKERS + 1).count() <= BROADCAST_TICKERS
 
 
-def _landed_for(config: Config, name: str, requested: DataFrame, key: str = "ticker") -> DataFrame:
-    """Landed rows of the requested tickers, found without a shuffle if they are few."""
-    wanted = requested.select(F.col("ticker").alias(key))
-    if _are_few(requested):
+def _of_tickers(rows: DataFrame, tickers: DataFrame, key: str = "ticker") -> DataFrame:
+    """Rows of some tickers, found without a shuffle if those are few."""
+    wanted = tickers.select(F.col("ticker").alias(key))
+    if _are_few(tickers):
         wanted = F.broadcast(wanted)
-    return read_landing(_spark(), config.landing_dir, name).join(wanted, key, "left_semi")
+    return rows.join(wanted, key, "left_semi")
 
 
-def _landed_info(config: Config, requested: DataFrame) -> DataFrame:
-    """The newest landed info of the requested tickers.
+class _Landed(NamedTuple):
+    """Landed rows of some tickers, and the note of the files they came from."""
 
-    If they are many, older copies are dropped before the join, as a ticker's
-    copies would all meet in one task of it.
-    """
-    if _are_few(requested):
-        return reference.parse_info(_landed_for(config, "raw_info", requested))
-    newest = reference.parse_info(read_landing(_spark(), config.landing_dir, "raw_info"))
-    return newest.join(requested.select("ticker"), "ticker", "left_semi")
+    rows: DataFrame
+    taken: Taken | None
+    tickers: DataFrame
+
+    @property
+    def is_new(self) -> bool:
+        return self.taken is not None and self.taken.is_new
+
+
+def _landed_for(
+    store: TableStore, table: Table, config: Config, name: str, tickers: DataFrame, key: str = "ticker", whole: bool = False
+) -> _Landed:
+    """Rows in the files that the tickers still need, or with ``whole`` in all files."""
+    spark = store.spark
+    if tickers.isEmpty():
+        return _Landed(read_landing(spark, config.landing_dir, name, []), None, tickers)
+    taken = landing.take(store, table, config.landing_dir, [name], tickers)
+    if whole:
+        return _Landed(_of_tickers(read_landing(spark, config.landing_dir, name), tickers, key), taken, tickers)
+    readers = {name: lambda s, folder, paths: read_landing(s, folder, name, paths)}
+    new, old = taken.rows(spark, readers), taken.rows(spark, readers, old=True)
+    parts = [_of_tickers(new, tickers, key)] if new is not None else []
+    parts += [_of_tickers(old, taken.behind, key)] if old is not None else []
+    if not parts:
+        return _Landed(read_landing(spark, config.landing_dir, name, []), taken, tickers)
+    return _Landed(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), taken, tickers)
 
 
 def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFrame, reason) -> DataFrame:
@@ -139,18 +160,31 @@ def _status(dataset: str, requested: DataFrame, pending: DataFrame, done: DataFr
 
 
 def _put(
-    store: TableStore, table: str, new: DataFrame, merge: Callable[[DataFrame], DataFrame], replace: bool = True, **layout
+    store: TableStore,
+    table: Table,
+    new: DataFrame,
+    keys: Sequence[str],
+    landed: _Landed,
+    replaced: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Write the new rows beside a batch, what they merge into as its rows, and
-    publish both; nothing if there are none. Returns the new rows as written,
-    so that landed data are read once."""
-    batch = store.new_batch(table, replace=replace)
-    written = store.write(new, batch, part="new")
-    if written.isEmpty():
+    """Publish new rows, one per key, in place of those of the ``replaced`` keys,
+    and the note of what was read; nothing if there is neither. Returns the new
+    rows as written, with all their columns, so that landed data are read once."""
+    batch = store.new_batch(table)
+    order = [c for c in ("position",) if c in new.columns and c not in table.schema.names]
+    written = store.write_scratch(keyed.keep_last(new, keys, order) if order else new, batch, "new")
+    empty = written.isEmpty()
+    if empty and not landed.is_new:
         store.discard(batch)
         return store.spark.createDataFrame([], new.schema)
-    store.write(merge(written), batch, **layout)
+    if not empty:
+        store.write(table, written, batch)
+        if replaced is not None:
+            store.write_replaced(replaced(written), batch)
+    if landed.is_new:
+        landing.note(store, table, batch, landed.taken, landed.tickers)
     store.publish(batch)
+    store.merge(table)
     return written
 
 
@@ -169,39 +203,91 @@ def ingest_prices(
     """Store the landed bars that are newer than each ticker's last one.
 
     New bars are added as a batch; stored ones are not read, as every batch
-    keeps its last dates beside it. ``force`` replaces the whole series of
-    the tickers that have landed bars in range. ``landed`` stands in for the
-    landing table, for a stream's micro-batch.
+    keeps its last dates beside it, and of landed files only those are opened
+    that the tickers still need. Prices may land as rows (``raw_prices``), with
+    a column per ticker and field (``raw_prices_wide``) or with a file per
+    ticker (``raw_prices_by_ticker``). ``force`` replaces the whole series of the
+    tickers that have landed bars in range, and no other rows. ``landed``
+    stands in for the landing tables, for a stream's micro-batch.
     """
     store = _store(config)
     start = _as_date(start_date) or DEFAULT_START
     end = _as_date(end_date) or _run_date(config)
     requested = _requested(config, tickers)
-    raw = read_landing(store.spark, config.landing_dir, "raw_prices") if landed is None else landed
-    usable, rejects = B.split_rejects(B.read_bars(raw))
+    taken, parts, rejects = None, [], []
+    if landed is None:
+        taken = landing.take(store, PRICES, config.landing_dir, list(PRICE_READERS), requested, start, end)
+        new, old = taken.rows(store.spark, PRICE_READERS), taken.rows(store.spark, PRICE_READERS, old=True)
+        if force:
+            new, old = _all_landed_prices(store.spark, config.landing_dir), None
+        if new is not None:
+            usable, unusable = B.split_rejects(new)
+            parts, rejects = [usable], [unusable]
+        if old is not None:
+            parts.append(_of_tickers(B.split_rejects(old)[0], taken.behind))
+    else:
+        usable, unusable = B.split_rejects(B.read_bars(landed))
+        parts, rejects = [usable], [unusable]
+    nothing = B.read_bars(read_landing(store.spark, config.landing_dir, "raw_prices", []))
+    rejected = rejects[0] if rejects else nothing
+    usable = reduce(DataFrame.unionByName, parts) if parts else None
 
     stored_last = derived.stored_last_dates(store)
     windows = B.fetch_windows(requested, stored_last, start, end, force)
-    asked, scan = _scan_bounds(windows, start)
-    usable = B.in_range(usable.filter(scan), end=end)
-    new = B.price_increment(usable, windows, few=asked <= BROADCAST_TICKERS)
-
-    if force:
-        taken = new.select("ticker").distinct()
-        batch = store.new_batch("prices", replace=True)
-        if not new.isEmpty():
-            rest = store.read("prices", BARS).join(taken, "ticker", "left_anti")
-            _write_bars(store, batch, rest.unionByName(new))
-            store.publish(batch)
-    else:
-        batch = store.new_batch("prices", replace=False)
-        taken = _write_bars(store, batch, new)
-        if taken.isEmpty():
-            store.discard(batch)
-            taken = store.spark.createDataFrame([], LAST_DATES)
-        else:
+    got = store.spark.createDataFrame([], LAST_DATES)
+    if usable is not None:
+        asked, scan = _scan_bounds(windows, start)
+        usable = B.in_range(usable.filter(scan), end=end)
+        new = B.price_increment(usable, windows, few=asked <= BROADCAST_TICKERS)
+        batch = store.new_batch(PRICES)
+        got = _write_bars(store, batch, new)
+        is_new = taken is not None and taken.is_new
+        if got.isEmpty():
+            store.drop_parts(batch, ["rows", "last"])
+            got = store.spark.createDataFrame([], LAST_DATES)
+        elif force:
+            store.write_replaced(got.select("ticker"), batch)
+        if is_new:
+            landing.note(store, PRICES, batch, taken, requested, start, end)
+        if is_new or store.has_part(batch, "rows"):
             store.publish(batch)
-    return PriceIngest(settled(B.price_status(windows, taken, force)), rejects)
+    status = settled(B.price_status(windows, got, force))
+    store.merge(PRICES)
+    return PriceIngest(status, rejected)
+
+
+def _long_prices(spark: SparkSession, landing_dir: str, paths: Sequence[str] | None) -> DataFrame:
+    return B.read_bars(read_landing(spark, landing_dir, "raw_prices", paths))
+
+
+def _wide_prices(spark: SparkSession, landing_dir: str, paths: Sequence[str] | None) -> DataFrame:
+    """Wide deliveries, unfolded by the columns any of them has."""
+    folder = f"{landing_dir}/{landing.WIDE_PRICES}"
+    reader = spark.read.option("mergeSchema", True).option("basePath", folder)
+    wide = reader.parquet(*paths) if paths else reader.parquet(folder)
+    return B.read_bars(B.unfold(wide, B.wide_tickers(wide)))
+
+
+def _prices_by_ticker(spark: SparkSession, landing_dir: str, paths: Sequence[str] | None) -> DataFrame:
+    """Deliveries of one ticker each, named by their file."""
+    folder = f"{landing_dir}/{landing.PRICES_BY_TICKER}"
+    reader = spark.read.option("basePath", folder).option("recursiveFileLookup", True)
+    rows = reader.parquet(*paths) if paths else reader.parquet(folder)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.(?:[a-z]+\.)?parquet$", 1)
+    # Names in paths are escaped; a plus sign is itself.
+    return B.read_bars(rows.withColumn("ticker", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))))
+
+
+PRICE_READERS = {
+    "raw_prices": _long_prices,
+    landing.WIDE_PRICES: _wide_prices,
+    landing.PRICES_BY_TICKER: _prices_by_ticker,
+}
+
+
+def _all_landed_prices(spark: SparkSession, landing_dir: str) -> DataFrame | None:
+    there = [read for name, read in PRICE_READERS.items() if files.exists(spark, f"{landing_dir}/{name}")]
+    return reduce(DataFrame.unionByName, [read(spark, landing_dir, None) for read in there]) if there else None
 
 
 def _scan_bounds(windows: DataFrame, start: date) -> tuple[int, Column]:
@@ -225,8 +311,7 @@ def _scan_bounds(windows: DataFrame, start: date) -> tuple[int, Column]:
 
 def _write_bars(store: TableStore, batch: Batch, bars: DataFrame) -> DataFrame:
     """Write a batch of bars with its last dates beside it; returns the latter."""
-    written = store.write(bars.select(*BARS.names), batch, sort=["ticker", "date"], spread=True)
-    return store.write(B.last_dates(written), batch, part="last")
+    return store.write(PRICES, B.last_dates(store.write(PRICES, bars, batch)), batch, "last")
 
 
 def load_prices(
@@ -243,7 +328,7 @@ def load_prices(
     order by (position, date) for the request's order.
     """
     store = _store(config)
-    stored = store.read("prices", BARS)
+    stored = store.read(PRICES)
     if isinstance(tickers, (list, tuple, str)):
         wanted = [tickers] if isinstance(tickers, str) else list(tickers)
         if len(wanted) <= PUSHED_TICKERS:
@@ -264,15 +349,12 @@ def ingest_sectors(tickers: Tickers = None, *, force: bool = False, config: Conf
     """
     store = _store(config)
     requested = _requested(config, tickers)
-    existing = store.read("sectors", SECTORS)
+    existing = store.read(SECTOR_ROWS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
-    info = _landed_info(config, pending)
-    refreshed = requested if force else None
-
-    def merged(new: DataFrame) -> DataFrame:
-        return keyed.merge_snapshot(existing, new, SECTORS.names, ["ticker"], refreshed)
-
-    new = _put(store, "sectors", reference.sector_rows(info, _run_date(config)), merged, sort=["ticker"])
+    landed = _landed_for(store, SECTOR_ROWS, config, "raw_info", pending, whole=force)
+    rows = reference.sector_rows(reference.parse_info(landed.rows), _run_date(config))
+    replaced = (lambda _: requested.select("ticker")) if force else None
+    new = _put(store, SECTOR_ROWS, rows, ["ticker"], landed, replaced)
     return _status("sectors", requested, pending, new, "no info delivered")
 
 
@@ -287,10 +369,12 @@ def ingest_etf_metadata(
     """
     store = _store(config)
     requested = _requested(config, etfs, "etfs")
-    existing = store.read("etf_metadata", ETF_METADATA)
+    existing = store.read(METADATA)
     complete = existing.filter("inception_date IS NOT NULL") if retry_missing else existing
     pending = requested if force else keyed.missing_from_snapshot(requested, complete)
-    info = _landed_info(config, pending)
+    again = force or retry_missing
+    landed = _landed_for(store, METADATA, config, "raw_info", pending, whole=again)
+    info = reference.parse_info(landed.rows)
     try:
         listed = files.read_etfs(store.spark, config.universe_dir)
     except files.UniverseSnapshotMissing:
@@ -298,12 +382,8 @@ def ingest_etf_metadata(
     informed = info.withColumn("informed", F.lit(True))
     rows = reference.metadata_rows(pending, info, listed, _run_date(config))
     rows = rows.join(informed.select("ticker", "informed"), "ticker", "left")
-    refreshed = requested if force else None
-
-    def merged(new: DataFrame) -> DataFrame:
-        return keyed.merge_snapshot(existing, new, ETF_METADATA.names, ["ticker"], refreshed)
-
-    new = _put(store, "etf_metadata", rows, merged, sort=["ticker"])
+    replaced = (lambda new: (requested if force else new).select("ticker")) if again else None
+    new = _put(store, METADATA, rows, ["ticker"], landed, replaced)
     return _status("etf_metadata", requested, pending, new.filter("informed"), "no info delivered")
 
 
@@ -315,19 +395,13 @@ def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config
     """
     store = _store(config)
     requested = _requested(config, etfs, "etfs")
-    existing = store.read("etf_holdings", ETF_HOLDINGS)
+    existing = store.read(HOLDINGS)
     held = existing.select(F.col("etf").alias("ticker")).distinct()
     pending = requested if force else keyed.missing_from_snapshot(requested, held)
-    raw = keyed.newest_delivery(_landed_for(config, "raw_holdings", pending, key="etf"), "etf")
-
-    def merged(new: DataFrame) -> DataFrame:
-        if not force:
-            return new
-        kept = existing.join(new.select("etf").distinct(), "etf", "left_anti")
-        return kept.select(*ETF_HOLDINGS.names).unionByName(new)
-
-    layout = {"sort": ["etf", "position"], "spread": True, "partition_by": ["etf"]}
-    new = _put(store, "etf_holdings", reference.normalise_holdings(raw, _run_date(config)), merged, force, **layout)
+    landed = _landed_for(store, HOLDINGS, config, "raw_holdings", pending, key="etf", whole=force)
+    raw = keyed.newest_delivery(landed.rows, "etf")
+    replaced = (lambda new: new.select("etf")) if force else None
+    new = _put(store, HOLDINGS, reference.normalise_holdings(raw, _run_date(config)), [], landed, replaced)
     done = new.select(F.col("etf").alias("ticker")).distinct()
     return _status("etf_holdings", requested, pending, done, "no holdings delivered")
 
@@ -351,24 +425,24 @@ def ingest_reference(
     )
 
 
-def _load_snapshot(config: Config, table: str, schema) -> DataFrame:
+def _load_snapshot(config: Config, table: Table) -> DataFrame:
     store = _store(config)
     if not store.exists(table):
-        raise FileNotFoundError(f"{config.data_dir}/{table} not found. Run tidemark.ingest_reference")
-    return store.read(table, schema)
+        raise FileNotFoundError(f"{config.data_dir}/{table.name} not found. Run tidemark.ingest_reference")
+    return store.read(table)
 
 
 def load_sectors(*, config: Config) -> DataFrame:
-    return _load_snapshot(config, "sectors", SECTORS)
+    return _load_snapshot(config, SECTOR_ROWS)
 
 
 def load_etf_metadata(*, config: Config) -> DataFrame:
-    return _load_snapshot(config, "etf_metadata", ETF_METADATA)
+    return _load_snapshot(config, METADATA)
 
 
 def load_etf_holdings(etf: str, *, config: Config) -> DataFrame:
     """Holdings of one ETF; `position` is their delivered order."""
-    held = _load_snapshot(config, "etf_holdings", ETF_HOLDINGS).filter(F.col("etf") == etf)
+    held = _load_snapshot(config, HOLDINGS).filter(F.col("etf") == etf)
     if held.isEmpty():
         raise FileNotFoundError(f"no holdings of {etf}. Run tidemark.ingest_etf_constituents")
     return held
@@ -391,16 +465,13 @@ def ingest_earnings(tickers: Tickers = None, *, force: bool = False, config: Con
     """
     store = _store(config)
     requested = _requested(config, tickers)
-    existing = store.read("earnings", EARNINGS)
+    existing = store.read(EARNINGS_ROWS)
     pending = requested if force else keyed.missing_from_snapshot(requested, existing)
-    raw = keyed.newest_delivery(_landed_for(config, "raw_earnings", pending), "ticker")
-    refreshed = requested if force else None
-
-    def merged(new: DataFrame) -> DataFrame:
-        return keyed.merge_snapshot(existing, new, EARNINGS.names, ["ticker", "date"], refreshed)
-
+    landed = _landed_for(store, EARNINGS_ROWS, config, "raw_earnings", pending, whole=force)
+    raw = keyed.newest_delivery(landed.rows, "ticker")
     rows = events.normalise_earnings(raw, _run_date(config))
-    new = _put(store, "earnings", rows, merged, sort=["ticker", "date"])
+    replaced = (lambda _: requested.select("ticker")) if force else None
+    new = _put(store, EARNINGS_ROWS, rows, ["ticker", "date"], landed, replaced)
     return _status("earnings", requested, pending, new, "no readable earnings dates delivered")
 
 
@@ -429,9 +500,7 @@ def ingest_derived_events(
     if incremental and not force:
         changed = derived.refresh_new(store, requested, config.events, today)
     else:
-        changed = derived.refresh_all(
-            store, requested, config.events, today, force, ignore_created_at
-        )
+        changed = derived.refresh_all(store, requested, config.events, today, ignore_created_at)
     return DerivedEvents(changed, missing)
 
 
@@ -477,12 +546,16 @@ def load_events(
     """Events by type, ticker and date; "all" has the columns of every type."""
     store = _store(config)
     if event_type == "earnings":
-        tables = [store.read("earnings", EARNINGS)]
+        stored = [store.read(EARNINGS_ROWS)]
     elif event_type in EVENT_COLUMNS:
-        tables = [store.read(derived.TABLE, EVENTS)]
+        stored = [_derived(store)]
     else:
-        tables = [store.read("earnings", EARNINGS), store.read(derived.TABLE, EVENTS)]
-    return events.select_events(events.union_events(*tables), event_type, tickers, start, end)
+        stored = [store.read(EARNINGS_ROWS), _derived(store)]
+    return events.select_events(events.union_events(*stored), event_type, tickers, start, end)
+
+
+def _derived(store: TableStore) -> DataFrame:
+    return store.read(DERIVED).select(*EVENTS.names)
 
 
 # --- universe ---------------------------------------------------------------
@@ -563,16 +636,8 @@ def store_fingerprint(*, config: Config) -> DataFrame:
     Equal before and after a rerun that had nothing to do.
     """
     store = _store(config)
-    tables = {
-        "prices": BARS,
-        "sectors": SECTORS,
-        "etf_metadata": ETF_METADATA,
-        "etf_holdings": ETF_HOLDINGS,
-        "earnings": EARNINGS,
-        derived.TABLE: EVENTS,
-    }
     totals = [
-        keyed.fingerprint(store.read(name, schema)).select(F.lit(name).alias("table"), "n_rows", "content_hash")
-        for name, schema in tables.items()
+        keyed.fingerprint(store.read(t)).select(F.lit(t.name).alias("table"), "n_rows", "content_hash")
+        for t in tables.ALL
     ]
     return reduce(DataFrame.unionByName, totals)

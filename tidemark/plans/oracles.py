@@ -6,11 +6,12 @@ from tidemark.schemas import DERIVED_TYPES, EVENT_COLUMNS, EVENTS, Thresholds
 
 STANDARD = Thresholds()
 STRICT = Thresholds(drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
+LONG = Thresholds(drawdown_window_days=2_500, drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
 
 RUN_DATE = "DATE '2024-02-01'"
 
 # Results of summing doubles, whose last digits depend on the order of rows.
-INEXACT = {"volume_zscore", "trailing_mean", "trailing_std", "avg_dollar_volume"}
+INEXACT = {"avg_dollar_volume"}
 
 
 def _bars(key: str, source: str, name: str = "bars", where: str = "TRUE") -> str:
@@ -79,10 +80,12 @@ def _marked(t: Thresholds) -> dict[str, str]:
   SELECT ticker, date, {_stamp("volume_spikes", DERIVED)}, {spike_days} AS window_days,
     {t.volume_spike_zscore} AS zscore_threshold,
     (volume - trailing_mean) / trailing_std AS volume_zscore, volume, trailing_mean, trailing_std
-  FROM (SELECT *, avg(volume) OVER w AS trailing_mean, stddev_samp(volume) OVER w AS trailing_std,
-      count(volume) OVER w AS n
-    FROM bars
-    WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {spike_days} PRECEDING AND 1 PRECEDING)) m
+  FROM (SELECT *, CAST(s AS DOUBLE) / {spike_days} AS trailing_mean,
+      sqrt(CAST({spike_days} * q - s * s AS DOUBLE) / {spike_days * (spike_days - 1)}) AS trailing_std
+    FROM (SELECT *, sum(CAST(volume AS HUGEINT)) OVER w AS s, sum(CAST(volume AS HUGEINT) * volume) OVER w AS q,
+        count(volume) OVER w AS n
+      FROM bars
+      WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {spike_days} PRECEDING AND 1 PRECEDING)) sums) m
   WHERE n = {spike_days} AND trailing_std > 0
     AND (volume - trailing_mean) / trailing_std >= CAST({t.volume_spike_zscore} AS DOUBLE)""",
     }
@@ -113,17 +116,18 @@ LATER_EARNINGS = EARNINGS.replace(
 )
 
 HASHED = {
-    "orders": "o_custkey o_orderdate o_orderkey o_orderpriority o_orderstatus o_totalprice",
-    "lineitem": "l_discount l_extendedprice l_linenumber l_linestatus l_orderkey l_partkey l_quantity l_returnflag "
+    "orders": "o_custkey o_orderdate o_orderkey O_ORDERPRIORITY O_ORDERSTATUS o_totalprice",
+    "lineitem": "l_discount l_extendedprice l_linenumber L_LINESTATUS l_orderkey l_partkey l_quantity L_RETURNFLAG "
     "l_shipdate l_suppkey l_tax",
-    "events": "event_id event_type props ts user_id value",
+    "events": "event_id EVENT_TYPE PROPS ts user_id value",
 }
 
 
 def _fingerprint(table: str, columns: str) -> str:
-    """Rows and summed leading bits of the MD5 of each row's text."""
+    """Rows and summed leading bits of the MD5 of each row's text; names in capitals are texts."""
     texts = ", ".join(
-        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'null')" for c in columns.split()
+        f"coalesce(length({c}) || ':' || {c}, 'null')" if c.isupper() else f"coalesce(CAST({c} AS VARCHAR), 'null')"
+        for c in columns.split()
     )
     bits = f"CAST('0x' || substr(md5(concat_ws(',', {texts})), 1, 15) AS BIGINT)"
     return f"""SELECT '{table}' AS "table", count(*) AS n_rows,
@@ -214,6 +218,8 @@ ORACLES: dict[str, str] = {
     "volume_spikes": _detector("volume_spikes", STANDARD),
     "derived_events": f"WITH {BARS} {_derived(STRICT)}",
     "derived_events_split": f"WITH {BARS} {_derived(STRICT)}",
+    "drawdowns_long_window": _detector("drawdowns", LONG),
+    "derived_events_long_window": f"WITH {BARS} {_derived(LONG)}",
     "events_all": f"WITH {BARS} {ALL_EVENTS}",
     "events_filtered": f"""WITH {BARS} SELECT * FROM ({ALL_EVENTS}) e
       WHERE ticker IN ('Brand#3', 'Brand#12', '17')
@@ -268,6 +274,27 @@ ORACLES: dict[str, str] = {
       kept AS (SELECT * FROM bars WHERE date < DATE '1999-01-01' AND ticker <> 'Brand#7'
         UNION ALL SELECT * REPLACE (close * CAST(1.01 AS DOUBLE) AS close) FROM increment)
       SELECT position, kept.* FROM kept JOIN request r ON kept.ticker = r.ticker""",
+    "store_prices_forced": f"""WITH {BARS}, {BRANDS},
+      kept AS (SELECT * FROM bars WHERE ticker NOT LIKE 'Brand#1%'
+        UNION ALL SELECT * REPLACE (close * CAST(1.01 AS DOUBLE) AS close) FROM bars
+          WHERE ticker LIKE 'Brand#1%' AND date >= DATE '1998-12-22')
+      SELECT position, kept.* FROM kept JOIN brands ON kept.ticker = brands.ticker""",
+    "store_prices_wide": f"""WITH {BARS}, {BRANDS}
+      SELECT position, b.* FROM bars b JOIN brands ON b.ticker = brands.ticker""",
+    "store_prices_order": f"""WITH {BARS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order,
+        CAST(0 AS BIGINT) AS n_overlapping_files FROM bars""",
+    "price_status_current": f"""WITH {BARS}, {REQUEST},
+      last AS (SELECT ticker, max(date) AS last_date FROM bars
+        WHERE date < DATE '1999-01-01' AND ticker <> 'Brand#7' GROUP BY ticker)
+      SELECT 'prices' AS dataset, r.ticker,
+        CASE WHEN last_date >= DATE '1998-12-30' THEN 'already_current'
+          WHEN last_date IS NOT NULL THEN 'no_new_bars' ELSE 'skipped' END AS status,
+        CASE WHEN last_date IS NULL THEN 'no bars delivered in range' END AS reason
+      FROM request r LEFT JOIN last l ON r.ticker = l.ticker""",
+    "manifest_hashes": """
+      SELECT 'region=' || n_regionkey AS folder, CAST(sum(strlen(line)) AS BIGINT) AS size_bytes,
+        sha256(string_agg(line, '' ORDER BY n_nationkey)) AS sha256
+      FROM (SELECT *, n_nationkey || ',' || n_name || chr(10) AS line FROM nation) l GROUP BY n_regionkey""",
     "metadata_from_info": METADATA,
     "holdings_normalized": f"""WITH {HELD} SELECT etf, CAST(position AS BIGINT) AS position, ticker,
         'Holding of ' || ticker AS name,
@@ -304,11 +331,18 @@ ORACLES: dict[str, str] = {
       users AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker FROM events),
       earning AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS ticker FROM events WHERE event_type = 'signup'),
       asked AS (SELECT ticker FROM brands UNION SELECT ticker FROM users),
+      listed AS (SELECT ticker FROM brands WHERE ticker LIKE 'Brand#1%'
+        UNION SELECT ticker FROM users WHERE CAST(ticker AS BIGINT) % 5 = 0),
+      holding AS (SELECT ticker FROM users WHERE CAST(ticker AS BIGINT) % 10 = 0),
       found AS ({_derived(STRICT)})
       SELECT 'prices' AS dataset, ticker, CASE WHEN ticker IN (SELECT ticker FROM bars) THEN 'updated' ELSE 'skipped' END AS status,
         CASE WHEN ticker NOT IN (SELECT ticker FROM bars) THEN 'no bars delivered in range' END AS reason FROM asked
       UNION ALL SELECT 'sectors', ticker, CASE WHEN ticker IN (SELECT ticker FROM users) THEN 'updated' ELSE 'skipped' END,
         CASE WHEN ticker NOT IN (SELECT ticker FROM users) THEN 'no info delivered' END FROM asked
+      UNION ALL SELECT 'etf_metadata', ticker, CASE WHEN ticker IN (SELECT ticker FROM users) THEN 'updated' ELSE 'skipped' END,
+        CASE WHEN ticker NOT IN (SELECT ticker FROM users) THEN 'no info delivered' END FROM listed
+      UNION ALL SELECT 'etf_holdings', ticker, CASE WHEN ticker IN (SELECT ticker FROM holding) THEN 'updated' ELSE 'skipped' END,
+        CASE WHEN ticker NOT IN (SELECT ticker FROM holding) THEN 'no holdings delivered' END FROM listed
       UNION ALL SELECT 'earnings', ticker, CASE WHEN ticker IN (SELECT ticker FROM earning) THEN 'updated' ELSE 'skipped' END,
         CASE WHEN ticker NOT IN (SELECT ticker FROM earning) THEN 'no readable earnings dates delivered' END FROM asked
       UNION ALL SELECT type, NULL, CASE WHEN type IN (SELECT event_type FROM found) THEN 'updated' ELSE 'already_current' END, NULL

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
 from tidemark.operators import detectors, events, keyed, reference, summary, universe
-from tidemark.plans import derived, market, standins
-from tidemark.schemas import ETF_HOLDINGS, ETFS, Config, Thresholds
+from tidemark.plans import market, standins
+from tidemark.plans.tables import DERIVED, HOLDINGS, PRICES
+from tidemark.schemas import ETFS, Config, Thresholds
 from tidemark.session import prepare, shared_folder
 from tidemark.sources import files
 from tidemark.sources.store import TableStore
@@ -25,6 +26,8 @@ RUN_DATE = date(2024, 2, 1)
 STANDARD = Thresholds()
 # Prices in the test tables jump about, so that the defaults flag most days.
 STRICT = Thresholds(drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
+# About ten years of trading days.
+LONG = Thresholds(drawdown_window_days=2_500, drawdown_threshold_pct=0.98, gap_threshold_pct=40.0)
 
 # The price ingest: what is stored, and what is delivered on top of it.
 EARLIEST = date(1990, 1, 1)
@@ -41,7 +44,7 @@ LOADED_FROM, LOADED_TO = date(1996, 3, 1), date(1998, 2, 28)
 
 
 # Results of summing doubles, whose last digits depend on the order of rows.
-INEXACT = {"volume_zscore", "trailing_mean", "trailing_std", "avg_dollar_volume"}
+INEXACT = {"avg_dollar_volume"}
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -152,6 +155,13 @@ def price_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.price_status(windows, taken)
 
 
+def price_status_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asked for up to a day that most tickers already have, with nothing delivered."""
+    end = date(1998, 12, 30)
+    windows = B.fetch_windows(brand_and_type_request(spark, sf_dir), _stored_last(spark, sf_dir), EARLIEST, end)
+    return B.price_status(windows, windows.filter("false").select("ticker"))
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.run_summary(price_status(spark, sf_dir))
 
@@ -168,15 +178,18 @@ def wide_to_long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars spread to a column per ticker and field, and folded back."""
     # A wide table has a column for each of them, so a list of them fits anywhere.
     tickers = [r["ticker"] for r in brand_request(spark, sf_dir).orderBy("position").collect()]
+    return B.wide_to_long(_wide(standins.bars(spark, sf_dir), tickers), tickers)
+
+
+def _wide(bars: DataFrame, tickers: list[str]) -> DataFrame:
+    """Bars with a column per ticker and field, under the names of a delivery."""
     fields = {raw: name for raw, name in B.RAW_TO_BAR.items() if raw != "Date"}
     wide = (
-        standins.bars(spark, sf_dir)
-        .groupBy(F.col("date").alias("Date"))
+        bars.groupBy(F.col("date").alias("Date"))
         .pivot("ticker", tickers)
         .agg(*[F.max(name).alias(raw) for raw, name in fields.items()])
     )
-    wide = wide.toDF("Date", *[f"{t}|{raw}" for t in tickers for raw in fields])
-    return B.wide_to_long(wide, tickers)
+    return wide.toDF("Date", *[f"{t}|{raw}" for t in tickers for raw in fields])
 
 
 # --- keyed tables -----------------------------------------------------------
@@ -223,7 +236,7 @@ def snapshot_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = [
-        keyed.fingerprint(standins.table(spark, sf_dir, name)).select(
+        keyed.portable_fingerprint(standins.table(spark, sf_dir, name)).select(
             F.lit(name).alias("table"), "n_rows", F.col("content_hash").cast("string").alias("content_hash")
         )
         for name in ("orders", "lineitem", "events")
@@ -336,6 +349,19 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.data_store_manifest(spark, sf_dir)
 
 
+def manifest_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of text files, one for each region, written from the nations."""
+    path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    lines = standins.table(spark, sf_dir, "nation").select(
+        F.concat_ws(",", "n_nationkey", "n_name").alias("value"), F.col("n_regionkey").alias("region"), "n_nationkey"
+    )
+    ordered = lines.repartition("region").sortWithinPartitions("region", "n_nationkey").drop("n_nationkey")
+    ordered.write.partitionBy("region").text(path)
+    files.write_manifest(spark, path, f"{path}.csv")
+    written = spark.read.schema("path string, size_bytes bigint, sha256 string").option("header", True).csv(f"{path}.csv")
+    return written.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "size_bytes", "sha256")
+
+
 # --- the store --------------------------------------------------------------
 
 
@@ -364,6 +390,58 @@ def store_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.load_prices(asked, adjusted=False, config=config).df
 
 
+def store_prices_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars ingested, in two parts; then some brands delivered anew from a day on, and replaced."""
+    config = _new_store(spark)
+    asked = brand_request(spark, sf_dir)
+    for start, end in ((EARLIEST, LAST_STORED), (CUTOFF, DELIVERED_TO)):
+        landed = _as_delivered(standins.bars(spark, sf_dir, start, end))
+        market.ingest_prices(asked, start_date=start, end_date=end, config=config, landed=landed)
+    some = asked.filter("ticker LIKE 'Brand#1%'")
+    revised = _delivered(spark, sf_dir).filter("ticker LIKE 'Brand#1%'")
+    market.ingest_prices(some, start_date=DELIVERED_FROM, end_date=DELIVERED_TO, force=True, config=config, landed=revised)
+    return market.load_prices(asked, adjusted=False, config=config).df
+
+
+def store_prices_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars landed wide, ingested; later ones landed as rows, and only those files opened."""
+    config = _new_store(spark)
+    asked = brand_request(spark, sf_dir)
+    tickers = [r["ticker"] for r in asked.orderBy("position").collect()]  # a column for each of them
+    _wide(standins.bars(spark, sf_dir, end=LAST_STORED), tickers).write.parquet(f"{config.landing_dir}/raw_prices_wide")
+    market.ingest_prices(asked, start_date=EARLIEST, config=config)
+    later = _as_delivered(standins.bars(spark, sf_dir, start=CUTOFF))
+    later.withColumn("position", F.lit(0)).write.parquet(f"{config.landing_dir}/raw_prices")
+    market.ingest_prices(asked, start_date=EARLIEST, config=config)
+    return market.load_prices(asked, adjusted=False, config=config).df
+
+
+def store_prices_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of stored bars, those that do not follow the row before them in their
+    file, and files whose range of (ticker, date) meets that of the one before."""
+    config = _new_store(spark)
+    landed = _as_delivered(standins.bars(spark, sf_dir))
+    market.ingest_prices(brand_request(spark, sf_dir), start_date=EARLIEST, config=config, landed=landed)
+    (batch,) = TableStore(spark, config.data_dir).batches(PRICES)
+    key = F.struct("ticker", "date")
+    rows = spark.read.parquet(batch.part("rows")).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), key.alias("key")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
+    per_file = (
+        rows.withColumn("ordered", before.isNull() | (before < F.col("key")))
+        .groupBy("file")
+        .agg(F.count("*").alias("n"), F.sum(F.when(~F.col("ordered"), 1).otherwise(0)).alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high"))
+    )
+    # One row per file.
+    meets = F.lag("high").over(Window.orderBy("low")) >= F.col("low")
+    return per_file.withColumn("meets", meets).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("wrong").alias("n_out_of_order"),
+        F.sum(F.when(F.col("meets"), 1).otherwise(0)).alias("n_overlapping_files"),
+    )
+
+
 def store_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars ingested in two parts, the events of each derived as it comes."""
     config = _new_store(spark, STRICT)
@@ -398,8 +476,10 @@ def store_events_many(spark: SparkSession, sf_dir: str) -> DataFrame:
         landed = _as_delivered(standins.bars(spark, sf_dir, start, end))
         market.ingest_prices(asked, start_date=start, end_date=end, config=day, landed=landed)
         market.ingest_derived_events(asked, config=day, incremental=True)
-        if k % 4 == 3:
-            derived.compact(TableStore(spark, config.data_dir), config.events)
+        if k % 4 == 3:  # whatever their sizes
+            for table in (PRICES, DERIVED):
+                store = TableStore(spark, config.data_dir)
+                store.merge_newest(table, len(store.batches(table)))
     return _rounded(market.load_events("all", config=config))
 
 
@@ -414,7 +494,7 @@ def store_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     newer = raw.filter("etf < 'ASIB' AND position % 2 = 0").withColumn("Name", F.concat(F.lit("New "), "Name"))
     newer.withColumn("delivery", F.lit(2)).write.mode("append").parquet(landing)
     market.ingest_etf_constituents(funds, force=True, config=config)
-    return TableStore(spark, config.data_dir).read("etf_holdings", ETF_HOLDINGS)
+    return TableStore(spark, config.data_dir).read(HOLDINGS)
 
 
 def store_earnings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,9 +545,16 @@ def store_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     _as_delivered(standins.bars(spark, sf_dir)).withColumn("position", F.lit(0)).write.parquet(f"{config.landing_dir}/raw_prices")
     standins.raw_info(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_info")
     standins.raw_earnings(spark, sf_dir).write.parquet(f"{config.landing_dir}/raw_earnings")
-    spark.createDataFrame([], ETFS).write.option("header", True).csv(f"{config.universe_dir}/etfs.csv")
     users = standins.table(spark, sf_dir, "events").selectExpr("user_id AS position", "CAST(user_id AS STRING) AS ticker")
     asked = keyed.unique_ordered(brand_request(spark, sf_dir).unionByName(users))
+    # Some brands, without info or holdings, and some users are listed as ETFs; some of those have holdings.
+    listed = asked.filter("ticker LIKE 'Brand#1%' OR try_cast(ticker AS BIGINT) % 5 = 0")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in ETFS if f.name != "ticker"]
+    files.write_csv(listed.select("ticker", *nulls), f"{config.universe_dir}/etfs.csv")
+    held = listed.filter("try_cast(ticker AS BIGINT) % 10 = 0").selectExpr(
+        "ticker AS etf", "position", "'Brand#11' AS Symbol", "'One holding' AS Name", "'0.5' AS `Holding Percent`"
+    )
+    held.write.parquet(f"{config.landing_dir}/raw_holdings")
     done = market.ingest_all(asked, start_date=EARLIEST, config=config)
     return done.prices.status.unionByName(done.reference).unionByName(done.events)
 
@@ -501,6 +588,8 @@ QUERIES: dict[str, Query] = {
     "volume_spikes": _detector(detectors.volume_spikes, STANDARD),
     "derived_events": _detector(detectors.detect_events, STRICT),
     "derived_events_split": _detector(detectors.detect_events, STRICT, split_rows=256),
+    "drawdowns_long_window": _detector(detectors.drawdowns, LONG),
+    "derived_events_long_window": _detector(detectors.detect_events, LONG),
     "events_all": events_all,
     "events_filtered": events_filtered,
     "load_prices_adjusted": load_prices_adjusted,
@@ -508,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "missing_tickers": missing_tickers,
     "price_increment": price_increment,
     "price_status": price_status,
+    "price_status_current": price_status_current,
     "run_summary": run_summary,
     "updated_tickers": updated_tickers,
     "last_dates": last_dates,
@@ -529,7 +619,11 @@ QUERIES: dict[str, Query] = {
     "etf_enriched": etf_enriched,
     "dirty_csv_holdings": dirty_csv_holdings,
     "manifest": manifest,
+    "manifest_hashes": manifest_hashes,
     "store_prices": store_prices,
+    "store_prices_forced": store_prices_forced,
+    "store_prices_wide": store_prices_wide,
+    "store_prices_order": store_prices_order,
     "store_events": store_events,
     "store_sectors": store_sectors,
     "store_events_many": store_events_many,

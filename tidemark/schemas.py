@@ -74,17 +74,19 @@ EVENTS = _schema(
     "zscore_threshold double, volume_zscore double, volume bigint, "
     "trailing_mean double, trailing_std double"
 )
-# Row count and content hashes per event type, kept beside a batch of events.
+# Row count and content hashes per event type and bucket of tickers.
 CONTENT = T.StructType(
     [
         T.StructField("event_type", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("content_hash", T.DecimalType(38, 0)),
         T.StructField("undated_hash", T.DecimalType(38, 0)),
     ]
 )
-# The last bar of each ticker that events were derived from.
-SEEN = _schema("ticker string, last_date date, basis string")
+# The last bar of each ticker that events were derived from, the batch that last
+# replaced its bars, the settings, and the batch of events that says so.
+SEEN = _schema("ticker string, last_date date, replaced_by bigint, basis string, version bigint")
 EARNINGS = T.StructType([EVENTS[c] for c in EVENT_COLUMNS["earnings"]])
 
 STATUS = _schema("dataset string, ticker string, status string, reason string")

@@ -36,6 +36,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder; 0 if it does not exist."""
+    target, fs = _hadoop(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def create_empty(spark: SparkSession, path: str) -> None:
     target, fs = _hadoop(spark, path)
     fs.create(target, False).close()
