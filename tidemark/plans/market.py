@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as B
+from tidemark.functions.scalars import require_columns
 from tidemark.operators import events, keyed, reference, universe
 from tidemark.plans import derived, tables
 from tidemark.plans.tables import DERIVED, EARNINGS_ROWS, HOLDINGS, METADATA, PRICES, SECTOR_ROWS
@@ -406,6 +407,72 @@ def ingest_etf_constituents(etfs: Tickers = None, *, force: bool = False, config
     return _status("etf_holdings", requested, pending, done, "no holdings delivered")
 
 
+class _Delivery(NamedTuple):
+    """How a stream's rows of one kind become rows of a table."""
+
+    table: Table
+    key: str
+    order: str  # says which delivery of a key is newer
+    keys: Sequence[str]
+    rows: Callable[[DataFrame, Config], DataFrame]
+
+
+def _delivered_metadata(raw: DataFrame, config: Config) -> DataFrame:
+    try:
+        listed = files.read_etfs(raw.sparkSession, config.universe_dir)
+    except files.UniverseSnapshotMissing:
+        listed = raw.sparkSession.createDataFrame([], ETFS).withColumn("position", F.lit(0))
+    info = reference.parse_info(raw)
+    return reference.metadata_rows(info.select("ticker"), info, listed, _run_date(config))
+
+
+DELIVERIES = {
+    "sectors": _Delivery(
+        SECTOR_ROWS, "ticker", "position", ["ticker"], lambda raw, c: reference.sector_rows(reference.parse_info(raw), _run_date(c))
+    ),
+    "etf_metadata": _Delivery(METADATA, "ticker", "position", ["ticker"], _delivered_metadata),
+    "etf_holdings": _Delivery(
+        HOLDINGS, "etf", "delivery", [], lambda raw, c: reference.normalise_holdings(raw.drop("delivery"), _run_date(c))
+    ),
+    "earnings": _Delivery(
+        EARNINGS_ROWS, "ticker", "delivery", ["ticker", "date"], lambda raw, c: events.normalise_earnings(raw.drop("delivery"), _run_date(c))
+    ),
+}
+
+
+def deliver(dataset: str, landed: DataFrame, tickers: Tickers = None, *, config: Config) -> DataFrame:
+    """Store rows as they are delivered, those of each key's newest delivery only.
+
+    A delivery that is newer than what was delivered before replaces the key's
+    rows as a whole; one that is not, as when a stream's batch is replayed or
+    comes late, changes nothing. One without a readable row changes none.
+    Rows without a key or a delivery number are left out. Returns the keys
+    taken, with their ``delivery``. ``tickers`` bounds the keys, if given.
+    """
+    kind = DELIVERIES[dataset]
+    require_columns(landed.columns, [kind.key, kind.order], f"delivered {dataset}")
+    store = _store(config)
+    if tickers is not None:
+        landed = _of_tickers(landed, _requested(config, tickers), kind.key)
+    newest = landed.groupBy(F.col(kind.key).alias("key")).agg(F.max(kind.order).cast("bigint").alias("delivery"))
+    before = tables.newest_delivered(store.read(kind.table, "delivered")).withColumnRenamed("delivery", "_before")
+    fresh = newest.filter("key IS NOT NULL AND delivery IS NOT NULL").join(before, "key", "left")
+    fresh = settled(fresh.filter("_before IS NULL OR delivery > _before").select("key", "delivery"))
+    if fresh.isEmpty():
+        return fresh
+    raw = landed.join(fresh.withColumnRenamed("delivery", "_delivery"), F.col(kind.key) == F.col("key"))
+    raw = raw.filter(F.col(kind.order).cast("bigint") == F.col("_delivery")).select(*landed.columns)
+    rows = kind.rows(raw, config)
+    order = [c for c in ("position",) if c in rows.columns and c not in kind.table.schema.names]
+    batch = store.new_batch(kind.table)
+    written = store.write(kind.table, keyed.keep_last(rows, kind.keys, order) if kind.keys else rows, batch)
+    store.write_replaced(written.select(kind.key), batch)
+    store.write(kind.table, fresh, batch, "delivered")
+    store.publish(batch)
+    store.merge(kind.table)
+    return fresh
+
+
 def ingest_reference(
     tickers: Tickers = None, *, force: bool = False, config: Config
 ) -> DataFrame:

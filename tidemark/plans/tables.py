@@ -31,8 +31,18 @@ def newest_version(df: DataFrame) -> DataFrame:
     return df.withColumn("_newest", newest).filter("version = _newest").drop("_newest")
 
 
+#: The newest delivery of each key that a stream has brought.
+DELIVERED = T.StructType([T.StructField("key", T.StringType()), T.StructField("delivery", T.LongType())])
+
+
+def newest_delivered(df: DataFrame) -> DataFrame:
+    return df.groupBy("key").agg(F.max("delivery").alias("delivery"))
+
+
 _LEDGER = {"landed": LANDED, "asked": ASKED}
 _REDUCE_LEDGER = {"landed": newest_landed, "asked": newest_asked}
+_BESIDE = {**_LEDGER, "delivered": DELIVERED}
+_REDUCE_BESIDE = {**_REDUCE_LEDGER, "delivered": newest_delivered}
 
 PRICES = Table(
     "prices",
@@ -44,8 +54,8 @@ PRICES = Table(
     keyed=("rows", "last"),
     reduce={"last": _last, **_REDUCE_LEDGER},
 )
-SECTOR_ROWS = Table("sectors", SECTORS, "ticker", sort=("ticker",), parts=_LEDGER, reduce=_REDUCE_LEDGER)
-METADATA = Table("etf_metadata", ETF_METADATA, "ticker", sort=("ticker",), parts=_LEDGER, reduce=_REDUCE_LEDGER)
+SECTOR_ROWS = Table("sectors", SECTORS, "ticker", sort=("ticker",), parts=_BESIDE, reduce=_REDUCE_BESIDE)
+METADATA = Table("etf_metadata", ETF_METADATA, "ticker", sort=("ticker",), parts=_BESIDE, reduce=_REDUCE_BESIDE)
 HOLDINGS = Table(
     "etf_holdings",
     ETF_HOLDINGS,
@@ -53,10 +63,10 @@ HOLDINGS = Table(
     sort=("etf", "position"),
     partition_by=("etf",),
     spread=True,
-    parts=_LEDGER,
-    reduce=_REDUCE_LEDGER,
+    parts=_BESIDE,
+    reduce=_REDUCE_BESIDE,
 )
-EARNINGS_ROWS = Table("earnings", EARNINGS, "ticker", sort=("ticker", "date"), parts=_LEDGER, reduce=_REDUCE_LEDGER)
+EARNINGS_ROWS = Table("earnings", EARNINGS, "ticker", sort=("ticker", "date"), parts=_BESIDE, reduce=_REDUCE_BESIDE)
 #: Beside events: hashes per bucket; the last bar of each ticker they were derived
 #: from; and the last bars of each ticker, as many as an event can look back on.
 DERIVED = Table(
