@@ -130,3 +130,13 @@ def test_headers_are_sent_to_the_lines(spark, feed):
         assert files.are_few(spark, feed) and not files.are_few(spark, feed + "/absent")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_long_csv_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows_ = spark.range(20).selectExpr("CAST(id AS STRING) AS ticker", "'n' AS name", "'c' AS category").repartition(4)
+    for most, parts in ((20, 1), (19, 4)):
+        monkeypatch.setattr(files, "ONE_FILE_ROWS", most)
+        path = tmp_path / f"etf_candidates{most}.csv"
+        files.write_csv(rows_, str(path))
+        assert len(list(path.glob("part-*"))) == parts
+        assert files.read_csv(spark, str(path), files.ETF_CANDIDATES).count() == 20

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import BARS, ETF_CANDIDATES, ETFS, SP500
+from tidemark.session import settled
 
 
 # Some 10 MB of headers.
 FEW_FILES = 20_000
+# Longest CSV that one task writes.
+ONE_FILE_ROWS = 1_000_000
 
 
 class UniverseSnapshotMissing(FileNotFoundError):
@@ -75,8 +78,12 @@ def read_etf_candidates(spark: SparkSession, universe_dir: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A small table as one CSV part file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A table as CSV with a header: one part file, or as many as it has
+    partitions if it is longer than a task should write."""
+    rows = settled(df)
+    if rows.limit(ONE_FILE_ROWS + 1).count() <= ONE_FILE_ROWS:
+        rows = rows.coalesce(1)
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def are_few(spark: SparkSession, path: str) -> bool:
