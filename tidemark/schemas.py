@@ -22,6 +22,7 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Tables, their columns and types.
 BARS = _schema(
     "ticker string, date date, open double, high double, low double, "
     "close double, volume bigint, adj_close double"
@@ -49,6 +50,7 @@ ETF_HOLDINGS = _schema(
     "source string, retrieved_at date"
 )
 
+# The event types and their columns.
 EVENT_COMMON = ["event_type", "ticker", "date", "source", "created_at"]
 EVENT_COLUMNS = {
     "earnings": [*EVENT_COMMON, "event_time"],
@@ -122,7 +124,7 @@ RANKING_LOOKBACK_DAYS = 90
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Detector settings. Windows count rows of a series, not calendar days."""
+    """Detector settings; the defaults are fixed values. Windows count rows of a series, not calendar days."""
 
     drawdown_threshold_pct: float = 0.20
     drawdown_window_days: int = 60

@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings results depend on; safe on any session.
 
-    Days are UTC days, so the session time zone is UTC. A checkpoint folder
-    is set only where the cluster names none and the session is local.
+    Days are UTC days, so the session time zone is UTC.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``."""
+    """The folder all executors see, as named by ``spark.checkpoint.dir``.
+
+    Only where the cluster names none, and the session is local, is one made.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
