@@ -227,7 +227,9 @@ def fit_quality(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     sample = training_sample(labels, "quality", FOLDS, HELD_OUT, sample_rows)
     joined = stats.join(F.broadcast(sample), stats["id"] == sample["doc_id"])
     # Documents that share an id all count; their number is bounded by a last limit.
-    rows = joined.select("id", *STATISTICS, "label").limit(sample_rows).collect()
+    # Where ids repeat, which rows are taken depends on what they hold, not on their order.
+    sample = joined.select("id", *STATISTICS, "label").orderBy(F.xxhash64("id"), "id", *STATISTICS)
+    rows = sample.limit(sample_rows).collect()
     rows.sort(key=tuple)
     x = np.array([r[1:-1] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
     return fit_rules(x, np.array([r[-1] for r in rows], np.float64))

@@ -133,7 +133,7 @@ class Encoder:
         self.keys, self.ranks, self.made, self.safe = vocabulary.merges
         id_of = {t: i for i, t in enumerate(vocabulary.texts) if vocabulary.normal[i]}
         self.ids = np.array([*(id_of.get(t, -1) for t in self.symbols), -1], np.int64)
-        self.code = np.full(0x110000, self.unknown, np.int64)  # symbol of each character
+        self.code = np.full(0x110000, self.unknown, np.int32)  # symbol of each character
         for text, number in self.symbols.items():
             if len(text) == 1:
                 self.code[ord(text)] = number
@@ -184,7 +184,7 @@ class Encoder:
         if not len(char):
             return [[] for _ in words]
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        symbol = self.code[char]
+        symbol = self.code[char].astype(np.int64)
         # rank[i] and made[i] belong to the pair of symbols i and i + 1
         rank, made = self._look_up(symbol, np.append(symbol[1:], self.unknown))
         rank[np.flatnonzero(np.diff(word, append=-1))] = _NONE
@@ -262,8 +262,8 @@ class Encoder:
                 else:
                     new.append(w)
         decimal = self.decimal
-        for at in range(0, len(new), 50_000):
-            some = new[at : at + 50_000]
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
             for w, ids in zip(some, self.encode_words(some)):
                 self._keep(w, (",".join([decimal[i] for i in ids]), len(ids), decode(self.vocabulary, ids, False)))
 

@@ -114,17 +114,22 @@ def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
         try:
             yield from run(batches)
         finally:
-            _powers.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            give_back()
 
     return wrapped
 
 
+def give_back() -> None:
+    """Return freed memory to the system."""
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lower: bool = True) -> Words:
     """Maximal runs of bytes in the table ``inside``; never across texts."""
     n = len(data)

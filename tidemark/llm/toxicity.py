@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
 from tidemark.llm.samples import fold, training_sample
-from tidemark.llm.textbuf import draws, freed, mix, pieces
+from tidemark.llm.textbuf import draws, freed, give_back, mix, pieces
 
 #: Labelled rows the model is fitted on at most.
 SAMPLE_ROWS = 20_000
@@ -134,24 +134,26 @@ def norms(owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
 def kernel(a: list[str], b: list[str]) -> np.ndarray:
     """Normalised kernel of each word of ``a`` with each of ``b``."""
     owner_b, code_b, weight_b = subsequences(b)
-    table, place = np.unique(code_b, return_inverse=True)
-    dense = np.zeros((len(table), len(b)))
-    dense[place, owner_b] = weight_b
-    dense /= norms(owner_b, weight_b, len(b))
     out = np.zeros((len(a), len(b)))
-    if not len(table):
+    if not len(code_b):
         return out
+    weight_b = weight_b / norms(owner_b, weight_b, len(b))[owner_b]
+    # For each subsequence, the words of b that have it.
+    order = np.argsort(code_b, kind="stable")
+    owner_b, weight_b = owner_b[order], weight_b[order]
+    table, begin, having = np.unique(code_b[order], return_index=True, return_counts=True)
     for at in range(0, len(a), 100):
         part = a[at : at + 100]
         owner, code, weight = subsequences(part)
         length = norms(owner, weight, len(part))
         where = np.minimum(np.searchsorted(table, code), len(table) - 1)
         hit = np.flatnonzero(table[where] == code)
-        if len(hit):
-            hit = hit[np.argsort(owner[hit], kind="stable")]
-            first = np.flatnonzero(np.diff(owner[hit], prepend=-1))
-            sums = np.add.reduceat(weight[hit][:, None] * dense[where[hit]], first)
-            out[at + owner[hit][first]] = sums / length[owner[hit][first]][:, None]
+        n = having[where[hit]]
+        pair = np.repeat(hit, n)
+        other = np.arange(len(pair)) + np.repeat(begin[where[hit]] - np.cumsum(n) + n, n)
+        cell = owner[pair] * len(b) + owner_b[other]
+        sums = np.bincount(cell, weight[pair] * weight_b[other], len(part) * len(b))
+        out[at : at + len(part)] = sums.reshape(len(part), len(b)) / length[:, None]
     return out
 
 
@@ -216,9 +218,15 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(30):
-        active = y * (x @ w) < 1
-        xa = x[active] * c[active][:, None]
-        new = np.linalg.solve(xa.T @ x[active] + np.diag(penalty), xa.T @ y[active])
+        left, right = np.diag(penalty), np.zeros(len(w))
+        for at in range(0, len(x), 2_000):  # so that no further copy of all examples is made
+            some = slice(at, at + 2_000)
+            active = y[some] * (x[some] @ w) < 1
+            xa = x[some][active]
+            xc = xa * c[some][active][:, None]
+            left = left + xc.T @ xa
+            right += xc.T @ y[some][active]
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = (w + new) / 2 if _ % 3 == 2 else new
@@ -295,8 +303,8 @@ class _Margins:
         if len(self.seen) > REMEMBERED_WORDS:
             self.seen.clear()
         new = list(set().union(*sets) - self.seen.keys())
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        for at in range(0, len(new), 5_000):  # some kilobytes a word while it is worked out
+            some = new[at : at + 5_000]
             self.seen.update(zip(some, self.model.margins(some).tolist()))
         lowest = self.model.offset - 1.0
         return np.array([max((self.seen[w] for w in s), default=lowest) for s in sets], np.float64)
@@ -363,6 +371,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     rows.sort(key=tuple)
     margins, y = np.array([r["margin"] for r in rows]), np.array([r["label"] for r in rows], np.float64)
     model.slope, model.shift = fit_curve(margins, y)
+    give_back()
     return model
 
 
