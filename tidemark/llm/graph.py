@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.data import stored
@@ -16,8 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     of rounds that grows with their logarithm. Labels are written after each
     round; none has changed when their sum is the same. Null ends and repeated
     edges change nothing.
+
+    The rounds run over fewer edges: of the ends ``a`` that a ``b`` is linked
+    with, it keeps the smallest, and the others are linked with that one, which
+    is the same for most of a dense group.
     """
     edges = edges.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+    least = F.min("a").over(Window.partitionBy("b"))
+    ends = [F.struct(F.col(x).alias("a"), F.col("least").alias("b")) for x in ("b", "a")]
+    edges = edges.withColumn("least", least).select(F.inline(F.array(*ends))).distinct()
     ends = [F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")]
     both = stored(edges.select(F.inline(F.array(*ends))))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
