@@ -24,14 +24,16 @@ def scanned(text, templates=licenses.TEMPLATES):
         starts = [0] if len(own) <= 64 else range(0, len(own) - 32, 32)
         for s in starts:
             block = set(own[s : s + 64])
-            held = {}
+            held = []
             for label, wordings in templates.items():
                 for wording in wordings:
                     t = set(words(wording))
                     if 100 * len(t & block) >= 90 * len(t):
-                        held[label] = max(held.get(label, 0), len(t & block) / len(t))
-            labels |= {label for label, share in held.items() if share == max(held.values())}
-            shares += held.values()
+                        held.append((len(t & block) / len(t), label, t))
+            for share, label, t in held:
+                shares.append(share)
+                if not any(more > share and 2 * len(t & u) > len(t) for more, _, u in held):
+                    labels.add(label)
     starts = [k for k, _ in base]
     return (
         len(all_words), len(base), min(starts, default=None), max(starts, default=None),
@@ -56,6 +58,15 @@ def license_rows(spark):
     return out + [(10_000 + r["doc_id"], r["text"]) for r in docs] + [(None, "All rights reserved"), (0, "cc-by")]
 
 
+def test_two_notices_of_a_line_both_count(spark):
+    (mpl, *_), (mit, *_) = licenses.TEMPLATES["mpl-2.0"], licenses.TEMPLATES["mit"]
+    most = mpl.split()
+    del most[len(most) // 2]
+    text = " ".join(most) + " " + mit
+    (row,) = licenses.scan_licenses(frame(spark, [(1, text)])).collect()
+    assert {"mpl-2.0", "mit"} <= set(row.labels.split(","))
+
+
 def test_licenses_are_those_of_brute_force(spark, license_rows):
     got = licenses.scan_licenses(frame(spark, license_rows)).drop("blocks").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(repr((i, *scanned(t))) for i, t in license_rows)

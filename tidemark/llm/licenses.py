@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,14 @@ class Templates:
         at = np.minimum(np.searchsorted(self.sorted_hashes, hashes), len(self.sorted_hashes) - 1)
         return np.where(self.sorted_hashes[at] == hashes, self.place[at], -1)
 
+    @cached_property
+    def alike(self) -> list[set[int]]:
+        """For each template those that have more than half of its words."""
+        return [
+            {u for u, other in enumerate(self.sets) if u != t and 2 * len(np.intersect1d(own, other)) > len(own)}
+            for t, own in enumerate(self.sets)
+        ]
+
     @property
     def step(self) -> int:
         return max([BLOCK_STEP, *self.sizes])
@@ -238,9 +247,10 @@ def scan_licenses(
 
     Returns ``id_column``, ``n_words``, ``n_base`` (all places of phrases),
     ``first_word`` and ``last_word`` (their smallest and largest first word,
-    counted from 0, else null), ``base_labels``, ``labels`` (with those of
-    templates of which some block has the most, and of all stretches), ``score`` (1 with a phrase, else the
-    largest share of a held template, else 0) and ``blocks``, the words of the
+    counted from 0, else null), ``base_labels``, ``labels`` (with those of all
+    templates that some block or stretch holds, but for one most of whose
+    words another template has too that the block holds more of), ``score`` (1 with a phrase, else
+    the largest share of a held template, else 0) and ``blocks``, the words of the
     blocks that hold a template and of wrapped notices: start word, end word, label, share. Null and
     empty texts have no words and no labels. One row per input row; other
     columns are not read.
@@ -279,6 +289,7 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
             base[text].add(label)
             places[text].append(at - int(words.first[text]))
     held: list[list[dict]] = [[] for _ in range(n)]
+    labels = [set(b) for b in base]
     place = index.places(words.hash)
     known = place >= 0
     known[known] = index.in_prefix[place[known]]
@@ -288,7 +299,11 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
     for k in np.flatnonzero(telling[end] > telling[begin]).tolist():
         own = place[begin[k] : end[k]]
         text = int(words.doc[begin[k]])
-        for t, common in index.held(np.unique(own[own >= 0])):
+        found = index.held(np.unique(own[own >= 0]))
+        share = {t: common / len(index.sets[t]) for t, common in found}
+        # A template most of whose words another one has, of which more is there, is that other one.
+        labels[text] |= {index.labels[t] for t in share if all(share.get(u, 0.0) <= share[t] for u in index.alike[t])}
+        for t, common in found:
             held[text].append(
                 {
                     "start_word": int(begin[k] - words.first[text]),
@@ -297,7 +312,6 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
                     "share": common / len(index.sets[t]),
                 }
             )
-    labels = [b | _best(hs) for b, hs in zip(base, held)]
     line = np.searchsorted(lines.start, words.start, "right")
     for first, last, t, common in stretches(words, place, known, index):
         text = int(words.doc[first])
@@ -329,14 +343,6 @@ def _scanned(piece: pa.RecordBatch, words: Words, data, offsets, index: Template
     )
 
 
-def _best(held: list[dict]) -> set[str]:
-    """Labels of the templates with the largest share in a block, of all blocks."""
-    most: dict[int, float] = {}
-    for h in held:
-        most[h["start_word"]] = max(most.get(h["start_word"], 0.0), h["share"])
-    return {h["label"] for h in held if h["share"] == most[h["start_word"]]}
-
-
 def oracle() -> str:
     """The same result in SQL, but for stretches, by comparing every block with every template."""
     listed = ", ".join(
@@ -370,13 +376,18 @@ WITH lowered AS (
 ), templates AS (
     SELECT * FROM (VALUES {listed}) AS t(template, label, needed)
 ), held AS (
-    SELECT doc_id, block, label, len(list_intersect(words, needed)) / len(needed) AS share
+    SELECT doc_id, block, template, label, len(list_intersect(words, needed)) / len(needed) AS share
     FROM blocks, templates
     WHERE 100 * len(list_intersect(words, needed)) >= {PERCENT} * len(needed)
-), best AS (
-    SELECT doc_id, label, share FROM held QUALIFY share = max(share) OVER (PARTITION BY doc_id, block)
+), alike AS (
+    SELECT a.template, b.template AS other FROM templates a, templates b
+    WHERE a.template <> b.template AND 2 * len(list_intersect(a.needed, b.needed)) > len(a.needed)
+), explained AS (
+    SELECT h.block, h.template FROM held h JOIN alike USING (template)
+    JOIN held o ON o.block = h.block AND o.template = alike.other AND o.share > h.share
 ), method AS (
-    SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM best GROUP BY doc_id
+    SELECT doc_id, list(DISTINCT label) FILTER (WHERE explained.block IS NULL) AS labels, max(share) AS share
+    FROM held LEFT JOIN explained USING (block, template) GROUP BY doc_id
 )
 SELECT doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(base.labels, ','), '') AS base_labels,
