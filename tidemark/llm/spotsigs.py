@@ -186,7 +186,8 @@ def compare_edited(
     known = _anchor_hashes(anchors)
     parts = parts or max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     placed = ordered_parts(rows, parts).withColumn("text", F.coalesce("text", F.lit("")))
-    placed = placed.repartition(parts + 1, "part").sortWithinPartitions("part", "borrowed", F.col("id").asc_nulls_last(), "text")
+    # By range: hashes of so few numbers would put several ranges into one task and none into others.
+    placed = placed.repartitionByRange(parts + 1, "part").sortWithinPartitions("part", "borrowed", F.col("id").asc_nulls_last(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = None  # the last row seen: part, id, text, its signatures
