@@ -67,6 +67,13 @@ def test_an_unpublished_merge_counts_for_nothing_and_is_made_anew(spark, tmp_pat
     assert third.last == 3 and rows(store.read(PAIRS)) == [("A", 3), ("B", 2)]
 
 
+def test_a_batch_alone_is_left_as_it_is(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    only = add(store, [("A", 1)])
+    assert store.merge_newest(PAIRS, 1) == only and store.merge_newest(PAIRS, 5) == only
+    assert store.merge(PAIRS) is None and rows(store.read(PAIRS)) == [("A", 1)]
+
+
 def test_frames_stay_valid_through_the_next_merge(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     add(store, [("A", 1)])

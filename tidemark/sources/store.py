@@ -289,8 +289,10 @@ class TableStore:
         return self.merge_newest(table, count) if count else None
 
     def merge_newest(self, table: Table, count: int) -> Batch:
-        """Write the newest batches as one that counts instead of them."""
+        """Write the newest batches as one that counts instead of them; one alone stays as it is."""
         some = self.batches(table)[-count:]
+        if len(some) < 2:
+            return some[0]
         merged = Batch(some[0].generation, some[0].first, some[-1].last)
         self._remove_parts(merged)  # of a merge that died
         for part in ("rows", *table.parts):
