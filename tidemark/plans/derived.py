@@ -20,6 +20,7 @@ from tidemark.operators import bars as B
 from tidemark.operators import detectors, keyed
 from tidemark.plans.tables import BUCKET, DERIVED, PRICES, newest_version
 from tidemark.schemas import BARS, DERIVED_TYPES, EVENTS, Thresholds
+from tidemark.session import settled
 from tidemark.sources.store import Batch, TableStore
 
 # The day before all bars, for tickers of which none has been seen.
@@ -121,32 +122,43 @@ def refresh_new(store: TableStore, requested: DataFrame, t: Thresholds, run_date
     of settings, or a refresh that kept no state, all requested tickers are.
     """
     settings = basis(store, t)
-    seen = newest_version(store.read(DERIVED, "seen")).join(requested.select("ticker"), "ticker", "left_semi")
-    if not store.exists(DERIVED) or not seen.filter(F.col("basis") != settings).isEmpty():
+    if not store.exists(DERIVED):
         return refresh_all(store, requested, t, run_date, keep_state=True)
-    past = seen.select("ticker", F.col("last_date").alias("seen_date"), F.col("replaced_by").alias("seen_by"))
-    known = _known(store, requested).join(past, "ticker", "left")
+    past = newest_version(store.read(DERIVED, "seen")).select(
+        "ticker", F.col("last_date").alias("seen_date"), F.col("replaced_by").alias("seen_by"), "basis"
+    )
+    # Worked out once: a row for each ticker.
+    known = settled(_known(store, requested).join(past, "ticker", "left"))
     is_redone = F.col("replaced_by") > F.coalesce("seen_by", F.col("replaced_by"))
-    stale = known.filter(~is_redone & (F.col("seen_date").isNull() | (F.col("last_date") > F.col("seen_date"))))
-    changed = set(_add(store, stale, t, run_date, settings))
-    # What was added above belongs to tickers that are not among these.
-    redone = known.filter(is_redone)
-    if not redone.isEmpty():
-        tickers = redone.select(F.lit(0).cast("bigint").alias("position"), "ticker")
+    is_new = F.col("seen_date").isNull()
+    is_stale = ~is_redone & (is_new | (F.col("last_date") > F.col("seen_date")))
+    other, redone, since, new = known.agg(
+        F.count(F.when(F.col("basis") != settings, 1)),
+        F.count(F.when(is_redone, 1)),
+        F.min(F.when(is_stale & ~is_new, F.col("seen_date"))),
+        F.count(F.when(is_stale & is_new, 1)),
+    ).first()
+    if other:
+        return refresh_all(store, requested, t, run_date, keep_state=True)
+    changed = set()
+    if since is not None or new:
+        stale = known.filter(is_stale).withColumn("seen_date", F.coalesce("seen_date", F.lit(NEVER)))
+        changed |= set(_add(store, stale, since, new, t, run_date, settings))
+    if redone:  # none of which is among those above
+        tickers = known.filter(is_redone).select(F.lit(0).cast("bigint").alias("position"), "ticker")
         bars, _ = B.load_bars(store.read(PRICES), tickers, adjusted=False)
         found = detectors.detect_events(bars, t, run_date)
-        changed |= set(_replace(store, tickers, found, redone, _last_rows(bars, t), settings))
+        changed |= set(_replace(store, tickers, found, known.filter(is_redone), _last_rows(bars, t), settings))
     return [e for e in DERIVED_TYPES if e in changed]
 
 
-def _add(store: TableStore, stale: DataFrame, t: Thresholds, run_date: date, settings: str) -> list[str]:
-    """Add the events of the bars that tickers have got since they were seen."""
-    stale = stale.select("ticker", "last_date", "replaced_by", F.coalesce("seen_date", F.lit(NEVER)).alias("seen_date"))
-    # Tickers not seen before need all their bars; a few of them are named to the scan.
+def _add(
+    store: TableStore, stale: DataFrame, since: date | None, new: int, t: Thresholds, run_date: date, settings: str
+) -> list[str]:
+    """Add the events of the bars that tickers have got since they were seen:
+    ``new`` of them never, the others on ``since`` or later."""
     is_new = F.col("seen_date") == F.lit(NEVER)
-    since, new = stale.agg(F.min(F.when(~is_new, F.col("seen_date"))), F.count(F.when(is_new, 1))).first()
-    if since is None and not new:
-        return []
+    # Tickers not seen before need all their bars; a few of them are named to the scan.
     wanted = F.lit(True)
     if new <= NAMED_TICKERS:
         names = [r["ticker"] for r in stale.filter(is_new).select("ticker").collect()] if new else []
