@@ -585,6 +585,7 @@ def test_a_rerun_opens_no_old_file(spark, config):
 
 
 def test_days_outside_the_request_are_taken_when_they_are_asked_for(spark, config):
+    config = replace(config, landing_dir=f"{config.landing_dir} of+a é%")
     land_one(spark, config, "raw_prices", raw_rows("AAPL", 100.0), RAW_PRICES)
     middle = date(2024, 1, 3)
     tm.ingest_prices(["AAPL"], start_date=START, end_date=middle, config=config)

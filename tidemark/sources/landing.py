@@ -72,6 +72,11 @@ def _plain(path):
     return F.regexp_replace(path, r"^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
+def _decoded(path):
+    """A file's path as the listing has it; rows come with it escaped."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path, length and time of every Parquet file in a folder; none is opened."""
     found = (
@@ -159,7 +164,7 @@ def note(
             days = [
                 store.spark.read.option("basePath", f"{taken.landing_dir}/{name}")
                 .parquet(*paths)
-                .select(_plain(F.col("_metadata.file_path")).alias("_plain"), F.col("Date").cast("string").try_cast("date").alias("day"))
+                .select(_plain(_decoded(F.col("_metadata.file_path"))).alias("_plain"), F.col("Date").cast("string").try_cast("date").alias("day"))
                 for name, paths in taken.new.items()
             ]
             days = reduce(DataFrame.unionByName, days)
