@@ -129,3 +129,11 @@ def test_one_block_is_held_at_a_time(spark, monkeypatch):
     for frame_ in (found, rest):
         assert frame_._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted(r["doc_id"] for r in rest.collect()) == kept
+
+
+@pytest.mark.parametrize("between", ["\n", "-", ".", "\t\t"])
+def test_blocks_are_bounded_whatever_stands_between_words(spark, monkeypatch, between):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 1000)
+    items = [(i, between.join(f"w{i}x{k}" for k in range(400))) for i in range(10)]
+    blocks = list(decontaminate._blocks(decontaminate._items(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")))
+    assert len(blocks) == 4 and [last for _, last in blocks] == [False, False, False, True]

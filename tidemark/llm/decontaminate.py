@@ -19,6 +19,7 @@ is looked up in all windows of all documents within one pass over the texts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -251,6 +252,10 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(best[end]), int(row[end] % scale)
 
 
+#: A word as it is found in texts, whatever stands between words.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
 def _blocks(items: DataFrame) -> Iterator[tuple[ItemIndex, bool]]:
     """Each block, and whether it is the last; built when it is asked for."""
     block: list[tuple[object, str | None]] = []
@@ -259,7 +264,7 @@ def _blocks(items: DataFrame) -> Iterator[tuple[ItemIndex, bool]]:
     row = next(rows, None)
     while row is not None:
         block.append((row["id"], row["text"]))
-        words += (row["text"] or "").count(" ") + 1
+        words += len(_WORD.findall(row["text"] or "")) + 1
         row = next(rows, None)
         if words >= BLOCK_WORDS or row is None:
             whole, block, words = block, [], 0
@@ -346,7 +351,11 @@ def _words(piece: pa.RecordBatch) -> Words:
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, text_column: str = "text", item_text_column: str = "text"
 ) -> DataFrame:
-    """The documents in which no item occurs, all columns kept."""
+    """The documents in which no item occurs, all columns kept.
+
+    Null and empty texts hold no item and stay. Rows without an id and repeated
+    rows are judged each by their own text; with no items all rows stay.
+    """
     columns = docs.columns
     schema = docs.schema
 

@@ -256,6 +256,10 @@ def filter_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     """The rows of ``docs`` that are not rejected, all columns kept.
 
     Each row is judged by its own text in the same pass, so that no text moves.
+
+    Null and empty texts are judged like others, by the statistics of no words.
+    Rows without an id and repeated rows are judged each by their own text. Of
+    no rows, none are returned; without a usable label all scores are equal.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     model = fit_quality(stored(with_statistics(rows)), labels)

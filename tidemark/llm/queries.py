@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``score_documents``."""
     return lmscore.score_documents(table(spark, sf_dir, "documents"))
 
 
@@ -45,34 +46,42 @@ def read_model(path: str | None = None) -> bytes:
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``judge_urls``."""
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``find_items``."""
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``near_duplicates``."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``score_toxicity``."""
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``score_quality``."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``scan_licenses``."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
 
 
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``compare_edited``."""
     return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, empty texts, ties, repeated rows and empty tables as in ``render``."""
     return chat.rendered_digest(table(spark, sf_dir, "conversations"))
 
 

@@ -400,6 +400,9 @@ def filter_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     """The rows of ``docs`` that are not flagged, all columns kept.
 
     Each row is judged by its own text in the same pass, so that no text moves.
+
+    Null and empty texts have the margin of no word. Rows without an id and
+    repeated rows are judged each by their own text; an empty table stays empty.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     model = fit_toxicity(rows, labels)
