@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
+import random
 
 import pandas as pd
 import pyarrow as pa
@@ -93,6 +95,46 @@ def test_manifest_hashes_every_file(spark, tmp_path):
     assert rows(written, "path", "size_bytes") == [("a.bin", "3"), ("y/b.bin", "3")]
 
 
+def test_manifest_hashes_long_files_in_chunks(spark, tmp_path, monkeypatch):
+    some = random.Random(1).randbytes
+    lines = "".join(f"{i},line {i}\r\n" for i in range(5000)).encode()
+    contents = {
+        "ends.csv": lines,
+        "goes on.csv": lines + b"no line feed",
+        "marked.csv": b"\xef\xbb\xbf" + lines,
+        "marked 100%+ü.csv": b"\xef\xbb\xbf" + lines + b"\xef\xbb\xbf\n\xef\xbb\xbf",
+        "y/any bytes": some(150_001),
+        "y/the same bytes": some(20_000) * 4,
+        "line feeds": b"\n" * 50_000,
+        "one line": b"\r\0" * 30_000,
+        "longest short": some(20_000),
+        "shortest long": some(20_001),
+        "packed.csv.GZ": gzip.compress(some(30_000)),
+        "packed.csv.gz": gzip.compress(some(30_000)),
+        "_hidden": lines,
+    }
+    contents["y/z/the same bytes"] = contents["y/the same bytes"]
+    contents["y/z/as many bytes"] = some(80_000)
+    for name, data in contents.items():
+        path = tmp_path / "x" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+    del contents["_hidden"]
+    monkeypatch.setattr(files, "CHUNK_BYTES", 20_000, raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    # No longer file may be a row.
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "40000")
+    try:
+        found = tm.data_store_manifest(spark, str(tmp_path / "x"))
+        assert found.dtypes == [("path", "string"), ("size_bytes", "bigint"), ("sha256", "string")]
+        assert rows(found) == sorted(
+            ((name, len(data), hashlib.sha256(data).hexdigest()) for name, data in contents.items()), key=repr
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_ticker_files_with_nanosecond_dates_are_read(spark, tmp_path):
     schema = pa.schema(
         [("date", pa.timestamp("ns"))]
